@@ -32,6 +32,12 @@ BLANK = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 
+# the same blanks, one by one
+BLANK_CHARACTERS = "".join(
+    chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+)
+
 # --- fixed values: symbol groups of the text cleaner --------------------------
 SYMBOL_NOISE = "•·●►▶▷☛→←↔⇨⇦■□★☆◆◇※©®™∞¶§"
 QUOTES = "“”‘’‛❛❜‚„‹›«»"

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Mapping, Sequence
+import string
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,28 +13,44 @@ from pyspark.sql import types as T
 
 from newsloom.constants import (
     BLANK,
+    BLANK_CHARACTERS,
     CATEGORIES,
     CATEGORY_TYPOS,
     DASHES,
     DEFAULT_CATEGORY,
     QUOTES,
     SENTINELS,
-    SYMBOL_NOISE,
     THAI,
 )
 
-EDGE_BLANKS = f"^[{BLANK}]+|[{BLANK}]+$"
-KEPT_CHARACTERS = f"[^A-Za-z0-9{THAI}{BLANK}.,!?%:;()'\\-_/]"
+# Java tries a character class with many members one member at a time. The
+# patterns below therefore look at one cheap class first and check the long one
+# behind the character only where the cheap class lets it through.
+_ONE_BY_ONE = string.ascii_letters + string.digits
+_CONTROL = r"[^ -~](?<=[\r\n\t\x{200B}\x{A0}])[\r\n\t\x{200B}\x{A0}]*"
+_QUOTE = r"[^\x{00}-\x{7F}](?<=[" + QUOTES + "])"
+_DASH = r"[^\x{00}-\x{7F}](?<=[" + DASHES + "])"
+_NOT_KEPT = (
+    "[^" + _ONE_BY_ONE + r".,!?%:;()'\-_/" + r"\t\n\x0B\f\r \x1C\x1D\x1E\x1F\x{85}\x{A0}]"
+    "(?<![" + THAI + r"\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}])"
+)
+_BLANK_RUN = f"[^!-~](?<=[{BLANK}])[{BLANK}]+"
+_NOT_FEATURE = f"(?:[^{_ONE_BY_ONE} ](?<![{THAI}]))+"
+
+
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` evaluated once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(c), use), 0)
 
 
 def strip(c: Column) -> Column:
     """Trim every kind of Unicode blank from both ends."""
-    return F.regexp_replace(c, EDGE_BLANKS, "")
+    return F.btrim(c, F.lit(BLANK_CHARACTERS))
 
 
 def null_if_in(c: Column, values: Sequence[str] = SENTINELS) -> Column:
     """Null for a text equal to one of ``values``; everything else unchanged."""
-    return F.when(~c.isin(*values), c)
+    return let(c, lambda x: F.when(~x.isin(*values), x))
 
 
 def replace_whole(c: Column, mapping: Mapping) -> Column:
@@ -65,36 +82,34 @@ def decode_entities(c: Column) -> Column:
 def normalize_text(c: Column, *, entities: bool = True) -> Column:
     """Aggressive cleaner: tags, entities, symbols and stray characters go.
 
-    ``entities=False`` is for columns known to hold no HTML entities; it keeps
-    the whole expression inside generated code.
+    Symbols without a meaning of their own need no step: they are outside the
+    kept characters. Sentinels pass through the cleaning unchanged, so they are
+    tested once, at the end. ``entities=False`` is for columns known to hold no
+    HTML entities; it keeps the whole expression in the JVM.
     """
-    s = null_if_in(strip(c))
-    if entities:
-        s = decode_entities(s)
+    s = decode_entities(c) if entities else c
     s = F.regexp_replace(s, "<[^>]+>", " ")
-    s = F.regexp_replace(s, r"[\r\n\t\x{200B}\x{A0}]+", " ")
+    s = F.regexp_replace(s, _CONTROL, " ")
     s = F.regexp_replace(s, "&[a-z]+;", " ")
-    s = F.regexp_replace(s, f"[{SYMBOL_NOISE}]+", " ")
-    s = F.regexp_replace(s, f"[{QUOTES}]", "'")
-    s = F.regexp_replace(s, f"[{DASHES}]", "-")
-    s = F.regexp_replace(s, KEPT_CHARACTERS, " ")
-    s = F.regexp_replace(s, f"[{BLANK}]{{2,}}", " ")
+    s = F.regexp_replace(s, _QUOTE, "'")
+    s = F.regexp_replace(s, _DASH, "-")
+    s = F.regexp_replace(s, _NOT_KEPT, " ")
+    s = F.regexp_replace(s, _BLANK_RUN, " ")
     return null_if_in(strip(s))
 
 
 def clean_keep_meaning(c: Column) -> Column:
     """Light cleaner: control characters, tags, links and truncation marks go,
     repeated punctuation collapses and blanks around punctuation are repaired."""
-    s = F.regexp_replace(c, r"[\x{00}-\x{1F}\x{7F}\x{200B}]+", " ")
+    s = F.regexp_replace(c, r"[^ -~](?<=[\x{00}-\x{1F}\x{7F}\x{200B}])[\x{00}-\x{1F}\x{7F}\x{200B}]*", " ")
     s = F.regexp_replace(s, "<[^>]+>", " ")
-    s = F.regexp_replace(s, r"http\S+|www\S+", " ")
+    s = F.regexp_replace(s, r"(?=[hw])(?:http|www)\S+", " ")
     s = F.regexp_replace(s, r"\[\+\d+\s*chars\]", " ")
     s = F.regexp_replace(s, r"([!?.,])\1+", "$1")
-    s = F.regexp_replace(s, r"\s+", " ")
-    s = F.regexp_replace(s, r"\s+([.,!?;:])", "$1")
+    s = F.regexp_replace(s, " {2,}", " ")  # the first step left no other blanks
+    s = F.regexp_replace(s, " +([.,!?;:])", "$1")
     s = F.regexp_replace(s, r"([.,!?;:])(?=\S)", "$1 ")
-    s = F.trim(s)
-    return F.when(s != "", s)
+    return let(F.trim(s), lambda x: F.when(x != "", x))
 
 
 def feature_text(c: Column) -> Column:
@@ -103,25 +118,26 @@ def feature_text(c: Column) -> Column:
     s = F.coalesce(c, F.lit(""))
     s = F.regexp_replace(s, f"http[^{BLANK}]+", " ")
     s = F.regexp_replace(s, "<[^\\n]*?>", " ")
-    s = F.regexp_replace(s, f"[^0-9a-zA-Z{THAI} ]+", " ")
-    s = F.regexp_replace(s, " +", " ")
+    s = F.regexp_replace(s, _NOT_FEATURE, " ")
+    s = F.regexp_replace(s, " {2,}", " ")
     return F.lower(F.trim(s))
 
 
 def normalize_url(c: Column) -> Column:
     """Trimmed URL if it starts with http in any case, else null."""
-    s = null_if_in(strip(c))
-    return F.when(F.lower(s).startswith("http"), s)
+    return let(strip(c), lambda s: F.when(F.lower(s).startswith("http"), s))
 
 
 def root_domain(c: Column) -> Column:
     """Second-last label of the authority (the only label if there is one)."""
     authority = F.regexp_extract(c, r"^[\x{00}-\x{20}]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)
-    bracketed = authority.contains("[") == authority.contains("]")
-    labels = F.split(F.replace(authority, F.lit("www."), F.lit("")), r"\.")
-    n = F.size(labels)
-    picked = F.when(n >= 2, F.element_at(labels, -2)).otherwise(F.element_at(labels, 1))
-    return F.when(bracketed & (picked != ""), picked)
+
+    def label(a: Column) -> Column:
+        labels = F.split(F.replace(a, F.lit("www."), F.lit("")), r"\.")
+        picked = let(labels, lambda parts: F.get(parts, F.greatest(F.size(parts) - 2, F.lit(0))))
+        return F.when(a.contains("[") == a.contains("]"), picked)
+
+    return let(let(authority, label), lambda x: F.when(x != "", x))
 
 
 def first_category(c: Column) -> Column:
@@ -129,7 +145,7 @@ def first_category(c: Column) -> Column:
 
     The typo table holds whole values and applies before the cut.
     """
-    fixed = replace_whole(strip(F.lower(c)), CATEGORY_TYPOS)
+    fixed = let(strip(F.lower(c)), lambda x: replace_whole(x, CATEGORY_TYPOS))
     return F.split_part(fixed, F.lit(","), F.lit(1))
 
 

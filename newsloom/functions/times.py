@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import null_if_in, strip
+from newsloom.functions.text import let, strip
 
 _CLOCK = r"(\d{1,2}:\d{2}:\d{2}(?:\.\d{1,9})?)"
 _NO_SECONDS = r"([T ]\d{1,2}:\d{2})(?![\d:])"
@@ -33,25 +33,27 @@ def normalize_timestamp(c: Column, default_tz: str = "+0700") -> Column:
     input costs a failed match and not an exception.
     """
     zone = _colon_offset(default_tz)
-    s = null_if_in(strip(c))
-
-    # month names become numbers first, all other texts pass through unchanged
-    month = F.array_position(
-        F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(s, _DMONY, 2))
-    )
-    named = F.concat(
-        F.regexp_extract(s, _DMONY, 3), F.lit("-"), month.cast("string"), F.lit("-"),
-        F.regexp_extract(s, _DMONY, 1), F.regexp_replace(s, _DMONY, ""),
-    )
-    s = F.when(s.rlike(_DMONY), F.when(month > 0, named)).otherwise(s)
-    s = F.regexp_replace(s, _MDY, "$3-$1-$2")
-    s = F.regexp_replace(s, _NO_SECONDS, "$1:00")
+    text = let(strip(c), _numeric_months)
+    text = F.regexp_replace(F.regexp_replace(text, _MDY, "$3-$1-$2"), _NO_SECONDS, "$1:00")
+    return let(text, lambda s: _canonical(s, zone)).try_cast("timestamp")
 
+
+def _numeric_months(s: Column) -> Column:
+    """Texts with a month name as year, month, day; other texts unchanged."""
+    month = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.lower(F.regexp_extract(s, _DMONY, 2)))
+    named = let(month, lambda m: F.when(m > 0, F.concat(
+        F.regexp_extract(s, _DMONY, 3), F.lit("-"), m.cast("string"), F.lit("-"),
+        F.regexp_extract(s, _DMONY, 1), F.regexp_replace(s, _DMONY, ""))))
+    return F.when(s.rlike(_DMONY), named).otherwise(s)
+
+
+def _canonical(s: Column, zone: str) -> Column:
+    """One shape with an explicit zone; null for any other text, so sentinels too."""
     clock = "[T ]" + _CLOCK
-    canonical = (
-        F.when(s.rlike(_YMD + clock + _UTC), F.regexp_replace(s, _YMD + clock + _UTC, "$1-$2-$3 $4+00:00"))
-        .when(s.rlike(_YMD + clock + _OFFSET), F.regexp_replace(s, _YMD + clock + _OFFSET, "$1-$2-$3 $4$5:$6"))
-        .when(s.rlike(_YMD + clock + "$"), F.regexp_replace(s, _YMD + clock + "$", "$1-$2-$3 $4" + zone))
-        .when(s.rlike(_YMD + "$"), F.regexp_replace(s, _YMD + "$", "$1-$2-$3 00:00:00" + zone))
-    )
-    return canonical.try_cast("timestamp")
+    shapes = [
+        (_YMD + clock + _UTC, "$1-$2-$3 $4+00:00"),
+        (_YMD + clock + _OFFSET, "$1-$2-$3 $4$5:$6"),
+        (_YMD + clock + "$", "$1-$2-$3 $4" + zone),
+        (_YMD + "$", "$1-$2-$3 00:00:00" + zone),
+    ]
+    return F.coalesce(*[F.when(s.rlike(p), F.regexp_replace(s, p, by)) for p, by in shapes])
