@@ -34,7 +34,7 @@ _NOT_KEPT = (
     "[^" + _ONE_BY_ONE + r".,!?%:;()'\-_/" + r"\t\n\x0B\f\r \x1C\x1D\x1E\x1F\x{85}\x{A0}]"
     "(?<![" + THAI + r"\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}])"
 )
-_BLANK_RUN = f"[^!-~](?<=[{BLANK}])[{BLANK}]+"
+_BLANK_RUN = f"[^!-~](?=[^!-~])(?<=[{BLANK}])[{BLANK}]+"
 _NOT_FEATURE = f"(?:[^{_ONE_BY_ONE} ](?<![{THAI}]))+"
 
 

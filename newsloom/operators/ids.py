@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.ids import IdLayout, pack_id, unpack_id
 from newsloom.operators.frames import is_missing_id
 from newsloom.operators.ordering import dense_index, lookup_join, running, running_index
+from newsloom.session import stage
 
 
 def _millis(c: Column) -> Column:
@@ -63,7 +64,7 @@ def assign_ids(df: DataFrame, layout: IdLayout, order_by: Sequence[str], *, ts_c
 
     numbered = running_index(missing, order_by, within=["__ms"], out="__seq", **index_options)
     if fullest > layout.slots:
-        start = _free_starts(per_ms, layout, index_options.get("slices", 1000))
+        start = _free_starts(stage(per_ms, "per-ms"), layout, index_options.get("slices"))
         numbered = lookup_join(numbered, start, "__ms", weight="__n")
     else:
         numbered = numbered.withColumn("__start", F.col("__ms") * layout.slots)
@@ -74,7 +75,7 @@ def assign_ids(df: DataFrame, layout: IdLayout, order_by: Sequence[str], *, ts_c
     return present.select(*df.columns).unionByName(filled)
 
 
-def _free_starts(per_ms: DataFrame, layout: IdLayout, slices: int) -> DataFrame:
+def _free_starts(per_ms: DataFrame, layout: IdLayout, slices: int | None) -> DataFrame:
     """First free slot of every millisecond when earlier ones spill over.
 
     With C rows before a millisecond, its start is C + max(own and earlier

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from newsloom.session import stage
 
-HOT_ROWS = 1_000_000  # a group above this size is cut into slices
+HOT_ROWS = 1_000_000  # rows one task may order by itself; a larger group is cut into slices
 MAX_HOT_GROUPS = 1_000  # so a group that is not cut holds at most 1/1000 of the rows
-SLICES = 1_000  # slices of the whole order range
+MAX_SLICES = 10_000  # slices of one order range
 LOOKUP_ROWS = 200_000  # a lookup up to this size is broadcast
 CUT_SAMPLE = 20_000  # text values looked at to place the cuts of a text column
 CUT_LENGTH = 64  # characters of such a value that are kept
@@ -56,22 +56,33 @@ def _with_text_slice(df: DataFrame, order_col: str, slices: int, out: str) -> Da
     return df.withColumn(out, place(F.col(order_col)))
 
 
-def with_slice(df: DataFrame, order_col: str, slices: int = SLICES, out: str = "__slice") -> DataFrame:
-    """Add the slice number of every row; at most ``slices`` cut values are
-    brought to the driver."""
+def slices_for(rows: int, slices: int | None = None) -> int:
+    """Slices so that one holds about HOT_ROWS rows, unless a number is given."""
+    return slices or max(1, min(MAX_SLICES, -(-rows // HOT_ROWS)))
+
+
+def with_slice(df: DataFrame, order_col: str, slices: int | None = None, out: str = "__slice") -> DataFrame:
+    """Add the slice number of every row, growing with ``order_col``.
+
+    Only the cut values, one per slice, are brought to the driver. Where they
+    lie changes the balance of the slices, never a result.
+    """
+    slices = slices_for(df.count() if slices is None else 0, slices)
+    if slices == 1:
+        return df.withColumn(out, F.lit(0.0))
     if isinstance(df.schema[order_col].dataType, T.StringType):
         return _with_text_slice(df, order_col, slices, out)
     probe = df.select(_as_number(df, order_col).alias("x"))
-    steps = [i / slices for i in range(1, slices)]
-    cuts = probe.agg(F.percentile_approx("x", steps, slices * 10).alias("cuts")).first()["cuts"] or []
-    bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    steps = ", ".join(f"{i / slices}D" for i in range(1, slices))
+    cuts = probe.agg(F.expr(f"percentile_approx(x, array({steps}), {slices * 10})").alias("cuts")).first()["cuts"]
+    bounds = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     keyed = df.withColumn("__x", _as_number(df, order_col))
     sliced = Bucketizer(splits=bounds, inputCol="__x", outputCol=out, handleInvalid="keep").transform(keyed)
     return sliced.drop("__x")
 
 
 def _carry_in(sliced: DataFrame, value: Column, how, keys: Sequence[str] = ()) -> DataFrame:
-    """Per slice, the combined value of all earlier slices (bounded by slices)."""
+    """Per slice, the combined value of all earlier slices; one row per slice."""
     per_slice = sliced.groupBy(*keys, "__slice").agg(how(value).alias("__total"))
     earlier = (
         Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,7 +91,7 @@ def _carry_in(sliced: DataFrame, value: Column, how, keys: Sequence[str] = ()) -
 
 
 def running(df: DataFrame, order_col: str, value: Column, out: str, *, how=F.sum, inclusive: bool = True,
-            slices: int = SLICES) -> DataFrame:
+            slices: int | None = None) -> DataFrame:
     """Running ``how`` (sum or max) of ``value`` over the whole frame by a
     unique ``order_col``; exclusive running values start as null."""
     sliced = with_slice(df.withColumn("__v", value), order_col, slices)
@@ -110,7 +121,7 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[str] = (), out: str = "idx",
-                  hot_rows: int = HOT_ROWS, slices: int = SLICES) -> DataFrame:
+                  hot_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
     """0-based position of every row by ``order_by``, inside ``within`` groups.
 
     ``order_by`` must identify a row inside its group. Large groups are cut by
@@ -141,8 +152,8 @@ def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[st
         cond = cond & df[k].eqNullSafe(F.col(f"__h_{k}"))
     marked = df.join(F.broadcast(hot_df), cond, "left").drop(*[f"__h_{k}" for k in keys])
 
-    hot_only = marked.filter("__hot")
-    probe = with_slice(hot_only, order_by[0], slices)  # cut values follow the hot rows only
+    hot_only = marked.filter("__hot")  # the cuts follow the hot rows only
+    probe = with_slice(hot_only, order_by[0], slices_for(sum(r["__n"] for r in hot), slices))
     carry = _carry_in(probe, F.lit(1), F.sum, keys)
     carry = carry.select(*[F.col(k).alias(f"__c_{k}") for k in keys],
                          F.col("__slice").alias("__c_slice"), "__carry")
@@ -192,7 +203,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: str, *, weight: str, max_r
 
 
 def dense_index(df: DataFrame, key: str, *, out: str = "rank", max_rows: int = LOOKUP_ROWS,
-                slices: int = SLICES) -> DataFrame:
+                slices: int | None = None) -> DataFrame:
     """0-based dense rank of ``key`` over the whole frame; null keys get null."""
     distinct = stage(
         df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), f"distinct-{key}")
