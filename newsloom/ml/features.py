@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -258,11 +259,9 @@ class Projection(Transformer, _InOut, DefaultParamsReadable, DefaultParamsWritab
 
     def _transform(self, df: DataFrame) -> DataFrame:
         k = self.getOrDefault(self.components)
-        entries = self.getOrDefault(self.matrix)
-        n = len(entries) // k
+        columns = np.array(self.getOrDefault(self.matrix)).reshape(k, -1).tolist()
+        parts = F.from_json(F.lit(json.dumps(columns)), "array<array<double>>")  # folded to a constant
         v = vector_to_array(F.col(self.getInputCol()))
-        sums = []
-        for j in range(k):
-            part = F.array(*[F.lit(x) for x in entries[j * n:(j + 1) * n]])
-            sums.append(F.aggregate(F.zip_with(v, part, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
-        return df.withColumn(self.getOutputCol(), array_to_vector(F.array(*sums)))
+        sums = X.let(v, lambda x: F.transform(parts, lambda part: F.aggregate(
+            F.zip_with(x, part, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)))
+        return df.withColumn(self.getOutputCol(), array_to_vector(sums))

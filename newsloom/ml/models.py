@@ -22,6 +22,9 @@ from newsloom.ml import features, select
 from newsloom.operators.ordering import running_index
 
 
+CLASSES_AT_ONCE = 4  # classifiers of a one-per-class model that are trained side by side
+
+
 class _ByC(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, DefaultParamsReadable,
            DefaultParamsWritable):
     """Linear model with the penalty given as ``C``, relative to a summed loss.
@@ -57,14 +60,15 @@ class LinearSvm(_ByC):
 
     def _fit(self, df: DataFrame):
         return OneVsRest(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
-                         predictionCol=self.getPredictionCol(), classifier=LinearSVC(**self._common(df))).fit(df)
+                         predictionCol=self.getPredictionCol(), parallelism=CLASSES_AT_ONCE,
+                         classifier=LinearSVC(**self._common(df))).fit(df)
 
 
 def boosted_trees(featuresCol: str = "features", labelCol: str = "label", n_estimators: int = 300,
                   learning_rate: float = 0.05, max_depth: int = 6, subsample: float = 0.8,
                   colsample_bytree: float = 0.8, seed: int = 42) -> OneVsRest:
     """Gradient-boosted trees, one classifier per class."""
-    return OneVsRest(featuresCol=featuresCol, labelCol=labelCol, classifier=GBTClassifier(
+    return OneVsRest(featuresCol=featuresCol, labelCol=labelCol, parallelism=CLASSES_AT_ONCE, classifier=GBTClassifier(
         featuresCol=featuresCol, labelCol=labelCol, maxIter=n_estimators, stepSize=learning_rate,
         maxDepth=max_depth, subsamplingRate=subsample, featureSubsetStrategy=str(colsample_bytree), seed=seed))
 

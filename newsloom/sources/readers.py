@@ -115,8 +115,8 @@ def read_text_tree(spark: SparkSession, path: str, trees: Sequence[str] = CORPUS
     kind of tree and text. Files elsewhere are left out; unreadable bytes and
     missing files give an empty text."""
     files = (
-        spark.read.options(wholetext=True, recursiveFileLookup=True, ignoreMissingFiles=True)
-        .text(path).select(F.col("value"), F.col("_metadata.file_path").alias("__p"))
+        spark.read.options(recursiveFileLookup=True, ignoreMissingFiles=True)
+        .text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("__p"))
     )
     return files.select(
         _path_part(-1).alias("filename"), _path_part(-2).alias("category"),

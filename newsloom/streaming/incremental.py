@@ -17,9 +17,9 @@ from newsloom.sources.readers import PAYLOAD_KEYS, explode_payload
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, array_keys: Sequence[str] = PAYLOAD_KEYS,
-                 *, max_files: int | None = None) -> DataFrame:
+                 *, max_files: int | None = None, multiline: bool = True) -> DataFrame:
     """Stream of article rows from payload files as they land."""
-    reader = spark.readStream.schema(schema).option("multiLine", True)
+    reader = spark.readStream.schema(schema).option("multiLine", multiline)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return explode_payload(reader.json(path), array_keys)
