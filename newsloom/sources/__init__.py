@@ -1 +1 @@
-"""Readers. Every reader returns a DataFrame and runs no job of its own."""
+"""Readers: files, payloads, text trees, snapshots and database tables as DataFrames."""

@@ -24,14 +24,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              **options: Any) -> DataFrame:
     """CSV with a header, quoted line breaks and ``""`` as the quote escape.
 
-    Give ``schema`` in production: without one every column is read as text,
-    so no extra pass over the data is made to guess types.
+    Without ``schema`` every column is read as text under the checked header;
+    no pass over the data is made to guess types.
     """
-    reader = spark.read.options(header=True, sep=sep, multiLine=True, escape='"', **options)
+    options = {"sep": sep, "multiLine": True, "escape": '"', **options}
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    frame = reader.csv(path)
-    return frame.toDF(*check_header(frame.columns))
+        return spark.read.options(header=True, **options).schema(schema).csv(path)
+    header = spark.read.options(header=False, **options).csv(path).first()  # one line of one file
+    names = check_header([n or "" for n in header] if header else [])
+    return spark.read.options(header=True, **options).csv(path).toDF(*names)
 
 
 def read_semicolon_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -112,8 +113,8 @@ def _path_part(position: int) -> Column:
 
 def read_text_tree(spark: SparkSession, path: str, trees: Sequence[str] = CORPUS_TREES) -> DataFrame:
     """One row per file of ``<tree>/<category>/<file>``: filename, category,
-    kind of tree and text. Files elsewhere are left out; unreadable bytes and
-    missing files give an empty text."""
+    kind of tree and text. Files elsewhere are left out. Spark lists no files of
+    zero bytes, so an empty text is an absent one (the cleaning drops both)."""
     files = (
         spark.read.options(recursiveFileLookup=True, ignoreMissingFiles=True)
         .text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("__p"))
