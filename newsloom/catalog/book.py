@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.session import spread
+
 
 class Book:
     """Queries of one area by name, with the SQL that gives the same rows."""
@@ -31,6 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts get costly work: spread if it is a small file."""
+    return spread(table(spark, folder, name))
+
+
 # --- adapters: news-shaped rows from the given tables, in Spark and in SQL ------------------
 
 # fixed values: one made-up category per last digit of the document number

@@ -10,6 +10,7 @@ from newsloom.catalog.book import ARTICLES_SQL, FIRST_SECOND, Book, articles, ta
 from newsloom.functions.ids import IdLayout
 from newsloom.operators.quality import combined_suite, run_suite, silver_suite
 from newsloom.plans import bronze, corpus, gold, silver
+from newsloom.session import stage
 
 
 BOOK = Book()
@@ -164,7 +165,7 @@ def combined_job(spark, folder):
     select url from combined where published_us > (select max(published_us) from old))""")
 def combined_incremental(spark, folder):
     sources = four_sources(spark, folder)
-    target = silver.combine({"staging": sources["staging"]})  # what an earlier run has loaded
+    target = stage(silver.combine({"staging": sources["staging"]}), "combined")  # what an earlier run has loaded
     return _shown(silver.refresh_combined(sources, target))
 
 
@@ -180,7 +181,7 @@ def combined_ids(spark, folder):
   select 31 as rules, 31 - cast(count(*) filter (where published_us is null) > 0 as integer)
     - cast(count(*) filter (where length(title) not between 1 and 5000) > 0 as integer) as passed from combined""")
 def combined_quality(spark, folder):
-    rows = silver.finish_combined(silver.combine(four_sources(spark, folder)), LAYOUT, ["url"])
+    rows = stage(silver.finish_combined(silver.combine(four_sources(spark, folder)), LAYOUT, ["url"]), "combined")
     return run_suite(rows, combined_suite()).agg(
         F.count(F.lit(1)).cast("int").alias("rules"), F.count_if("success").cast("int").alias("passed"))
 
@@ -201,7 +202,7 @@ _GOLD_SQL = f"""{_COMBINED_SQL},
     {S.feature_text('description')} as description_clean, published_us, {S.category_code('g.category')} as category_encode
   from combined join g on id = url""")
 def gold_job(spark, folder):
-    made = gold.build(silver.combine(four_sources(spark, folder)))
+    made = gold.build(stage(silver.combine(four_sources(spark, folder)), "combined"))  # the job reads the stored table
     return made.select("url", "source_system", "category", "title_clean", "description_clean",
                        F.unix_micros("published_at").alias("published_us"), "category_encode")
 

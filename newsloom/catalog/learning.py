@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.catalog import sqltext as S
-from newsloom.catalog.book import Book, articles, table
+from newsloom.catalog.book import Book, articles, table, texts
 from newsloom.ml import evaluate as E
 from newsloom.ml import features as V
 from newsloom.ml import models as M
@@ -30,7 +30,7 @@ _WEIGHTS = """n as (select count(*) as n from documents),
 
 
 def _documents(spark, folder) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return texts(spark, folder, "documents").select("doc_id", "text")
 
 
 @BOOK.query("bag_of_words", f"with {_BAG} select * from bag")

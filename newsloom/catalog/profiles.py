@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.catalog import sqltext as S
-from newsloom.catalog.book import ARTICLES_SQL, Book, articles, table
+from newsloom.catalog.book import ARTICLES_SQL, Book, articles, table, texts
 from newsloom.operators import profile as P
 from newsloom.operators.ordering import dense_index
 
@@ -130,7 +130,7 @@ def head_tail(spark, folder):
   select word, count(*) as n from (select unnest({S.words('text')}) as word from documents)
   group by word order by n desc, word limit 30""")
 def word_top30(spark, folder):
-    return P.top_words(table(spark, folder, "documents"), "text", 30)
+    return P.top_words(texts(spark, folder, "documents"), "text", 30)
 
 
 @BOOK.query("label_encode_texts", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsloom.catalog import sqltext as S
-from newsloom.catalog.book import ARTICLES_SQL, Book, articles, table
+from newsloom.catalog.book import ARTICLES_SQL, Book, articles, table, texts
 from newsloom.constants import CATEGORY_TYPOS
 from newsloom.functions import text as X
 from newsloom.functions.times import normalize_timestamp
@@ -43,31 +43,31 @@ def replace_map(spark, folder):
 
 @BOOK.query("normalize_text", f"select doc_id, {S.normalize_text('text')} as cleaned from documents")
 def normalize_text(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", X.normalize_text(F.col("text")).alias("cleaned"))
+    return texts(spark, folder, "documents").select("doc_id", X.normalize_text(F.col("text")).alias("cleaned"))
 
 
 @BOOK.query("normalize_text_pages",
             f"select page_id, {S.normalize_text('html', entities=True)} as cleaned from pages")
 def normalize_text_pages(spark, folder):
-    return table(spark, folder, "pages").select("page_id", X.normalize_text(F.col("html")).alias("cleaned"))
+    return texts(spark, folder, "pages").select("page_id", X.normalize_text(F.col("html")).alias("cleaned"))
 
 
 @BOOK.query("clean_keep_meaning", f"select doc_id, {S.clean_keep_meaning('text')} as cleaned from documents")
 def clean_keep_meaning(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", X.clean_keep_meaning(F.col("text")).alias("cleaned"))
+    return texts(spark, folder, "documents").select("doc_id", X.clean_keep_meaning(F.col("text")).alias("cleaned"))
 
 
 @BOOK.query("clean_keep_meaning_pages", f"select page_id, {S.clean_keep_meaning('html')} as cleaned from pages")
 def clean_keep_meaning_pages(spark, folder):
-    return table(spark, folder, "pages").select("page_id", X.clean_keep_meaning(F.col("html")).alias("cleaned"))
+    return texts(spark, folder, "pages").select("page_id", X.clean_keep_meaning(F.col("html")).alias("cleaned"))
 
 
 @BOOK.query("feature_text", f"""
   select 'd' || doc_id as id, {S.feature_text('text')} as cleaned from documents
   union all select 'p' || page_id, {S.feature_text('html')} from pages""")
 def feature_text(spark, folder):
-    d = table(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
-    p = table(spark, folder, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
+    d = texts(spark, folder, "documents").select(F.concat(F.lit("d"), "doc_id").alias("id"), "text")
+    p = texts(spark, folder, "pages").select(F.concat(F.lit("p"), "page_id").alias("id"), F.col("html").alias("text"))
     return d.unionByName(p).select("id", X.feature_text(F.col("text")).alias("cleaned"))
 
 

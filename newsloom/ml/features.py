@@ -56,9 +56,14 @@ def tfidf(df: DataFrame, key: str, column: str, *, max_features: int | None = No
     """
     bag = bag_of_words(df, key, column)
     n = df.count()
-    stats = bag.groupBy("word").agg(F.count(F.lit(1)).alias("__n"), F.sum("tf").alias("__total"))
+    # a text is one row, so its distinct words count documents without a shuffle by key
+    found = X.words(F.col(column))
+    stats = df.select(F.explode(F.array_distinct(found)).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("__n"))
     if max_features:
-        stats = stats.orderBy(F.desc("__total"), "word").limit(max_features)
+        totals = df.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("__total"))
+        kept = totals.orderBy(F.desc("__total"), "word").limit(max_features)
+        stats = stats.join(F.broadcast(kept), "word")  # max_features rows
     idf = stats.select("word", "__n", (F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("__n"))) + 1).alias("__idf"))
     joined = lookup_join(bag, idf, "word", weight="__n", max_rows=max_rows, how="inner")
     raw = joined.select(key, "word", (F.col("tf") * F.col("__idf")).alias("__w"))

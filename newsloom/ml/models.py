@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.ml import features, select
-from newsloom.operators.ordering import running_index
+from newsloom.operators.ordering import lookup_join, running_index
 
 
 CLASSES_AT_ONCE = 4  # classifiers of a one-per-class model that are trained side by side
@@ -153,11 +153,10 @@ def _shuffled_place(df: DataFrame, label: str, key: str, seed: int, **options) -
 def stratified_split(df: DataFrame, label: str, key: str, *, test_size: float = 0.4, seed: int = 42,
                      out: str = "is_test", **options) -> DataFrame:
     """Mark a share of every class as test rows; the share is met exactly per class."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    placed = _shuffled_place(df, label, key, seed, **options)
-    cut = F.floor(F.col("__n") * F.lit(test_size) + F.lit(0.5))
-    return placed.join(sizes, label).withColumn(out, F.col("__place") < cut).drop("__place", "__n").select(
-        *df.columns, out)
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        "__cut", F.floor(F.col("__n") * F.lit(test_size) + F.lit(0.5)))
+    placed = lookup_join(_shuffled_place(df, label, key, seed, **options), sizes, label, weight="__n")
+    return placed.withColumn(out, F.col("__place") < F.col("__cut")).select(*df.columns, out)
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, *, folds: int = 5, seed: int = 2025, out: str = "fold",

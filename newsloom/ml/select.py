@@ -14,6 +14,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.operators.ordering import lookup_join
+from newsloom.session import stage
+
 # --- long form: one row per (row, feature) with a value above zero ---------------------------
 
 
@@ -26,11 +29,11 @@ def chi2_scores(values: DataFrame, classes: DataFrame, feature: str = "word", va
     """
     shares = classes.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
     shares = shares.crossJoin(F.broadcast(shares.agg(F.sum("__c").alias("__all")))).select(
-        label, (F.col("__c") / F.col("__all")).alias("__share"))
+        label, "__c", (F.col("__c") / F.col("__all")).alias("__share"))
     observed = values.groupBy(feature, label).agg(F.sum(value).cast("double").alias("__o"))
     # a class without the feature adds its whole expectation, so with o summed over
     # classes: sum((o - e)^2 / e) = sum(o^2 / e) - total, where e = share * total
-    parts = observed.join(shares, label).groupBy(feature).agg(
+    parts = lookup_join(observed, shares, label, weight="__c", how="inner").groupBy(feature).agg(
         F.sum(F.col("__o") * F.col("__o") / F.col("__share")).alias("__q"), F.sum("__o").alias("__t"))
     return parts.select(feature, (F.col("__q") / F.col("__t") - F.col("__t")).alias("chi2"))
 
@@ -43,8 +46,10 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
     hold zero. Without ``value`` the feature is its presence.
     """
     level = F.lit(1) if value is None else F.col(value)
-    per_class = classes.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
-    seen = values.groupBy(feature, label, level.cast("string").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    per_class = stage(classes.groupBy(label).agg(F.count(F.lit(1)).alias("__c")), "classes")
+    # written once, as several sums are taken over it
+    seen = stage(values.groupBy(feature, label, level.cast("string").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__n")), "seen")
     # the zero level of each (feature, label) is what the seen levels leave of the class;
     # classes a feature never meets are covered by the totals of the feature
     by_class = seen.groupBy(feature, label).agg(F.sum("__n").alias("__s"))
@@ -58,7 +63,8 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
     # n * I = sum nlog n(v,l) - sum mlog m(v) - sum clog c(l) + N log N over all levels v incl. zero
     joint_seen = seen.groupBy(feature).agg(F.sum(xlogx(F.col("__n").cast("double"))).alias("__js"))
     level_seen = by_level.groupBy(feature).agg(F.sum(xlogx(F.col("__m").cast("double"))).alias("__ls"))
-    zero_met = by_class.join(per_class, label).groupBy(feature).agg(
+    zero_met = lookup_join(
+        by_class, per_class.withColumn("__w", F.col("__c")), label, weight="__w", how="inner").groupBy(feature).agg(
         F.sum(xlogx((F.col("__c") - F.col("__s")).cast("double"))).alias("__zm"),
         F.sum(xlogx(F.col("__c").cast("double"))).alias("__cm"))
     const = per_class.agg(F.sum(xlogx(F.col("__c").cast("double"))).alias("__call")).crossJoin(F.broadcast(n))

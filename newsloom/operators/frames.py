@@ -173,7 +173,8 @@ def _each(df: DataFrame, columns: Sequence[str] | None, fn) -> DataFrame:
 
 def sentinels_to_null(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Texts that mean "no value" become null in every text column."""
-    return _each(df, None, lambda c: X.null_if_in(c, [*SENTINELS, *extra]))
+    names = _text_columns(df, None)
+    return df.replace([*SENTINELS, *extra], None, names) if names else df
 
 
 def strip_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -201,11 +202,18 @@ def clean_text_columns(df: DataFrame, columns: Sequence[str], cleaner=X.clean_ke
 def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Rows after the target's highest value; everything if the target has none.
 
-    The highest value is one row, computed once, and kept inside the plan.
+    The highest value is one number, read first. As a constant it reaches the
+    scan, where whole files and row groups are skipped.
     """
-    mark = target.agg(F.max(column).alias("__mark"))
-    kept = F.col("__mark").isNull() | (F.col(column) > F.col("__mark"))
-    return df.join(F.broadcast(mark), how="cross").filter(kept).drop("__mark")
+    kind = target.schema[column].dataType
+    highest = F.max(column)
+    if isinstance(kind, T.TimestampType):
+        us = target.agg(F.unix_micros(highest)).first()[0]
+        mark = None if us is None else F.timestamp_micros(F.lit(us))
+    else:
+        value = target.agg(highest).first()[0]
+        mark = None if value is None else F.lit(value).cast(kind)
+    return df if mark is None else df.filter(F.col(column) > mark)
 
 
 def rare_to_default(df: DataFrame, column: str = "category", *, below: int = RARE_BELOW,

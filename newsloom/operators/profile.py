@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions import text as X
-from newsloom.operators.ordering import LOOKUP_ROWS, dense_index, running
+from newsloom.operators.ordering import HOT_ROWS, LOOKUP_ROWS, dense_index, running
+from newsloom.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
-EXACT_DISTINCT = 1_000_000  # distinct values one aggregation buffer may hold
+EXACT_DISTINCT = 200_000  # distinct values one aggregation buffer may hold
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -86,57 +88,88 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, *,
-                    distinct_limit: int = EXACT_DISTINCT, accuracy: int = 10_000) -> DataFrame:
+                    also: dict[str, Column] | None = None, distinct_limit: int = EXACT_DISTINCT,
+                    accuracy: int = 10_000) -> DataFrame:
     """Linearly interpolated quantiles as one row with ``q<i>__<column>``.
 
     Columns with few distinct values go through the built-in aggregate, whose
     buffer holds every distinct value. For the others a sketch brackets each
-    rank; only the values inside the bracket are counted and ranked.
+    rank; only the values inside the bracket are counted and ranked. ``also``
+    adds plain aggregates to the row.
     """
-    stats = df.agg(*[F.count(c).alias(f"n__{c}") for c in columns],
-                   *[F.approx_count_distinct(c).alias(f"d__{c}") for c in columns]).first()
-    plain = [c for c in columns if stats[f"d__{c}"] <= distinct_limit]
-    row = df.agg(F.count(F.lit(1)).alias("__rows"), *[
-        F.percentile(F.col(c), F.array(*[F.lit(p) for p in probs])).alias(f"__p__{c}") for c in plain])
-    row = row.select(*[
-        F.col(f"`__p__{c}`")[i].alias(f"q{i}__{c}") for c in plain for i in range(len(probs))], F.lit(1).alias("__one"))
-    for c in [c for c in columns if c not in plain]:
-        row = row.crossJoin(F.broadcast(_bracketed(df, c, probs, stats[f"n__{c}"], accuracy)))
-    return row.drop("__one")
-
-
-def _bracketed(df: DataFrame, column: str, probs: Sequence[float], n: int, accuracy: int) -> DataFrame:
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     slack = 3.0 / accuracy
-    wanted = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
-    ends = values.agg(F.percentile_approx("v", wanted, accuracy).alias("e")).first()["e"]
-    out = None
-    below = values.agg(*[
-        F.count_if(F.col("v") < F.lit(ends[2 * i])).alias(f"b{i}") for i in range(len(probs))]).first()
-    for i, p in enumerate(probs):
-        low, high, weight = _ranks(n, p)
-        inside = values.filter(F.col("v").between(ends[2 * i], ends[2 * i + 1])).groupBy("v").agg(
-            F.count(F.lit(1)).alias("n"))
-        counted = running(inside, "v", F.col("n"), "upto", inclusive=True)
-        upto = F.col("upto") + F.lit(below[f"b{i}"])
-        picked = counted.agg(
-            F.min(F.when(upto > low, F.col("v"))).alias("lo"), F.min(F.when(upto > high, F.col("v"))).alias("hi"))
-        one = picked.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.lit(weight)).alias(f"q{i}__{column}"))
-        out = one if out is None else out.crossJoin(F.broadcast(one))
-    return out
+    reach = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    first = df.agg(
+        *[F.count(c).alias(f"n__{c}") for c in columns], *[F.approx_count_distinct(c).alias(f"d__{c}") for c in columns],
+        *[F.percentile_approx(F.col(c).cast("double"), reach, accuracy).alias(f"e__{c}") for c in columns]).first()
+    plain = [c for c in columns if first[f"d__{c}"] <= distinct_limit]
+    wide = [c for c in columns if c not in plain]
+    brackets = {c: list(zip(first[f"e__{c}"][::2], first[f"e__{c}"][1::2])) for c in wide}
+
+    # sketches keep an aggregation out of generated code, so they get a pass of their own
+    sums = dict(also or {})
+    sums.update({
+        f"b{i}__{c}": F.count_if(F.col(c) < F.lit(low)) for c in wide for i, (low, _) in enumerate(brackets[c])})
+    buffers = df.agg(F.count(F.lit(1)).alias("__rows"), *[
+        F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(f"p__{c}") for c in plain])
+    summary = buffers.select(*[F.col(f"`p__{c}`")[i].alias(f"q{i}__{c}") for c in plain for i in range(len(probs))],
+                             F.lit(1).alias("__one"))
+    if sums:
+        summary = summary.crossJoin(F.broadcast(df.agg(*[v.alias(k) for k, v in sums.items()])))  # one row each
+    summary = summary.drop("__one")
+    if not wide:
+        return summary
+    row = summary.first().asDict()  # one row of numbers
+    picks = {}
+    for c in wide:
+        for i, p in enumerate(probs):
+            low, high, weight = _ranks(first[f"n__{c}"], p)
+            below = row.pop(f"b{i}__{c}")
+            own = (F.col("c") == c) & (F.col("i") == i)
+            picks[f"q{i}__{c}"] = (weight, [
+                F.min(F.when(own & (F.col("upto") > rank - below), F.col("v"))) for rank in (low, high)])
+    ends = _ranked_inside(df, brackets).agg(*[c for _, pair in picks.values() for c in pair]).first()
+    for at, (name, (weight, _)) in enumerate(picks.items()):
+        low, high = ends[2 * at], ends[2 * at + 1]
+        row[name] = None if low is None else low + (high - low) * weight
+    kinds = {f.name: f.dataType for f in summary.schema.fields}
+    schema = T.StructType([T.StructField(k, kinds.get(k, T.DoubleType())) for k in row])
+    return df.sparkSession.createDataFrame([tuple(row.values())], schema)
+
+
+def _ranked_inside(df: DataFrame, brackets: dict[str, list]) -> DataFrame:
+    """Rows (c, i, v, upto): every distinct value inside bracket ``i`` of column ``c``
+    with the number of bracket rows up to it."""
+    hits = [
+        F.when(F.col(c).cast("double").between(low, high),
+               F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
+        for c, ends in brackets.items() for i, (low, high) in enumerate(ends)
+    ]
+    counted = stage(
+        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.c", "h.i", "h.v").agg(
+            F.count(F.lit(1)).alias("n")), "brackets")
+    if counted.count() <= HOT_ROWS:  # one task may order each bracket
+        upto = Window.partitionBy("c", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        return counted.withColumn("upto", F.sum("n").over(upto))
+    parts = [
+        running(counted.filter((F.col("c") == c) & (F.col("i") == i)), "v", F.col("n"), "upto")
+        for c, ends in brackets.items() for i in range(len(ends))
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, **quantile_options) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     columns = list(columns or numeric_columns(df))
     fields = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    row = df.agg(*[
-        agg.alias(f"{name}__{c}") for c in columns for name, agg in {
-            "count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c),
-            "min": F.min(F.col(c).cast("double")), "max": F.max(F.col(c).cast("double"))}.items()])
-    quantiles = exact_quantiles(df, columns, QUARTILES, **quantile_options).withColumnsRenamed(
+    others = {}
+    for c in columns:
+        others.update({
+            f"count__{c}": F.count(c), f"mean__{c}": F.avg(c), f"std__{c}": F.stddev_samp(c),
+            f"min__{c}": F.min(F.col(c).cast("double")), f"max__{c}": F.max(F.col(c).cast("double"))})
+    row = exact_quantiles(df, columns, QUARTILES, also=others, **quantile_options).withColumnsRenamed(
         {f"q{i}__{c}": f"{name}__{c}" for c in columns for i, name in enumerate(["q25", "q50", "q75"])})
-    return _one_row_per_column(row.crossJoin(F.broadcast(quantiles)), columns, fields)
+    return _one_row_per_column(row, columns, fields)
 
 
 # --- distributions ------------------------------------------------------------------

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from newsloom.operators.dedup import keep_first
-from newsloom.operators.frames import stamp
-from newsloom.plans.silver import clean_rows
-from newsloom.sinks.upsert import upsert_snapshot
+from newsloom.plans.silver import clean
+from newsloom.sinks.upsert import upsert_buckets, upsert_snapshot
 from newsloom.sources.readers import PAYLOAD_KEYS, explode_payload
 
 
@@ -34,21 +32,26 @@ def each_batch(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkp
 
 
 def stream_to_silver(rows: DataFrame, source: str, path: str, checkpoint: str, *, order_by: str,
-                     target_schema: T.StructType, now_ms: int, entities: bool = True) -> StreamingQuery:
-    """Clean a stream of bronze rows and load it by URL into a versioned table.
-
-    The cleaning is stateless. Inside a batch the first row per URL is kept;
-    earlier batches are met in the keyed load. A batch that is repeated after a
-    failure changes nothing.
+                     target_schema: T.StructType, now_ms: int, entities: bool = True,
+                     buckets: int | None = None) -> StreamingQuery:
+    """Clean a stream of bronze rows and load it by URL into a stored table.
+
+    Inside a batch the first row per URL is kept; earlier batches are met in the
+    keyed load. A batch that is repeated after a failure changes nothing. With
+    ``buckets`` a batch rewrites only the buckets it hits, otherwise a new
+    version of the whole table is written.
     """
-    cleaned = stamp(clean_rows(rows, source, entities=entities), layer="silver")
-
     def load(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            upsert_snapshot(path, keep_first(batch, "url", order_by), ["url"],
-                            now=F.timestamp_millis(F.lit(now_ms)), target_schema=target_schema)
-
-    return each_batch(cleaned, load, checkpoint)
+        if batch.isEmpty():
+            return
+        cleaned = clean(batch, source, order_by, entities=entities)
+        now = F.timestamp_millis(F.lit(now_ms))
+        if buckets:
+            upsert_buckets(path, cleaned, ["url"], buckets=buckets, now=now, target_schema=target_schema)
+        else:
+            upsert_snapshot(path, cleaned, ["url"], now=now, target_schema=target_schema)
+
+    return each_batch(rows, load, checkpoint)
 
 
 def first_seen(rows: DataFrame, key: str = "url", event_time: str = "published_at",
