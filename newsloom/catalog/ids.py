@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from newsloom.catalog.book import Book, table
 from newsloom.functions.ids import IdLayout
 from newsloom.operators.dedup import duplicate_keys
-from newsloom.operators.ids import advance_registry, assign_ids, bulk_ids, decode_ids, ids_by_rank, run_summary
+from newsloom.operators.ids import (
+    advance_registry, assign_ids, bulk_ids, decode_ids, ids_by_rank, merge_run_log, run_summary,
+)
 from newsloom.operators.ordering import dense_index, running_index
 
 BOOK = Book()
@@ -88,6 +90,31 @@ def id_run_log(spark, folder):
     return run_summary(assign_ids(e, LAYOUT, ["event_id"]), source_col="event_type", job_name="daily")
 
 
+_LOG = """select event_type as source_name, 'daily' as job_name, cast(min(event_id) as varchar) as id_start,
+    cast(max(event_id) as varchar) as id_end from events where value < 10 group by event_type"""
+
+
+@BOOK.query("run_log_merge", f"""
+  with log as ({_LOG}),
+  run as (select event_type as source_name, case when event_type = 'error' then 'extra' else 'daily' end as job_name,
+    cast(min(event_id) + 1000000000 as varchar) as id_start, cast(max(event_id) + 1000000000 as varchar) as id_end
+    from events group by event_type)
+  select coalesce(log.source_name, run.source_name) as source_name, coalesce(log.job_name, run.job_name) as job_name,
+    coalesce(log.id_start, run.id_start) as id_start, coalesce(run.id_end, log.id_end) as id_end,
+    log.source_name is not null and run.source_name is not null as updated
+  from log full join run on log.source_name = run.source_name and log.job_name = run.job_name""")
+def run_log_merge(spark, folder):
+    e = table(spark, folder, "events")
+    stamps = {"createdate": F.lit("2025-01-01").cast("timestamp"), "usercreate": F.lit("system"),
+              "updatedate": F.lit(None).cast("timestamp"), "userupdate": F.lit(None).cast("string")}
+    log = run_summary(e.filter("value < 10"), source_col="event_type", job_name="daily", id_col="event_id")
+    run = run_summary(e.withColumn("event_id", F.col("event_id") + 1_000_000_000), source_col="event_type",
+                      job_name="daily", id_col="event_id").withColumn(
+        "job_name", F.when(F.col("source_name") == "error", "extra").otherwise("daily"))
+    merged = merge_run_log(log.withColumns(stamps), run, F.lit("2025-10-06").cast("timestamp"))
+    return merged.select("source_name", "job_name", "id_start", "id_end", F.col("updatedate").isNotNull().alias("updated"))
+
+
 @BOOK.query("registry_advance", """
   with r as (select event_type as source_name, case when event_type = 'click' then null
       else epoch_us(median(ts)) // 1000 end as last_timestamp from events group by event_type),

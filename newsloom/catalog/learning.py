@@ -193,6 +193,17 @@ def pca_2d(spark, folder):
     return out.select("vec_id", F.round(F.abs(F.col("p")[0]), 6).alias("pc1"), F.round(F.abs(F.col("p")[1]), 6).alias("pc2"))
 
 
+@BOOK.query("pca_energy", """
+  with x as (select unnest(embedding) as x, generate_subscripts(embedding, 1) as j from embeddings),
+  d as (select j, sum(cast(x as double) * x) - sum(cast(x as double)) ** 2 / count(*) as e from x group by j)
+  select round(sum(e), 3) as energy from d""")
+def pca_energy(spark, folder):
+    # all components of the centred vectors keep their sum of squares
+    v = _vectors(spark, folder)
+    out = V.Pca(k=64).fit(v).transform(v).withColumn("p", vector_to_array("pca"))
+    return out.select(F.explode("p").alias("x")).agg(F.round(F.sum(F.col("x") * F.col("x")), 3).alias("energy"))
+
+
 @BOOK.query("svd_energy", """
   select round(sum(list_sum(list_transform(embedding, lambda x: cast(x as double) * cast(x as double)))), 4) as energy
   from embeddings""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator
@@ -28,8 +30,7 @@ def chi2_scores(values: DataFrame, classes: DataFrame, feature: str = "word", va
     of items times the sum of the feature. Two aggregations, no item-wide rows.
     """
     shares = classes.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
-    shares = shares.crossJoin(F.broadcast(shares.agg(F.sum("__c").alias("__all")))).select(
-        label, "__c", (F.col("__c") / F.col("__all")).alias("__share"))
+    shares = shares.withColumn("__share", F.col("__c") / F.lit(classes.count()))
     observed = values.groupBy(feature, label).agg(F.sum(value).cast("double").alias("__o"))
     # a class without the feature adds its whole expectation, so with o summed over
     # classes: sum((o - e)^2 / e) = sum(o^2 / e) - total, where e = share * total
@@ -55,8 +56,6 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
     by_class = seen.groupBy(feature, label).agg(F.sum("__n").alias("__s"))
     by_level = seen.groupBy(feature, "__v").agg(F.sum("__n").alias("__m"))
     by_feature = by_class.groupBy(feature).agg(F.sum("__s").alias("__t"))
-    n = per_class.agg(F.sum("__c").alias("__all"))
-
     def xlogx(c):
         return F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0))
 
@@ -67,19 +66,15 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
         by_class, per_class.withColumn("__w", F.col("__c")), label, weight="__w", how="inner").groupBy(feature).agg(
         F.sum(xlogx((F.col("__c") - F.col("__s")).cast("double"))).alias("__zm"),
         F.sum(xlogx(F.col("__c").cast("double"))).alias("__cm"))
-    const = per_class.agg(F.sum(xlogx(F.col("__c").cast("double"))).alias("__call")).crossJoin(F.broadcast(n))
-    # classes not met keep all their items at level zero: add sum c log c over them
-    out = (
-        joint_seen.join(level_seen, feature).join(zero_met, feature).join(by_feature, feature)
-        .join(F.broadcast(const), how="cross")
-    )
-    rest = F.col("__all") - F.col("__t")
+    items = per_class.agg(F.sum("__c")).first()[0] or 0
+    # classes not met keep all their items at level zero; their c log c terms cancel
+    out = joint_seen.join(level_seen, feature).join(zero_met, feature).join(by_feature, feature)
+    zeros = (F.lit(items) - F.col("__t")).cast("double")
     total = (
-        F.col("__js") + F.col("__zm") + (F.col("__call") - F.col("__cm"))
-        - F.col("__ls") - xlogx(rest.cast("double"))
-        - F.col("__call") + F.col("__all") * F.log(F.col("__all").cast("double"))
+        F.col("__js") + F.col("__zm") - F.col("__cm") - F.col("__ls") - xlogx(zeros)
+        + F.lit(items * math.log(items) if items else 0.0)
     )
-    return out.select(feature, (total / F.col("__all")).alias("mi"))
+    return out.select(feature, (total / F.lit(items)).alias("mi"))
 
 
 def top_features(scores: DataFrame, k: int, score: str, feature: str = "word") -> DataFrame:

@@ -161,6 +161,11 @@ def is_missing_id(c: Column) -> Column:
     return c.isNull() | (c.cast("string") == "")
 
 
+def is_loadable(df: DataFrame, column: str = "url") -> bool:
+    """Whether a job has something to do: the needed column is there, and a row."""
+    return column in df.columns and not df.isEmpty()
+
+
 def _text_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     names = df.columns if columns is None else columns
     return [c for c in names if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]

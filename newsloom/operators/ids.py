@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.constants import SYSTEM_USER
 from newsloom.functions.ids import IdLayout, pack_id, unpack_id
 from newsloom.operators.frames import is_missing_id
 from newsloom.operators.ordering import dense_index, lookup_join, running, running_index
@@ -126,6 +127,21 @@ def run_summary(df: DataFrame, *, source_col: str, job_name: str, id_col: str =
     )
 
 
+def merge_run_log(log: DataFrame, summary: DataFrame, now: Column, user: str = SYSTEM_USER) -> DataFrame:
+    """The run log after a run: new (source, job) pairs are added; of known pairs
+    the last id and the update stamps change, the first id stays."""
+    key = ["source_name", "job_name"]
+    new = summary.select(*key, F.col("id_start").alias("__start"), F.col("id_end").alias("__end"))
+    both = log.withColumn("__known", F.lit(True)).join(new, key, "full_outer")
+    run, known = F.col("__end").isNotNull(), F.col("__known").isNotNull()
+    return both.select(
+        *key, F.coalesce("id_start", "__start").alias("id_start"), F.coalesce("__end", "id_end").alias("id_end"),
+        F.when(known, F.col("createdate")).otherwise(now).alias("createdate"),
+        F.when(known, F.col("usercreate")).otherwise(F.lit(user)).alias("usercreate"),
+        F.when(run & known, now).otherwise(F.col("updatedate")).alias("updatedate"),
+        F.when(run & known, F.lit(user)).otherwise(F.col("userupdate")).alias("userupdate"))
+
+
 def advance_registry(registry: DataFrame, seen: DataFrame) -> DataFrame:
     """Raise each source's last timestamp to the highest one seen, never lower.
 

@@ -22,7 +22,8 @@ from newsloom.session import stage
 HOT_ROWS = 1_000_000  # rows one task may order by itself; a larger group is cut into slices
 MAX_HOT_GROUPS = 1_000  # so a group that is not cut holds at most 1/1000 of the rows
 MAX_SLICES = 10_000  # slices of one order range
-LOOKUP_ROWS = 200_000  # a lookup up to this size is broadcast
+LOOKUP_ROWS = 200_000  # rows and
+LOOKUP_BYTES = 64 << 20  # bytes of text keys up to which a lookup is broadcast
 CUT_SAMPLE = 20_000  # text values looked at to place the cuts of a text column
 CUT_LENGTH = 64  # characters of such a value that are kept
 
@@ -153,7 +154,9 @@ def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[st
     marked = df.join(F.broadcast(hot_df), cond, "left").drop(*[f"__h_{k}" for k in keys])
 
     hot_only = marked.filter("__hot")  # the cuts follow the hot rows only
-    probe = with_slice(hot_only, order_by[0], slices_for(sum(r["__n"] for r in hot), slices))
+    wanted = slices_for(sum(r["__n"] for r in hot), slices)
+    # one offset per group and slice is broadcast: few enough of both
+    probe = with_slice(hot_only, order_by[0], min(wanted, max(1, LOOKUP_ROWS // len(hot))))
     carry = _carry_in(probe, F.lit(1), F.sum, keys)
     carry = carry.select(*[F.col(k).alias(f"__c_{k}") for k in keys],
                          F.col("__slice").alias("__c_slice"), "__carry")
@@ -172,27 +175,38 @@ def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[st
     )
 
 
+def fits_broadcast(staged: DataFrame, key: str, max_rows: int = LOOKUP_ROWS) -> bool:
+    """Whether a written table is small enough to broadcast, by rows and text bytes."""
+    text = isinstance(staged.schema[key].dataType, T.StringType)
+    size = F.sum(F.octet_length(key)) if text else F.lit(0)
+    found = staged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("b")).first()
+    return found["n"] <= max_rows and found["b"] <= LOOKUP_BYTES
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str, *, weight: str, max_rows: int = LOOKUP_ROWS,
                 how: str = "left") -> DataFrame:
     """Join a one-row-per-key lookup that was derived from ``df`` itself.
 
-    The lookup is written once and counted. Small, it is broadcast. Large, only
+    The lookup is written once and measured. Small, it is broadcast. Large, only
     its heaviest keys (``weight`` = rows per key) are broadcast, and the rest
-    meets in a shuffle join from which the heavy keys have been taken out, so
-    no shuffle partition receives a hot key. ``weight`` is dropped.
+    meets in a shuffle join in which rows of heavy keys are spread by a hash of
+    the whole row, so no shuffle partition receives a hot key. Rows without a
+    key are spread likewise. ``weight`` is dropped.
     """
     staged = stage(lookup, f"lookup-{on}")
     values = [c for c in staged.columns if c not in (on, weight)]
-    if staged.count() <= max_rows:
+    if fits_broadcast(staged, on, max_rows):
         return df.join(F.broadcast(staged.drop(weight)), on, how)
 
-    heavy = staged.orderBy(F.desc(weight), on).limit(MAX_HOT_GROUPS).select(
+    short = F.octet_length(F.col(on).cast("string")) <= LOOKUP_BYTES // MAX_HOT_GROUPS
+    heavy = staged.filter(short).orderBy(F.desc(weight), on).limit(MAX_HOT_GROUPS).select(
         F.col(on), F.lit(True).alias("__hit"), *[F.col(v).alias(f"__heavy_{v}") for v in values])
     first = df.join(F.broadcast(heavy), on, "left")
-    # rows already served get a spread-out salt that matches nothing
-    spread = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(1 << 16)).cast("int")
-    first = first.withColumn("__salt", F.when(F.col("__hit"), spread).otherwise(F.lit(0)))
-    rest = staged.drop(weight).withColumn("__salt", F.lit(0)).withColumn("__met", F.lit(True))
+    # The second join key is a hash of the key. Served rows and rows without a key
+    # get a hash of the row instead: it spreads them and meets nothing that counts.
+    alone = F.col("__hit") | F.col(on).isNull()
+    first = first.withColumn("__salt", F.when(alone, F.xxhash64(*df.columns)).otherwise(F.xxhash64(on)))
+    rest = staged.drop(weight).withColumn("__salt", F.xxhash64(on)).withColumn("__met", F.lit(True))
     joined = first.join(rest, [on, "__salt"], "left")
     if how == "inner":
         joined = joined.filter(F.col("__hit") | F.col("__met"))
@@ -207,7 +221,7 @@ def dense_index(df: DataFrame, key: str, *, out: str = "rank", max_rows: int = L
     """0-based dense rank of ``key`` over the whole frame; null keys get null."""
     distinct = stage(
         df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), f"distinct-{key}")
-    if distinct.count() <= max_rows:  # few enough to number in one task
+    if fits_broadcast(distinct, key, max_rows):  # few enough to number in one task
         numbered = distinct.select(key, (F.row_number().over(Window.orderBy(key)) - 1).cast("long").alias(out))
         return df.join(F.broadcast(numbered), key, "left").select(*df.columns, out)
     ranked = running_index(distinct, [key], out=out, slices=slices)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, *,
                     also: dict[str, Column] | None = None, distinct_limit: int = EXACT_DISTINCT,
                     accuracy: int = 10_000) -> DataFrame:
-    """Linearly interpolated quantiles as one row with ``q<i>__<column>``.
+    """Linearly interpolated quantiles as one row of numbers, ``q<i>__<column>``.
 
     Columns with few distinct values go through the built-in aggregate, whose
     buffer holds every distinct value. For the others a sketch brackets each
@@ -110,16 +111,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     sums = dict(also or {})
     sums.update({
         f"b{i}__{c}": F.count_if(F.col(c) < F.lit(low)) for c in wide for i, (low, _) in enumerate(brackets[c])})
-    buffers = df.agg(F.count(F.lit(1)).alias("__rows"), *[
-        F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(f"p__{c}") for c in plain])
-    summary = buffers.select(*[F.col(f"`p__{c}`")[i].alias(f"q{i}__{c}") for c in plain for i in range(len(probs))],
-                             F.lit(1).alias("__one"))
+    row = {}
+    if plain:
+        found = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in plain]).first()
+        row.update({f"q{i}__{c}": (found[c] or [None] * len(probs))[i] for c in plain for i in range(len(probs))})
+    kinds = {}
     if sums:
-        summary = summary.crossJoin(F.broadcast(df.agg(*[v.alias(k) for k, v in sums.items()])))  # one row each
-    summary = summary.drop("__one")
-    if not wide:
-        return summary
-    row = summary.first().asDict()  # one row of numbers
+        summary = df.agg(*[v.alias(k) for k, v in sums.items()])
+        row.update(summary.first().asDict())  # one row of numbers
+        kinds = {f.name: f.dataType for f in summary.schema.fields}
     picks = {}
     for c in wide:
         for i, p in enumerate(probs):
@@ -128,11 +128,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             own = (F.col("c") == c) & (F.col("i") == i)
             picks[f"q{i}__{c}"] = (weight, [
                 F.min(F.when(own & (F.col("upto") > rank - below), F.col("v"))) for rank in (low, high)])
-    ends = _ranked_inside(df, brackets).agg(*[c for _, pair in picks.values() for c in pair]).first()
-    for at, (name, (weight, _)) in enumerate(picks.items()):
-        low, high = ends[2 * at], ends[2 * at + 1]
-        row[name] = None if low is None else low + (high - low) * weight
-    kinds = {f.name: f.dataType for f in summary.schema.fields}
+    if wide:
+        ends = _ranked_inside(df, brackets).agg(*[c for _, pair in picks.values() for c in pair]).first()
+        for at, (name, (weight, _)) in enumerate(picks.items()):
+            low, high = ends[2 * at], ends[2 * at + 1]
+            row[name] = None if low is None else low + (high - low) * weight
     schema = T.StructType([T.StructField(k, kinds.get(k, T.DoubleType())) for k in row])
     return df.sparkSession.createDataFrame([tuple(row.values())], schema)
 
@@ -145,8 +145,10 @@ def _ranked_inside(df: DataFrame, brackets: dict[str, list]) -> DataFrame:
                F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
         for c, ends in brackets.items() for i, (low, high) in enumerate(ends)
     ]
+    near = reduce(or_, [
+        F.col(c).cast("double").between(low, high) for c, ends in brackets.items() for low, high in ends])
     counted = stage(
-        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.c", "h.i", "h.v").agg(
+        df.filter(near).select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.c", "h.i", "h.v").agg(
             F.count(F.lit(1)).alias("n")), "brackets")
     if counted.count() <= HOT_ROWS:  # one task may order each bracket
         upto = Window.partitionBy("c", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -184,17 +186,16 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     Bins without values are listed too.
     """
     v = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    ends = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    at = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))
-    counts = v.join(F.broadcast(ends), how="cross").select(
-        F.when(width > 0, at).otherwise(F.lit(0)).cast("int").alias("bin")).groupBy("bin").agg(
-        F.count(F.lit(1)).alias("count"))
-    edges = ends.select("lo", width.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return edges.join(F.broadcast(counts), "bin", "left").select(
-        "bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("low"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("high"),
-        F.coalesce("count", F.lit(0)).cast("long").alias("count")).orderBy("bin")
+    low, high = v.agg(F.min("v"), F.max("v")).first()
+    if low is None:
+        return df.sparkSession.createDataFrame([], "bin int, low double, high double, count bigint")
+    width = (high - low) / bins
+    at = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else F.lit(0)
+    counts = v.groupBy(at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    edges = df.sparkSession.createDataFrame(
+        [(i, low + i * width, low + (i + 1) * width) for i in range(bins)], "bin int, low double, high double")
+    return edges.join(counts, "bin", "left").withColumn(
+        "count", F.coalesce("count", F.lit(0)).cast("long")).orderBy("bin")
 
 
 def pivot_first(df: DataFrame, index: Sequence[str], column: str, value: str, order_by: str,

@@ -87,47 +87,34 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: index, expectation, column, success, unexpected, total, error.
 
     ``total`` counts non-null values (all rows for NotNull). A value rule on a
-    column the frame lacks counts as failed.
+    column the frame lacks counts as failed. Only counts reach the driver: one
+    row for all row-level rules and one row per uniqueness rule.
     """
-    spark = df.sparkSession
-    if not rules:
-        return spark.createDataFrame([], RESULT_SCHEMA)
     known = set(df.columns)
     totals: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    singles: dict[int, DataFrame] = {}
     for i, rule in enumerate(rules, 1):
-        if rule.column not in known or isinstance(rule, ColumnExists):
+        if rule.column not in known or isinstance(rule, (ColumnExists, Unique)):
             continue
         c = F.col(rule.column)
-        totals.setdefault(f"n_{rule.column}", F.count(c))
-        if isinstance(rule, Unique):
-            singles[i] = _unique_counts(df, rule.column).select(
-                F.col("unexpected").alias(f"u_{i}"), F.col("total").alias(f"t_{i}"))
-        elif isinstance(rule, NotNull):
-            totals[f"u_{i}"] = F.count_if(c.isNull())
-        else:
-            totals[f"u_{i}"] = F.count_if(rule.violated(c))
-    one = df.agg(*[v.alias(k) for k, v in totals.items()])
-    for single in singles.values():
-        one = one.crossJoin(F.broadcast(single))  # one row beside one row
+        totals[f"n_{rule.column}"] = F.count(c)
+        totals[f"u_{i}"] = F.count_if(c.isNull() if isinstance(rule, NotNull) else rule.violated(c))
+    counts = df.agg(*[v.alias(k) for k, v in totals.items()]).first() if len(totals) > 1 else None
 
     lines = []
     for i, rule in enumerate(rules, 1):
-        error, bad, n = F.lit(None), F.lit(0), F.lit(0)
+        error, bad, n = None, 0, 0
         if isinstance(rule, ColumnExists):
-            ok = F.lit(rule.column in known)
+            ok = rule.column in known
         elif rule.column not in known:
-            ok, error = F.lit(False), F.lit(f"column '{rule.column}' does not exist")
+            ok, error = False, f"column '{rule.column}' does not exist"
         else:
-            bad = F.col(f"u_{i}")
-            n = F.col("rows") if isinstance(rule, NotNull) else F.col(
-                f"t_{i}" if isinstance(rule, Unique) else f"n_{rule.column}")
-            ok = (bad == 0) if rule.mostly >= 1 else (n == 0) | ((n - bad) / n >= rule.mostly)
-        lines.append(F.struct(
-            F.lit(i).cast("int").alias("index"), F.lit(rule.name).alias("expectation"),
-            F.lit(rule.column).alias("column"), ok.alias("success"), bad.cast("long").alias("unexpected"),
-            n.cast("long").alias("total"), error.cast("string").alias("error")))
-    return one.select(F.inline(F.array(*lines)))
+            if isinstance(rule, Unique):
+                bad, n = _unique_counts(df, rule.column).first()
+            else:
+                bad, n = counts[f"u_{i}"], counts["rows" if isinstance(rule, NotNull) else f"n_{rule.column}"]
+            ok = bad == 0 or (n - bad) / n >= rule.mostly
+        lines.append((i, rule.name, rule.column, ok, bad, n, error))
+    return df.sparkSession.createDataFrame(lines, RESULT_SCHEMA)
 
 
 def summarise(results: DataFrame) -> DataFrame:

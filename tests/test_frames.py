@@ -100,6 +100,12 @@ def test_join_rules(spark):
     assert out.columns == ["k", "v_l", "v_r"] and rows(out) == [(1, "l", "r"), (2, "m", None)]
     with pytest.raises(ValueError):
         O.join_frames(left, right.drop("v"))
+    assert O.join_frames(left, right.select(F.col("v").alias("w")), how="cross").count() == 2
+
+
+def test_loadable(spark):
+    df = spark.createDataFrame([("u",)], "url string")
+    assert O.is_loadable(df) and not O.is_loadable(df.limit(0)) and not O.is_loadable(df, "id")
 
 
 def test_null_rules(spark):
