@@ -47,9 +47,19 @@ def work_dir(spark: SparkSession) -> str:
     return base
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return os.path.join(work_dir(spark), "newsloom", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    return os.path.join(work_dir(spark), "newsloom", f"{label}-{uuid.uuid4().hex}")
+    """A fresh, never reused path below the application's part of the shared folder."""
+    return os.path.join(_own_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has staged; call it once results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
