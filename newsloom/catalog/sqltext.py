@@ -33,13 +33,14 @@ def chain(x: str, *steps) -> str:
     return x
 
 
-# entities the given tables hold; the ampersand comes last, as one decoding pass is made
-ENTITIES = [("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")]
+# entities the given tables hold, also valid without their semicolon; the
+# ampersand comes last, as one decoding pass is made
+ENTITIES = [("&middot;?", "·"), ("&copy;?", "©"), ("&quot;?", '"'), ("&amp;?", "&")]
 
 
 def decode(x: str) -> str:
     for name, char in ENTITIES:
-        x = f"replace({x}, {lit(name)}, {lit(char)})"
+        x = rr(x, name, char)
     return x
 
 
