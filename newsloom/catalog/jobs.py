@@ -72,8 +72,6 @@ def silver_quality(spark, folder):
 # --- four sources into one table ---------------------------------------------------------------------------
 # documents, pages, conversations and benchmark stand for the four sources.
 
-_CREATED = "timestamp_seconds({first} + {n})"
-CUT_SECONDS = 3600
 
 
 def _common(n, system: str, batch: str = "run-1"):

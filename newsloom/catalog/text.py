@@ -101,12 +101,6 @@ def root_domain(spark, folder):
     return p.unionByName(a).select("id", X.root_domain(F.col("url")).alias("domain"))
 
 
-_EVENT_TEXT = """case event_id % 6
-    when 0 then strftime(ts, '%Y-%m-%dT%H:%M:%SZ') when 1 then strftime(ts, '%Y-%m-%d %H:%M:%S')
-    when 2 then strftime(ts, '%Y-%m-%d %H:%M:%S +0200') when 3 then strftime(ts, '%d %b %Y %H:%M:%S GMT')
-    when 4 then strftime(ts, '%Y-%m-%d') else 'undefined' end"""
-
-
 @BOOK.query("normalize_timestamp", """
   select event_id, epoch_us(case event_id % 6
     when 0 then date_trunc('second', ts) when 1 then date_trunc('second', ts) - interval 7 hour

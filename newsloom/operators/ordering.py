@@ -114,13 +114,6 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     return heavy.orderBy(F.desc("__n")).limit(MAX_HOT_GROUPS).collect()
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[str] = (), out: str = "idx",
                   hot_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
     """0-based position of every row by ``order_by``, inside ``within`` groups.

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from time import perf_counter
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from newsloom.constants import CORPUS_LABELS
 from newsloom.ml.features import tfidf
@@ -100,7 +99,3 @@ def extract_report(spark: SparkSession, source: Mapping, order_by: str, n: int =
     df = read_source(spark, source)
     rows = shape(df).first()["rows"]
     return {"rows": rows, "head": head(df, order_by, n).collect(), "seconds": round(perf_counter() - started, 3)}
-
-
-def label_sizes(df: DataFrame, label: str) -> DataFrame:
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

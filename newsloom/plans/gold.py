@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.constants import CATEGORIES, DEFAULT_CATEGORY, GOLD_COLUMNS
+from newsloom.constants import DEFAULT_CATEGORY, GOLD_COLUMNS
 from newsloom.functions import text as X
 from newsloom.ml.features import embed
 from newsloom.operators.frames import rare_to_default
@@ -38,6 +38,3 @@ def build(combined: DataFrame, *, make_encoder: Callable | None = None, **lookup
     """The gold table: nine columns, one row per combined row."""
     made = embed(features(combined, **lookup_options), "text_for_embed", make_encoder=make_encoder)
     return made.select(*GOLD_COLUMNS)
-
-
-__all__ = ["CATEGORIES", "build", "features", "gold_category"]

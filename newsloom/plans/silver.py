@@ -13,7 +13,7 @@ from newsloom.functions.ids import IdLayout
 from newsloom.functions.times import normalize_timestamp
 from newsloom.operators.dedup import keep_first
 from newsloom.operators.frames import (
-    ensure_column, newer_than, rename_columns, require, sentinels_to_null, stamp, to_combined, union_sources,
+    ensure_column, newer_than, rename_columns, require, sentinels_to_null, stamp, union_sources,
 )
 from newsloom.operators.ids import assign_ids
 from newsloom.operators.quality import MODEL_TESTS, combined_suite, enforce, run_suite
@@ -128,9 +128,3 @@ def empty_combined(spark) -> DataFrame:
     from newsloom.constants import COMBINED_COLUMNS
 
     return spark.createDataFrame([], T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in COMBINED_COLUMNS)))
-
-
-__all__ = [
-    "RULES", "check_combined", "clean", "clean_values", "combine", "empty_combined", "finish_combined",
-    "refresh_combined", "to_combined", "usable_rows",
-]
