@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.book import Book, table
 
-from . import hilbert_search, mixing, secret_scan, topk
+from . import hilbert_search, line_dedup, mixing, near_dedup, passages, secret_scan, topk
 
 BOOK = Book()
 query = BOOK.query
@@ -54,3 +54,20 @@ r as (
 select * from r where rank <= 10""")
 def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
+
+
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dup_table(table(spark, folder, "documents"))
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = line_dedup.remove_lines(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op9_passage_dedup")
+def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = passages.remove_passages(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
