@@ -61,6 +61,12 @@ def water_fill(sources: DataFrame, max_epochs: float) -> DataFrame:
         per_weight = asked
 
 
+def _same(left: DataFrame, right: DataFrame) -> Column:
+    """Sources are equal or both null, said so that the planner sees plain equalities."""
+    pairs = [(F.coalesce(d["source"], F.lit("")), d["source"].isNull()) for d in (left, right)]
+    return (pairs[0][0] == pairs[1][0]) & (pairs[0][1] == pairs[1][1])
+
+
 def _fraction_cuts(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     """For each source the hash up to which documents give the ``fraction`` words, as near as whole documents allow.
 
@@ -71,8 +77,7 @@ def _fraction_cuts(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     cuts = stage(wanted.select("source", F.col("fraction").alias("left"), F.lit(0).cast("long").alias("prefix")), "mix-cuts")
     for level in range(1, LEVELS + 1):
         here, above = 60 - BITS * level, 60 - BITS * (level - 1)
-        inside = sized.join(cuts, sized["source"].eqNullSafe(cuts["source"]) & (
-            F.shiftright("spot", above) == F.col("prefix"))).select(
+        inside = sized.join(cuts, _same(sized, cuts) & (F.shiftright("spot", above) == F.col("prefix"))).select(
                 sized["source"], F.shiftright("spot", here).alias("bin"), "size", "left")
         ranges = inside.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("left").alias("left"))
         listed = ranges.groupBy("source", "left").agg(F.array_sort(F.collect_list(F.struct("bin", "words"))).alias("bins"))
@@ -103,11 +108,14 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     plan = targets.select("source", "source_size", "target", whole.alias("whole"),
                           F.round(F.col("target") - whole * F.col("source_size")).cast("long").alias("fraction"))
     cuts = _fraction_cuts(sized, plan.filter("fraction > 0 and source_size > 0"))
-    plan = plan.join(cuts, plan["source"].eqNullSafe(cuts["source"]), "left").select(
+    plan = plan.join(cuts, _same(plan, cuts), "left").select(
         plan["source"].alias("__source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("__cut"))
     once_more = F.shiftright("__spot", 60 - BITS * LEVELS) < F.col("__cut")
     # one row per source; the planner broadcasts it while its written size allows
-    joined = keyed.join(stage(plan, "mix-plan"), F.col(source_col).eqNullSafe(F.col("__source")), "left")
+    plan = stage(plan.withColumnRenamed("__source", "source"), "mix-plan")
+    named = keyed.withColumn("__source", F.col(source_col))
+    joined = named.join(plan.withColumnRenamed("source", "__of"), (F.coalesce("__source", F.lit("")) == F.coalesce("__of", F.lit(""))) & (
+        F.col("__source").isNull() == F.col("__of").isNull()), "left").drop("__of")
     return joined.withColumn("copies", (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("long")).drop(
         "__spot", "__source", "__cut", "whole")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.book import Book, table
 
-from . import hilbert_search, line_dedup, mixing, near_dedup, passages, secret_scan, topk
+from . import hilbert_search, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, secret_scan, topk
 
 BOOK = Book()
 query = BOOK.query
@@ -71,3 +71,16 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = passages.remove_passages(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode_texts(table(spark, folder, "documents").select("doc_id", "text"))
+    back = pieces.decode_texts(encoded)
+    return back.select("doc_id", "n_ids", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    judged = kneser_ney.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "lang", "n_grams", "perplexity", "threshold", "kept")

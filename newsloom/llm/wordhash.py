@@ -23,7 +23,7 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 .. n-1 of the base and of its inverse; kept for the next call."""
     held = _powers.get("up")
     if held is None or len(held) < n:
@@ -46,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Sums of value * base ** place before each place, one longer than ``values``."""
-    up, _ = _power(len(values) + 1)
+    up, _ = powers(len(values) + 1)
     sums = np.empty(len(values) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(values * up[:-1], out=sums[1:])
@@ -55,7 +55,7 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 
 def run_numbers(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Numbers of the runs ``[start, end)``; equal runs get equal numbers wherever they stand."""
-    _, down = _power(len(sums))
+    _, down = powers(len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
