@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.book import Book, table
 
-from . import hilbert_search, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, secret_scan, topk
+from . import context_mixing, hilbert_search, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, secret_scan, topk
 
 BOOK = Book()
 query = BOOK.query
 
 
+@query("op1_context_mixing")
+def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return context_mixing.score_texts(table(spark, folder, "documents"))
+
+
 @query("op3_source_mix")
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
