@@ -32,7 +32,7 @@ from newsloom.session import stage
 from .common import sized_join, text_slices
 from .wordhash import Words, mix, words_of
 
-ANCHOR = 8  # words of the runs among which an anchor is chosen
+ANCHOR = 16  # words of the runs among which an anchor is chosen
 KEY = ["__doc", "__row"]
 OUTPUTS = ["n_words", "n_removed", "kept_text", "factors"]
 FACTORS = T.ArrayType(T.StructType([
