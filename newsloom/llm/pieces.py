@@ -300,6 +300,7 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL)
     vocabulary = load_vocabulary(model)
     kept = docs.drop(*OUTPUTS, "__text")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
+    carried, names = kept.columns, schema.names
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(model, Encoder(vocabulary))
@@ -310,7 +311,7 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL)
                 ids, borders = encoder.encode(part.column("__text").to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids, pa.int32()), mask=part.column("__missing"))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(f.name) for f in kept.schema], lists, pa.array(np.diff(borders), pa.int64())], names=schema.names)
+                    [*[part.column(c) for c in carried], lists, pa.array(np.diff(borders), pa.int64())], names=names)
 
     return kept.withColumn("__text", F.col(text_col)).mapInArrow(encode, schema)
 
@@ -320,11 +321,12 @@ def decode_texts(encoded: DataFrame, *, ids_col: str = "ids", out: str = "decode
     vocabulary = load_vocabulary(model)
     kept = encoded.drop(out)
     schema = T.StructType([*kept.schema, T.StructField(out, T.StringType())])
+    names = schema.names
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [None if ids is None else decode_ids(ids, vocabulary) for ids in map(_ids, batch.column(ids_col))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
     return kept.mapInArrow(decode, schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +90,8 @@ def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     judged = kneser_ney.judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", "lang", "n_grams", "perplexity", "threshold", "kept")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
