@@ -53,7 +53,8 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents")
     n = F.col("doc_id")
     at = F.timestamp_seconds(F.lit(FIRST_SECOND) + n * 60)
-    url = F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/"), (n % 400).cast("string"))
+    known = n - F.when(n % 10 == 9, 9).otherwise(0)  # every tenth article repeats an earlier URL
+    url = F.concat(F.lit("https://www.paper"), (known % 23).cast("string"), F.lit(".com/"), known.cast("string"))
     return d.select(
         n.alias("ord"), n.cast("string").alias("id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.col("text").alias("description"), url.alias("url"), F.concat(url, F.lit("/image.png")).alias("image"),
@@ -67,12 +68,13 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _CASES = " ".join(f"when {i} then '{c}'" for i, c in enumerate(ADAPTER_CATEGORIES))
+_KNOWN = "(doc_id - case when doc_id % 10 = 9 then 9 else 0 end)"
+_URL = f"'https://www.paper' || ({_KNOWN} % 23) || '.com/' || {_KNOWN}"
 _AT = f"make_timestamp(({FIRST_SECOND} + doc_id * 60) * 1000000)"
 ARTICLES_SQL = f"""
 articles as (
   select doc_id as ord, cast(doc_id as varchar) as id, split_part(text, chr(10), 1) as title, text as description,
-    'https://www.' || source || '.example.com/' || (doc_id % 400) as url,
-    'https://www.' || source || '.example.com/' || (doc_id % 400) || '/image.png' as image,
+    {_URL} as url, {_URL} || '/image.png' as image,
     case when doc_id % 7 = 0 then 'N/A' when doc_id % 11 = 0 then '-' else ' Author ' || (doc_id % 30) end as author,
     case doc_id % 10 {_CASES} end as category, upper(lang) as language,
     case when doc_id % 2 = 0 then strftime({_AT}, '%Y-%m-%dT%H:%M:%SZ')

@@ -27,7 +27,7 @@ _SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigin
 def csv_semicolon(spark, folder):
     path = scratch_path(spark, "csv")
     W.write_csv(table(spark, folder, "documents"), path)
-    return R.read_source(spark, {"type": "semicolon_csv", "path": path, "schema": _SCHEMA, "text_columns": []})
+    return R.read_source(spark, {"type": "semicolon_csv", "path": path, "schema": _SCHEMA, "text_columns": [], "multiLine": True})
 
 
 @BOOK.query("csv_comma", "select event_id, event_type, value from events")
@@ -116,7 +116,7 @@ def text_tree(spark, folder):
 _STORED = ["id", "name", "price", "sf_id"]
 
 
-@BOOK.query("upsert_snapshot", f"with {_LOAD_SQL} select id, name, price, sf_id, action from loaded")
+@BOOK.query("upsert_snapshot", f"with {_LOAD_SQL} select id, name, price, sf_id from loaded")
 def upsert_snapshot(spark, folder):
     """The target loaded into an empty table, then the batch into it."""
     path = scratch_path(spark, "table")
@@ -124,7 +124,7 @@ def upsert_snapshot(spark, folder):
     now = F.lit(NOW).cast("timestamp")
     U.upsert_snapshot(path, target, ["id"], now=now, target_schema=target.schema)
     U.upsert_snapshot(path, batch, ["id"], now=now)
-    return read_snapshot(spark, path).select(*_STORED, "action")
+    return read_snapshot(spark, path).select(*_STORED)
 
 
 @BOOK.query("upsert_buckets", f"with {_LOAD_SQL} select id, name, price, sf_id from loaded")
@@ -145,9 +145,38 @@ def upsert_repeated(spark, folder):
     now = F.lit(NOW).cast("timestamp")
     U.upsert_snapshot(path, target, ["id"], now=now, target_schema=target.schema)
     U.upsert_snapshot(path, batch, ["id"], now=now)
-    U.upsert_snapshot(path, batch, ["id"], now=now)
-    report = U.load_report(read_snapshot(spark, path))
-    return report.filter("rows_upserted = 0").select("rows_unchanged")
+    report = U.upsert_snapshot(path, batch, ["id"], now=now)
+    return spark.createDataFrame([(report["rows_unchanged"],)] if not report["rows_upserted"] else [], "rows_unchanged long")
+
+
+@BOOK.query("upsert_replay_keyless", """
+  with rows as (select case when doc_id % 5 <> 0 then doc_id end as id, lang, source from documents)
+  select id, lang, source from rows""")
+def upsert_replay_keyless(spark, folder):
+    """Rows without a key, loaded twice, are there once."""
+    path = scratch_path(spark, "buckets")
+    key = F.when(F.col("doc_id") % 5 != 0, F.col("doc_id")).alias("id")
+    rows = table(spark, folder, "documents").select(key, "lang", "source")
+    for _ in range(2):
+        U.upsert_buckets(path, rows, ["id"], now=F.lit(NOW).cast("timestamp"), target_schema=rows.schema)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@BOOK.query("upsert_buckets_other_count", "select count(*) as rows, 8 as buckets, 'refused' as other from customer")
+def upsert_buckets_other_count(spark, folder):
+    """The stored bucket count holds: a load with another one is refused, and the table stays as it is."""
+    path = scratch_path(spark, "buckets")
+    rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    options = {"now": F.lit(NOW).cast("timestamp"), "target_schema": rows.schema}
+    U.upsert_buckets(path, rows, ["id"], buckets=8, **options)
+    try:
+        U.upsert_buckets(path, rows, ["id"], buckets=16, **options)
+        other = "taken"
+    except ValueError:
+        other = "refused"
+    report = U.upsert_buckets(path, rows, ["id"], **options)
+    return spark.read.schema(rows.schema).parquet(path).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(report["buckets"]).alias("buckets"), F.lit(other).alias("other"))
 
 
 # --- streams -----------------------------------------------------------------------------------------------------
@@ -166,7 +195,7 @@ def stream_to_silver(spark, folder):
         "category string, language string, published_at timestamp, source_news string, region string, layer string")
     query = Z.stream_to_silver(rows, "currentsapi", silver, checkpoint, order_by="ord", target_schema=target, now_ms=0)
     query.awaitTermination()
-    return read_snapshot(spark, silver).select(
+    return spark.read.schema(target).parquet(silver).select(
         "id", "title", "description", "url", "author", "category", "language", "source_news",
         F.unix_micros("published_at").alias("published_us"), "layer")
 

@@ -57,8 +57,8 @@ _LABELLED = _BAG + ", lab as (select doc_id, quality as label from labels), v as
 
 def _labelled(spark, folder) -> tuple[DataFrame, DataFrame]:
     classes = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
-    bag = V.bag_of_words(_documents(spark, folder), "doc_id", "text")
-    return bag.join(classes, "doc_id"), classes
+    labelled = _documents(spark, folder).join(classes, "doc_id", "left_semi")  # others need not be taken apart
+    return V.bag_of_words(labelled, "doc_id", "text").join(classes, "doc_id"), classes
 
 
 @BOOK.query("chi2_topk", f"""with {_LABELLED},

@@ -89,7 +89,7 @@ def describe(spark, folder):
 @BOOK.query("describe_bracketed", " union all ".join(map(_describe_sql, ["l_extendedprice"])))
 def describe_bracketed(spark, folder):
     # the way for columns with more distinct values than one aggregation buffer may hold
-    return _rounded(P.describe(table(spark, folder, "lineitem"), ["l_extendedprice"], distinct_limit=100))
+    return _rounded(P.describe(table(spark, folder, "lineitem"), ["l_extendedprice"], accuracy=100))
 
 
 @BOOK.query("bar_counts", "select p_brand, count(*) as count from part group by p_brand")
@@ -138,4 +138,4 @@ def word_top30(spark, folder):
 def label_encode_texts(spark, folder):
     # more values than a task may number alone: the way over slices and a shuffled lookup
     d = table(spark, folder, "documents").select("doc_id", "text")
-    return dense_index(d, "text", out="encoded_text", max_rows=100, slices=8).select("doc_id", "encoded_text")
+    return dense_index(d, "text", out="encoded_text", max_bytes=100, ranges=8).select("doc_id", "encoded_text")

@@ -6,7 +6,6 @@ import json
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -24,14 +23,18 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.constants import EMBEDDING_DIM
 from newsloom.functions import text as X
-from newsloom.operators.ordering import LOOKUP_ROWS, lookup_join
+from newsloom.operators.ordering import LOOKUP_BYTES, lookup_join
+from newsloom.session import stage
 
+EVERY_WORD = (1 << 31) - 1
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 # --- long form: one row per (document, word) ------------------------------------------
@@ -49,23 +52,19 @@ def bag_of_words(df: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def tfidf(df: DataFrame, key: str, column: str, *, max_features: int | None = None,
-          max_rows: int = LOOKUP_ROWS) -> DataFrame:
+          max_bytes: int = LOOKUP_BYTES) -> DataFrame:
     """Rows (key, word, weight): tf * (ln((1 + n) / (1 + df)) + 1), unit length per document.
 
-    With ``max_features`` only that many words, by corpus count, are kept.
+    With ``max_features`` only that many words, by corpus count, are kept. The
+    texts are taken apart once: the bag is written, and all counts read it.
     """
-    bag = bag_of_words(df, key, column)
+    bag = stage(bag_of_words(df, key, column), "bag")
     n = df.count()
-    # a text is one row, so its distinct words count documents without a shuffle by key
-    found = X.words(F.col(column))
-    stats = df.select(F.explode(F.array_distinct(found)).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("__n"))
+    stats = bag.groupBy("word").agg(F.count(F.lit(1)).alias("__n"), F.sum("tf").alias("__total"))
     if max_features:
-        totals = df.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("__total"))
-        kept = totals.orderBy(F.desc("__total"), "word").limit(max_features)
-        stats = stats.join(F.broadcast(kept), "word")  # max_features rows
-    idf = stats.select("word", "__n", (F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("__n"))) + 1).alias("__idf"))
-    joined = lookup_join(bag, idf, "word", weight="__n", max_rows=max_rows, how="inner")
+        stats = stats.orderBy(F.desc("__total"), "word").limit(max_features)
+    idf = stats.select("word", (F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("__n"))) + 1).alias("__idf"))
+    joined = lookup_join(bag, idf, "word", max_bytes=max_bytes, how="inner")
     raw = joined.select(key, "word", (F.col("tf") * F.col("__idf")).alias("__w"))
     # a document is one input row, so its words fit into one task
     norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
@@ -81,16 +80,23 @@ class _InOut(HasInputCol, HasOutputCol):
 
 
 class WordCounts(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWritable):
-    """Count vector over the ``max_features`` most frequent words."""
+    """Count vector over all words, or the ``max_features`` most frequent ones.
+
+    A vector's vocabulary is held by the driver; for an open-ended one use the
+    long form above or the hashed vectors. ``stop_words`` is a list, or the name
+    of a language whose list is built in.
+    """
 
     max_features = Param(Params._dummy(), "max_features", "vocabulary size", TypeConverters.toInt)
     stop_words = Param(Params._dummy(), "stop_words", "words to leave out", TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, *, inputCol="text", outputCol="features", max_features=10_000, stop_words=None):
+    def __init__(self, *, inputCol="text", outputCol="features", max_features=None, stop_words=None):
         super().__init__()
-        self._setDefault(max_features=10_000, stop_words=[])
+        self._setDefault(max_features=EVERY_WORD, stop_words=[])
         given = {k: v for k, v in self._input_kwargs.items() if v is not None}
+        if isinstance(stop_words, str):
+            given["stop_words"] = StopWordsRemover.loadDefaultStopWords(stop_words)
         self._set(**{"inputCol": inputCol, "outputCol": outputCol, **given})
 
     def _stages(self, out: str) -> list:
@@ -176,36 +182,6 @@ def as_vector(c: Column) -> Column:
 # --- projections ---------------------------------------------------------------------------
 
 
-MAX_GRAMIAN = 4_096  # vector length up to which the square matrix is brought to the driver
-
-
-def gramian(df: DataFrame, column: str) -> np.ndarray:
-    """Sum of outer products of the vectors: each task adds up its own rows, and
-    only (features x features) sums are shuffled and collected."""
-    def partial(batches):
-        total = None
-        for batch in batches:
-            rows = np.array(batch["v"].tolist(), dtype=float)
-            if len(rows):
-                total = rows.T @ rows if total is None else total + rows.T @ rows
-        if total is not None:
-            yield pd.DataFrame({"i": np.arange(len(total)), "row": list(total)})
-
-    vectors = df.select(vector_to_array(column).alias("v")).filter("v is not null")
-    first = vectors.limit(1).collect()
-    if not first:
-        raise ValueError("no vectors")
-    n = len(first[0]["v"])
-    if n > MAX_GRAMIAN:
-        raise ValueError(f"vectors of length {n} are too long; reduce to {MAX_GRAMIAN} first")
-    parts = vectors.mapInPandas(partial, "i int, row array<double>")
-    sums = parts.select("i", F.posexplode("row").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
-    out = np.zeros((n, n))
-    for r in sums.toPandas().itertuples():
-        out[r.i, r.j] = r.x
-    return out
-
-
 class Pca(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWritable):
     """Principal components of centred vectors."""
 
@@ -226,7 +202,10 @@ class Pca(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class Svd(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWritable):
-    """Truncated singular value decomposition without centring."""
+    """Truncated singular value decomposition without centring, over the distributed rows.
+
+    Only (features x components) numbers reach the driver, whatever the length.
+    """
 
     k = Param(Params._dummy(), "k", "components", TypeConverters.toInt)
 
@@ -237,9 +216,12 @@ class Svd(Estimator, _InOut, DefaultParamsReadable, DefaultParamsWritable):
         self._set(**{"inputCol": inputCol, "outputCol": outputCol, **self._input_kwargs})
 
     def _fit(self, df: DataFrame):
-        values, vectors = np.linalg.eigh(gramian(df, self.getInputCol()))
-        k = self.getOrDefault(self.k)
-        parts, sizes = vectors[:, ::-1][:, :k], np.sqrt(np.maximum(values[::-1][:k], 0.0))
+        column, k = self.getInputCol(), self.getOrDefault(self.k)
+        rows = MLUtils.convertVectorColumnsFromML(df.select(column).filter(F.col(column).isNotNull()), column)
+        if rows.isEmpty():
+            raise ValueError("no vectors")
+        found = RowMatrix(rows).computeSVD(k)
+        parts, sizes = found.V.toArray(), found.s.toArray()
         # every component points to its largest entry, so the signs are fixed
         parts = parts * np.sign(parts[np.abs(parts).argmax(axis=0), range(parts.shape[1])])
         return Projection(inputCol=self.getInputCol(), outputCol=self.getOutputCol()).with_matrix(

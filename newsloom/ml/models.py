@@ -155,7 +155,7 @@ def stratified_split(df: DataFrame, label: str, key: str, *, test_size: float =
     """Mark a share of every class as test rows; the share is met exactly per class."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).withColumn(
         "__cut", F.floor(F.col("__n") * F.lit(test_size) + F.lit(0.5)))
-    placed = lookup_join(_shuffled_place(df, label, key, seed, **options), sizes, label, weight="__n")
+    placed = lookup_join(_shuffled_place(df, label, key, seed, **options), sizes, label)
     return placed.withColumn(out, F.col("__place") < F.col("__cut")).select(*df.columns, out)
 
 

@@ -34,7 +34,7 @@ def chi2_scores(values: DataFrame, classes: DataFrame, feature: str = "word", va
     observed = values.groupBy(feature, label).agg(F.sum(value).cast("double").alias("__o"))
     # a class without the feature adds its whole expectation, so with o summed over
     # classes: sum((o - e)^2 / e) = sum(o^2 / e) - total, where e = share * total
-    parts = lookup_join(observed, shares, label, weight="__c", how="inner").groupBy(feature).agg(
+    parts = lookup_join(observed, shares, label, how="inner").groupBy(feature).agg(
         F.sum(F.col("__o") * F.col("__o") / F.col("__share")).alias("__q"), F.sum("__o").alias("__t"))
     return parts.select(feature, (F.col("__q") / F.col("__t") - F.col("__t")).alias("chi2"))
 
@@ -53,22 +53,21 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
         F.count(F.lit(1)).alias("__n")), "seen")
     # the zero level of each (feature, label) is what the seen levels leave of the class;
     # classes a feature never meets are covered by the totals of the feature
-    by_class = seen.groupBy(feature, label).agg(F.sum("__n").alias("__s"))
-    by_level = seen.groupBy(feature, "__v").agg(F.sum("__n").alias("__m"))
-    by_feature = by_class.groupBy(feature).agg(F.sum("__s").alias("__t"))
     def xlogx(c):
-        return F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0))
+        return F.when(c > 0, c * F.log(c.cast("double"))).otherwise(F.lit(0.0))
 
     # n * I = sum nlog n(v,l) - sum mlog m(v) - sum clog c(l) + N log N over all levels v incl. zero
-    joint_seen = seen.groupBy(feature).agg(F.sum(xlogx(F.col("__n").cast("double"))).alias("__js"))
-    level_seen = by_level.groupBy(feature).agg(F.sum(xlogx(F.col("__m").cast("double"))).alias("__ls"))
-    zero_met = lookup_join(
-        by_class, per_class.withColumn("__w", F.col("__c")), label, weight="__w", how="inner").groupBy(feature).agg(
-        F.sum(xlogx((F.col("__c") - F.col("__s")).cast("double"))).alias("__zm"),
-        F.sum(xlogx(F.col("__c").cast("double"))).alias("__cm"))
+    by_class = seen.groupBy(feature, label).agg(F.sum("__n").alias("__s"), F.sum(xlogx(F.col("__n"))).alias("__j"))
+    out = lookup_join(by_class, per_class, label, how="inner").groupBy(feature).agg(
+        F.sum("__j").alias("__js"), F.sum("__s").alias("__t"), F.sum(xlogx(F.col("__c") - F.col("__s"))).alias("__zm"),
+        F.sum(xlogx(F.col("__c"))).alias("__cm"))
+    if value is None:  # one level
+        out = out.withColumn("__ls", xlogx(F.col("__t")))
+    else:
+        by_level = seen.groupBy(feature, "__v").agg(F.sum("__n").alias("__m"))
+        out = out.join(by_level.groupBy(feature).agg(F.sum(xlogx(F.col("__m"))).alias("__ls")), feature)
     items = per_class.agg(F.sum("__c")).first()[0] or 0
     # classes not met keep all their items at level zero; their c log c terms cancel
-    out = joint_seen.join(level_seen, feature).join(zero_met, feature).join(by_feature, feature)
     zeros = (F.lit(items) - F.col("__t")).cast("double")
     total = (
         F.col("__js") + F.col("__zm") - F.col("__cm") - F.col("__ls") - xlogx(zeros)

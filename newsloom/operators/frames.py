@@ -18,7 +18,7 @@ from newsloom.constants import (
     SENTINELS,
 )
 from newsloom.functions import text as X
-from newsloom.operators.ordering import LOOKUP_ROWS, lookup_join
+from newsloom.operators.ordering import LOOKUP_BYTES, lookup_join
 
 BOM = "﻿"
 
@@ -223,7 +223,7 @@ def newer_than(df: DataFrame, target: DataFrame, column: str) -> DataFrame:
 
 def rare_to_default(df: DataFrame, column: str = "category", *, below: int = RARE_BELOW,
                     default: str = DEFAULT_CATEGORY, relevant: Column | None = None,
-                    max_rows: int = LOOKUP_ROWS) -> DataFrame:
+                    max_bytes: int = LOOKUP_BYTES) -> DataFrame:
     """Values seen fewer than ``below`` times become the default; null stays.
 
     The frequent values are looked up, not the rare ones: their number shrinks
@@ -235,9 +235,9 @@ def rare_to_default(df: DataFrame, column: str = "category", *, below: int = RAR
         counts = counts.filter(relevant)
     frequent = (
         counts.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") >= below).withColumn("__often", F.lit(True))
+        .filter(F.col("__n") >= below).select(column, F.lit(True).alias("__often"))
     )
-    joined = lookup_join(df, frequent, column, weight="__n", max_rows=max_rows)
+    joined = lookup_join(df, frequent, column, max_bytes=max_bytes)
     kept = F.col("__often") | F.col(column).isNull()
     return joined.withColumn(column, F.when(kept, F.col(column)).otherwise(F.lit(default))).drop("__often")
 

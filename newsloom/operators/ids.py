@@ -43,12 +43,13 @@ def ids_by_rank(df: DataFrame, ts_col: str, layout: IdLayout, *, out: str = "sf_
 
 
 def assign_ids(df: DataFrame, layout: IdLayout, order_by: Sequence[str], *, ts_col: str = "createdate",
-               id_col: str = "sf_id", on_overflow: str = "error", **index_options) -> DataFrame:
+               id_col: str = "sf_id", on_overflow: str = "carry", **index_options) -> DataFrame:
     """Fill missing ids from a timestamp; rows of one millisecond are numbered
     in ``order_by`` order, existing ids stay.
 
-    More rows in a millisecond than it has ids is an error, or with
-    ``on_overflow="carry"`` the surplus moves on to the next free ids.
+    Numbers start after the highest id that the writer has given in the same
+    millisecond. Where a millisecond has more rows than ids the surplus moves on
+    to the next free ones; with ``on_overflow="error"`` that is an error.
     """
     if on_overflow not in ("error", "carry"):
         raise ValueError("on_overflow is 'error' or 'carry'")
@@ -58,17 +59,22 @@ def assign_ids(df: DataFrame, layout: IdLayout, order_by: Sequence[str], *, ts_c
     missing = df.filter(is_missing_id(F.col(id_col))).withColumn("__ms", _millis(F.col(ts_col)))
     present = df.filter(~is_missing_id(F.col(id_col))).withColumn(id_col, given)
 
-    per_ms = missing.filter("__ms is not null").groupBy("__ms").agg(F.count(F.lit(1)).alias("__n"))
-    fullest = per_ms.agg(F.max("__n")).first()[0] or 0
+    parts = F.col(id_col).bitwiseAND(F.lit(((1 << layout.time_shift) - 1) ^ (layout.slots - 1)).cast("long"))
+    taken = present.filter(parts == layout.writer_part).select(
+        (F.shiftright(id_col, layout.time_shift) + F.lit(layout.epoch_ms)).alias("__ms"), F.lit(0).cast("long").alias("__n"),
+        (F.col(id_col).bitwiseAND(F.lit(layout.slots - 1).cast("long")) + 1).alias("__used"))
+    wanted = missing.filter("__ms is not null").select("__ms", F.lit(1).cast("long").alias("__n"), F.lit(0).cast("long").alias("__used"))
+    per_ms = stage(wanted.unionByName(taken).groupBy("__ms").agg(F.sum("__n").alias("__n"), F.max("__used").alias("__used")), "per-ms")
+    fullest = per_ms.filter("__n > 0").agg(F.max(F.col("__n") + F.col("__used"))).first()[0] or 0
     if fullest > layout.slots and on_overflow == "error":
         raise ValueError(f"{fullest} rows in one millisecond, the layout has {layout.slots} ids")
 
     numbered = running_index(missing, order_by, within=["__ms"], out="__seq", **index_options)
     if fullest > layout.slots:
-        start = _free_starts(stage(per_ms, "per-ms"), layout, index_options.get("slices"))
-        numbered = lookup_join(numbered, start, "__ms", weight="__n")
+        start = _free_starts(per_ms, layout, index_options.get("ranges"))
     else:
-        numbered = numbered.withColumn("__start", F.col("__ms") * layout.slots)
+        start = per_ms.filter("__n > 0").select("__ms", (F.col("__ms") * layout.slots + F.col("__used")).alias("__start"))
+    numbered = lookup_join(numbered, start, "__ms")
     slot = F.col("__start") + F.col("__seq")
     made = pack_id(F.shiftright(slot, layout.sequence_bits),
                    slot.bitwiseAND(F.lit(layout.slots - 1).cast("long")), layout)
@@ -76,17 +82,32 @@ def assign_ids(df: DataFrame, layout: IdLayout, order_by: Sequence[str], *, ts_c
     return present.select(*df.columns).unionByName(filled)
 
 
-def _free_starts(per_ms: DataFrame, layout: IdLayout, slices: int | None) -> DataFrame:
+def _free_starts(per_ms: DataFrame, layout: IdLayout, ranges: int | None) -> DataFrame:
     """First free slot of every millisecond when earlier ones spill over.
 
     With C rows before a millisecond, its start is C + max(own and earlier
-    ``ms * slots - C``).
+    ``ms * slots + used - C``). A spill that would run over ids given later is
+    put behind all given ids.
     """
-    before = running(per_ms, "__ms", F.col("__n"), "__before", inclusive=False, slices=slices)
+    before = running(per_ms, "__ms", F.col("__n"), "__before", inclusive=False, ranges=ranges)
     before = before.withColumn("__before", F.coalesce("__before", F.lit(0)))
-    lead = F.col("__ms") * layout.slots - F.col("__before")
-    highest = running(before, "__ms", lead, "__lead", how=F.max, slices=slices)
-    return highest.select("__ms", "__n", (F.col("__before") + F.col("__lead")).alias("__start"))
+    lead = F.col("__ms") * layout.slots + F.col("__used") - F.col("__before")
+    highest = stage(running(before, "__ms", lead, "__lead", how=F.max, ranges=ranges).withColumn(
+        "__start", F.col("__before") + F.col("__lead")), "starts")
+    given = per_ms.filter("__used > 0").select(F.col("__ms").alias("__at"), (F.col("__ms") * layout.slots).alias("__low"))
+    spills = highest.filter(F.col("__start") + F.col("__n") > (F.col("__ms") + 1) * layout.slots)
+    first = spills.agg(F.min("__start")).first()[0]
+    last = given.agg(F.max((F.col("__at") + 1) * layout.slots)).first()[0]
+    if first is not None and last is not None and given.filter(F.col("__low") > first).limit(1).count():
+        # the rows that move on start behind the last millisecond with given ids
+        moved = F.when(F.col("__start") + F.col("__n") > (F.col("__ms") + 1) * layout.slots, F.lit(last)).otherwise(
+            F.col("__ms") * layout.slots + F.col("__used"))
+        again = per_ms.filter("__n > 0").join(highest.select("__ms", "__start"), "__ms").withColumn("__floor", moved)
+        ordered = running(again.drop("__start"), ["__floor", "__ms"], F.col("__n"), "__before", inclusive=False, ranges=ranges)
+        ordered = ordered.withColumn("__before", F.coalesce("__before", F.lit(0)))
+        highest = running(ordered, ["__floor", "__ms"], F.col("__floor") - F.col("__before"), "__lead", how=F.max, ranges=ranges)
+        highest = highest.withColumn("__start", F.col("__before") + F.col("__lead"))
+    return highest.filter("__n > 0").select("__ms", "__start")
 
 
 def decode_ids(df: DataFrame, layout: IdLayout, id_col: str = "sf_id") -> DataFrame:

@@ -1,221 +1,115 @@
 """Positions, running values and ranks that no single task has to compute.
 
-A plain window puts each group into one task. Here a large group is cut into
-slices of consecutive order values: every slice is ranked by itself and shifted
-by the totals of the slices before it. Slices are cut by value, never by
-physical partition, so a recomputed task gives the same result.
+A plain window puts each group into one task. Here rows are range-partitioned by
+all order columns together, sorted inside their range and written once; a row's
+place is its place in the written range plus the rows of the ranges before it.
+Only values that are equal in every order column share a range for sure, so
+neither a hot group nor a constant first column nor texts with one long head
+land in one task. The places are read back and never computed again, so a lost
+task cannot change them.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.session import stage
 
-HOT_ROWS = 1_000_000  # rows one task may order by itself; a larger group is cut into slices
-MAX_HOT_GROUPS = 1_000  # so a group that is not cut holds at most 1/1000 of the rows
-MAX_SLICES = 10_000  # slices of one order range
-LOOKUP_ROWS = 200_000  # rows and
-LOOKUP_BYTES = 64 << 20  # bytes of text keys up to which a lookup is broadcast
-CUT_SAMPLE = 20_000  # text values looked at to place the cuts of a text column
-CUT_LENGTH = 64  # characters of such a value that are kept
+LOOKUP_BYTES = 32 << 20  # measured size up to which a lookup is broadcast
+_RANGE_BITS = 33  # of the row number inside a range, as Spark's increasing ids have it
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A double that never decreases as the column grows."""
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    raise TypeError(f"cannot slice by {name} of type {kind.simpleString()}")
+def _ranged(df: DataFrame, order_by: Sequence[str], ranges: int | None) -> DataFrame:
+    """``df`` written in order, with ``__range`` and ``__in``, the place in it."""
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(ranges, *order_by).sortWithinPartitions(*order_by)
+    written = stage(sorted_.withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    at = F.col("__at")
+    return written.select(
+        *df.columns, F.shiftright(at, _RANGE_BITS).alias("__range"),
+        at.bitwiseAND(F.lit((1 << _RANGE_BITS) - 1).cast("long")).alias("__in"))
 
 
-def _with_text_slice(df: DataFrame, order_col: str, slices: int, out: str) -> DataFrame:
-    """Slices of a text column, cut at heads of a hash sample of its values."""
-    head = F.substring(order_col, 1, CUT_LENGTH)
-    keep_one_in = max(1, df.count() // CUT_SAMPLE)
-    sample = df.filter(F.pmod(F.xxhash64(order_col), F.lit(keep_one_in)) == 0).select(head.alias("h"))
-    heads = sorted(r["h"] for r in sample.distinct().limit(2 * CUT_SAMPLE).collect() if r["h"] is not None)
-    step = max(1, len(heads) // slices)
-    cuts = heads[::step][1:]
+def _carry_in(ranged: DataFrame, value: Column, how) -> DataFrame:
+    """Per range, the combined value of all earlier ranges; one row per range."""
+    per_range = ranged.groupBy("__range").agg(how(value).alias("__total"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return per_range.select("__range", how("__total").over(earlier).alias("__carry"))
 
-    @F.pandas_udf(T.DoubleType())
-    def place(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: float(bisect_right(cuts, t)), na_action="ignore")
 
-    return df.withColumn(out, place(F.col(order_col)))
+def _positioned(df: DataFrame, order_by: Sequence[str], out: str, ranges: int | None) -> DataFrame:
+    ranged = _ranged(df, order_by, ranges)
+    carry = F.broadcast(_carry_in(ranged, F.lit(1), F.sum))  # one row per range
+    return ranged.join(carry, "__range", "left").withColumn(
+        out, F.col("__in") + F.coalesce("__carry", F.lit(0))).drop("__range", "__in", "__carry")
 
 
-def slices_for(rows: int, slices: int | None = None) -> int:
-    """Slices so that one holds about HOT_ROWS rows, unless a number is given."""
-    return slices or max(1, min(MAX_SLICES, -(-rows // HOT_ROWS)))
-
-
-def with_slice(df: DataFrame, order_col: str, slices: int | None = None, out: str = "__slice") -> DataFrame:
-    """Add the slice number of every row, growing with ``order_col``.
-
-    Only the cut values, one per slice, are brought to the driver. Where they
-    lie changes the balance of the slices, never a result.
-    """
-    slices = slices_for(df.count() if slices is None else 0, slices)
-    if slices == 1:
-        return df.withColumn(out, F.lit(0.0))
-    if isinstance(df.schema[order_col].dataType, T.StringType):
-        return _with_text_slice(df, order_col, slices, out)
-    probe = df.select(_as_number(df, order_col).alias("x"))
-    steps = ", ".join(f"{i / slices}D" for i in range(1, slices))
-    cuts = probe.agg(F.expr(f"percentile_approx(x, array({steps}), {slices * 10})").alias("cuts")).first()["cuts"]
-    bounds = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
-    keyed = df.withColumn("__x", _as_number(df, order_col))
-    sliced = Bucketizer(splits=bounds, inputCol="__x", outputCol=out, handleInvalid="keep").transform(keyed)
-    return sliced.drop("__x")
-
-
-def _carry_in(sliced: DataFrame, value: Column, how, keys: Sequence[str] = ()) -> DataFrame:
-    """Per slice, the combined value of all earlier slices; one row per slice."""
-    per_slice = sliced.groupBy(*keys, "__slice").agg(how(value).alias("__total"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return per_slice.select(*keys, "__slice", how("__total").over(earlier).alias("__carry"))
-
-
-def running(df: DataFrame, order_col: str, value: Column, out: str, *, how=F.sum, inclusive: bool = True,
-            slices: int | None = None) -> DataFrame:
+def running(df: DataFrame, order_by: Sequence[str] | str, value: Column, out: str, *, how=F.sum,
+            inclusive: bool = True, ranges: int | None = None) -> DataFrame:
     """Running ``how`` (sum or max) of ``value`` over the whole frame by a
-    unique ``order_col``; exclusive running values start as null."""
-    sliced = with_slice(df.withColumn("__v", value), order_col, slices)
-    carry = _carry_in(sliced, F.col("__v"), how)
-    own = Window.partitionBy("__slice").orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = sliced.withColumn("__own", how("__v").over(own)).join(F.broadcast(carry), "__slice", "left")
+    unique order; exclusive running values start as null."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    ranged = _ranged(df.withColumn("__v", value), order, ranges)
+    carry = F.broadcast(_carry_in(ranged, F.col("__v"), how))
+    own = Window.partitionBy("__range").orderBy("__in").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    joined = ranged.withColumn("__own", how("__v").over(own)).join(carry, "__range", "left")
     if how is F.max:
         total = F.greatest("__own", "__carry")
     else:
-        total = F.when(F.col("__own").isNull(), F.col("__carry")).otherwise(
-            F.col("__own") + F.coalesce("__carry", F.lit(0)))
-    return joined.withColumn(out, total).drop("__v", "__own", "__carry", "__slice")
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list:
-    """The heaviest groups above ``hot_rows``; never more than MAX_HOT_GROUPS."""
-    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > hot_rows)
-    return heavy.orderBy(F.desc("__n")).limit(MAX_HOT_GROUPS).collect()
+        total = F.when(F.col("__own").isNull(), F.col("__carry")).otherwise(F.col("__own") + F.coalesce("__carry", F.lit(0)))
+    return joined.withColumn(out, total).drop("__v", "__own", "__carry", "__range", "__in")
 
 
 def running_index(df: DataFrame, order_by: Sequence[str], *, within: Sequence[str] = (), out: str = "idx",
-                  hot_rows: int = HOT_ROWS, slices: int | None = None) -> DataFrame:
+                  ranges: int | None = None) -> DataFrame:
     """0-based position of every row by ``order_by``, inside ``within`` groups.
 
-    ``order_by`` must identify a row inside its group. Large groups are cut by
-    the first order column.
+    ``order_by`` must identify a row inside its group. A position inside a group
+    is the position in the whole, ordered by group first, less that of the
+    group's first row. Null group values are equal.
     """
     order_by, keys = list(order_by), list(within)
     if not keys:
-        sliced = with_slice(df, order_by[0], slices)
-        carry = _carry_in(sliced, F.lit(1), F.sum)
-        place = F.row_number().over(Window.partitionBy("__slice").orderBy(*order_by)) - 1
-        return (
-            sliced.withColumn(out, place.cast("long"))
-            .join(F.broadcast(carry), "__slice", "left")
-            .withColumn(out, F.col(out) + F.coalesce("__carry", F.lit(0)))
-            .drop("__slice", "__carry")
-        )
-
-    hot = hot_groups(df, keys, hot_rows)
-    if not hot:
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)) - 1
-        return df.withColumn(out, place.cast("long"))
-
-    schema = T.StructType([df.schema[k] for k in keys])
-    hot_df = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-    hot_df = hot_df.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(F.col(f"__h_{k}"))
-    marked = df.join(F.broadcast(hot_df), cond, "left").drop(*[f"__h_{k}" for k in keys])
-
-    hot_only = marked.filter("__hot")  # the cuts follow the hot rows only
-    wanted = slices_for(sum(r["__n"] for r in hot), slices)
-    # one offset per group and slice is broadcast: few enough of both
-    probe = with_slice(hot_only, order_by[0], min(wanted, max(1, LOOKUP_ROWS // len(hot))))
-    carry = _carry_in(probe, F.lit(1), F.sum, keys)
-    carry = carry.select(*[F.col(k).alias(f"__c_{k}") for k in keys],
-                         F.col("__slice").alias("__c_slice"), "__carry")
-
-    cold = marked.filter("__hot is null").withColumn("__slice", F.lit(0.0))
-    both = probe.unionByName(cold)
-    place = F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(*order_by)) - 1
-    placed = both.withColumn(out, place.cast("long"))
-    cond = F.col("__hot") & (F.col("__slice") == F.col("__c_slice"))
-    for k in keys:
-        cond = cond & placed[k].eqNullSafe(F.col(f"__c_{k}"))
-    return (
-        placed.join(F.broadcast(carry), cond, "left")
-        .withColumn(out, F.col(out) + F.coalesce("__carry", F.lit(0)))
-        .drop("__slice", "__hot", "__carry", "__c_slice", *[f"__c_{k}" for k in keys])
-    )
-
-
-def fits_broadcast(staged: DataFrame, key: str, max_rows: int = LOOKUP_ROWS) -> bool:
-    """Whether a written table is small enough to broadcast, by rows and text bytes."""
-    text = isinstance(staged.schema[key].dataType, T.StringType)
-    size = F.sum(F.octet_length(key)) if text else F.lit(0)
-    found = staged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(size, F.lit(0)).alias("b")).first()
-    return found["n"] <= max_rows and found["b"] <= LOOKUP_BYTES
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str, *, weight: str, max_rows: int = LOOKUP_ROWS,
-                how: str = "left") -> DataFrame:
+        return _positioned(df, order_by, out, ranges)
+    grouped = _positioned(df.withColumn("__group", F.struct(*keys)), [*keys, *order_by], "__place", ranges)
+    first = grouped.groupBy("__group").agg(F.min("__place").alias("__first"))
+    placed = lookup_join(grouped, first, "__group")
+    return placed.withColumn(out, F.col("__place") - F.col("__first")).select(*df.columns, out)
+
+
+def lookup_bytes(staged: DataFrame) -> int:
+    """Measured size of a written table: its rows, and the bytes of its texts."""
+    sizes = F.lit(8 * len(staged.columns))
+    for f in staged.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes = sizes + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            sizes = sizes + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+    return staged.agg(F.coalesce(F.sum(sizes.cast("long")), F.lit(0))).first()[0]
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str, *, how: str = "left",
+                max_bytes: int = LOOKUP_BYTES) -> DataFrame:
     """Join a one-row-per-key lookup that was derived from ``df`` itself.
 
-    The lookup is written once and measured. Small, it is broadcast. Large, only
-    its heaviest keys (``weight`` = rows per key) are broadcast, and the rest
-    meets in a shuffle join in which rows of heavy keys are spread by a hash of
-    the whole row, so no shuffle partition receives a hot key. Rows without a
-    key are spread likewise. ``weight`` is dropped.
+    The lookup is written once and measured. Up to ``max_bytes`` it is broadcast.
+    A larger one meets ``df`` in a sort-merge join, whose hot keys (and rows
+    without a key) adaptive execution splits over several tasks.
     """
-    staged = stage(lookup, f"lookup-{on}")
-    values = [c for c in staged.columns if c not in (on, weight)]
-    if fits_broadcast(staged, on, max_rows):
-        return df.join(F.broadcast(staged.drop(weight)), on, how)
-
-    short = F.octet_length(F.col(on).cast("string")) <= LOOKUP_BYTES // MAX_HOT_GROUPS
-    heavy = staged.filter(short).orderBy(F.desc(weight), on).limit(MAX_HOT_GROUPS).select(
-        F.col(on), F.lit(True).alias("__hit"), *[F.col(v).alias(f"__heavy_{v}") for v in values])
-    first = df.join(F.broadcast(heavy), on, "left")
-    # The second join key is a hash of the key. Served rows and rows without a key
-    # get a hash of the row instead: it spreads them and meets nothing that counts.
-    alone = F.col("__hit") | F.col(on).isNull()
-    first = first.withColumn("__salt", F.when(alone, F.xxhash64(*df.columns)).otherwise(F.xxhash64(on)))
-    rest = staged.drop(weight).withColumn("__salt", F.xxhash64(on)).withColumn("__met", F.lit(True))
-    joined = first.join(rest, [on, "__salt"], "left")
-    if how == "inner":
-        joined = joined.filter(F.col("__hit") | F.col("__met"))
-    picked = [
-        F.when(F.col("__hit"), F.col(f"__heavy_{v}")).otherwise(F.col(v)).alias(v) for v in values
-    ]
-    return joined.select(on, *[c for c in df.columns if c != on], *picked)
-
-
-def dense_index(df: DataFrame, key: str, *, out: str = "rank", max_rows: int = LOOKUP_ROWS,
-                slices: int | None = None) -> DataFrame:
+    staged = stage(lookup, "lookup")
+    if lookup_bytes(staged) <= max_bytes:
+        return df.join(F.broadcast(staged), on, how)
+    return df.join(staged.hint("merge"), on, how)
+
+
+def dense_index(df: DataFrame, key: str, *, out: str = "rank", max_bytes: int = LOOKUP_BYTES,
+                ranges: int | None = None) -> DataFrame:
     """0-based dense rank of ``key`` over the whole frame; null keys get null."""
-    distinct = stage(
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n")), f"distinct-{key}")
-    if fits_broadcast(distinct, key, max_rows):  # few enough to number in one task
-        numbered = distinct.select(key, (F.row_number().over(Window.orderBy(key)) - 1).cast("long").alias(out))
-        return df.join(F.broadcast(numbered), key, "left").select(*df.columns, out)
-    ranked = running_index(distinct, [key], out=out, slices=slices)
-    return lookup_join(df, ranked, key, weight="__n", max_rows=max_rows).select(*df.columns, out)
+    distinct = df.filter(F.col(key).isNotNull()).select(key).distinct()
+    ranked = _positioned(distinct, [key], out, ranges)
+    return lookup_join(df, ranked, key, max_bytes=max_bytes).select(*df.columns, out)

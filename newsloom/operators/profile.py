@@ -3,19 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions import text as X
-from newsloom.operators.ordering import HOT_ROWS, LOOKUP_ROWS, dense_index, running
+from newsloom.operators.ordering import LOOKUP_BYTES, dense_index, running
 from newsloom.session import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
-EXACT_DISTINCT = 200_000  # distinct values one aggregation buffer may hold
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -89,75 +86,62 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUARTILES, *,
-                    also: dict[str, Column] | None = None, distinct_limit: int = EXACT_DISTINCT,
-                    accuracy: int = 10_000) -> DataFrame:
+                    also: dict[str, Column] | None = None, accuracy: int = 10_000) -> DataFrame:
     """Linearly interpolated quantiles as one row of numbers, ``q<i>__<column>``.
 
-    Columns with few distinct values go through the built-in aggregate, whose
-    buffer holds every distinct value. For the others a sketch brackets each
-    rank; only the values inside the bracket are counted and ranked. ``also``
-    adds plain aggregates to the row.
+    A sketch brackets each rank in a first pass, which also takes the plain
+    aggregates of ``also``. A second pass counts the values inside the brackets
+    and the rows below them, so every result is checked: a rank outside its
+    bracket is looked for again in a wider one, in the end in all values.
     """
-    slack = 3.0 / accuracy
+    also, slack = dict(also or {}), 3.0 / accuracy
     reach = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
-    first = df.agg(
-        *[F.count(c).alias(f"n__{c}") for c in columns], *[F.approx_count_distinct(c).alias(f"d__{c}") for c in columns],
-        *[F.percentile_approx(F.col(c).cast("double"), reach, accuracy).alias(f"e__{c}") for c in columns]).first()
-    plain = [c for c in columns if first[f"d__{c}"] <= distinct_limit]
-    wide = [c for c in columns if c not in plain]
-    brackets = {c: list(zip(first[f"e__{c}"][::2], first[f"e__{c}"][1::2])) for c in wide}
-
-    # sketches keep an aggregation out of generated code, so they get a pass of their own
-    sums = dict(also or {})
-    sums.update({
-        f"b{i}__{c}": F.count_if(F.col(c) < F.lit(low)) for c in wide for i, (low, _) in enumerate(brackets[c])})
-    row = {}
-    if plain:
-        found = df.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in plain]).first()
-        row.update({f"q{i}__{c}": (found[c] or [None] * len(probs))[i] for c in plain for i in range(len(probs))})
-    kinds = {}
-    if sums:
-        summary = df.agg(*[v.alias(k) for k, v in sums.items()])
-        row.update(summary.first().asDict())  # one row of numbers
-        kinds = {f.name: f.dataType for f in summary.schema.fields}
-    picks = {}
-    for c in wide:
-        for i, p in enumerate(probs):
-            low, high, weight = _ranks(first[f"n__{c}"], p)
-            below = row.pop(f"b{i}__{c}")
+    summary = df.agg(
+        *[v.alias(k) for k, v in also.items()], *[F.count(c).alias(f"n__{c}") for c in columns],
+        *[F.min(F.col(c).cast("double")).alias(f"lo__{c}") for c in columns],
+        *[F.max(F.col(c).cast("double")).alias(f"hi__{c}") for c in columns],
+        *[F.percentile_approx(F.col(c).cast("double"), reach, accuracy).alias(f"e__{c}") for c in columns])
+    kinds = {f.name: f.dataType for f in summary.schema.fields}
+    first = summary.first()  # one row
+    row = {k: first[k] for k in also}
+    row.update({f"q{i}__{c}": None for c in columns for i in range(len(probs))})
+    brackets = {(c, i): (first[f"e__{c}"][2 * i], first[f"e__{c}"][2 * i + 1])
+                for c in columns if first[f"n__{c}"] for i in range(len(probs))}
+    while brackets:
+        upto = _ranked_inside(df, brackets)
+        picks = []
+        for (c, i), _ in brackets.items():
             own = (F.col("c") == c) & (F.col("i") == i)
-            picks[f"q{i}__{c}"] = (weight, [
-                F.min(F.when(own & (F.col("upto") > rank - below), F.col("v"))) for rank in (low, high)])
-    if wide:
-        ends = _ranked_inside(df, brackets).agg(*[c for _, pair in picks.values() for c in pair]).first()
-        for at, (name, (weight, _)) in enumerate(picks.items()):
-            low, high = ends[2 * at], ends[2 * at + 1]
-            row[name] = None if low is None else low + (high - low) * weight
+            for rank in _ranks(first[f"n__{c}"], probs[i])[:2]:
+                picks += [F.min(F.when(own & (F.col("upto") > rank), F.col("v"))),
+                          F.max(F.when(own & F.col("v").isNull(), F.col("upto")))]
+        ends = upto.agg(*picks).first()
+        missed = {}
+        for at, (c, i) in enumerate(brackets):
+            low, below, high, _ = ends[4 * at:4 * at + 4]
+            rank, _, weight = _ranks(first[f"n__{c}"], probs[i])
+            if low is None or high is None or (below or 0) > rank:
+                missed[(c, i)] = (first[f"lo__{c}"], first[f"hi__{c}"])
+            else:
+                row[f"q{i}__{c}"] = low + (high - low) * weight
+        brackets = missed
     schema = T.StructType([T.StructField(k, kinds.get(k, T.DoubleType())) for k in row])
     return df.sparkSession.createDataFrame([tuple(row.values())], schema)
 
 
-def _ranked_inside(df: DataFrame, brackets: dict[str, list]) -> DataFrame:
-    """Rows (c, i, v, upto): every distinct value inside bracket ``i`` of column ``c``
-    with the number of bracket rows up to it."""
-    hits = [
-        F.when(F.col(c).cast("double").between(low, high),
-               F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
-        for c, ends in brackets.items() for i, (low, high) in enumerate(ends)
-    ]
-    near = reduce(or_, [
-        F.col(c).cast("double").between(low, high) for c, ends in brackets.items() for low, high in ends])
-    counted = stage(
-        df.filter(near).select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.c", "h.i", "h.v").agg(
-            F.count(F.lit(1)).alias("n")), "brackets")
-    if counted.count() <= HOT_ROWS:  # one task may order each bracket
-        upto = Window.partitionBy("c", "i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        return counted.withColumn("upto", F.sum("n").over(upto))
-    parts = [
-        running(counted.filter((F.col("c") == c) & (F.col("i") == i)), "v", F.col("n"), "upto")
-        for c, ends in brackets.items() for i in range(len(ends))
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _ranked_inside(df: DataFrame, brackets: dict[tuple[str, int], tuple[float, float]]) -> DataFrame:
+    """Rows (c, i, v, upto): every distinct value inside bracket ``i`` of column ``c``, and null for all
+    below it, with the number of rows up to it."""
+    hits = []
+    for (c, i), (low, high) in brackets.items():
+        v = F.col(c).cast("double")
+        here = F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.when(v >= low, v).alias("v"))
+        hits.append(F.when(v <= high, here))
+    counted = df.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.c", "h.i", "h.v").agg(
+        F.count(F.lit(1)).alias("n"))
+    summed = running(counted, ["c", "i", "v"], F.col("n"), "sum")
+    starts = summed.groupBy("c", "i").agg(F.min(F.col("sum") - F.col("n")).alias("start"))  # one row per bracket
+    return summed.join(F.broadcast(starts), ["c", "i"]).withColumn("upto", F.col("sum") - F.col("start"))
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, **quantile_options) -> DataFrame:
@@ -229,9 +213,9 @@ def tail(df: DataFrame, order_by: str, n: int = 5) -> DataFrame:
     return df.orderBy(F.desc(order_by)).limit(n).orderBy(order_by)
 
 
-def encode_labels(df: DataFrame, column: str, *, out: str | None = None, max_rows: int = LOOKUP_ROWS) -> DataFrame:
+def encode_labels(df: DataFrame, column: str, *, out: str | None = None, max_bytes: int = LOOKUP_BYTES) -> DataFrame:
     """Code of each value in sorted order, 0 for the smallest; null stays null."""
-    return dense_index(df, column, out=out or f"encoded_{column}", max_rows=max_rows)
+    return dense_index(df, column, out=out or f"encoded_{column}", max_bytes=max_bytes)
 
 
 def map_column(df: DataFrame, column: str, mapping: dict, out_type: str = "string") -> DataFrame:

@@ -83,12 +83,32 @@ def _unique_counts(df: DataFrame, column: str) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"))
 
 
+ERROR_LENGTH = 300
+
+
+def _counts(df: DataFrame, totals: dict[str, Column]) -> tuple[dict[str, int], dict[str, str]]:
+    """All counts in one pass; if one of them raises, each by itself, with the errors by name."""
+    if len(totals) == 1:
+        return {}, {}
+    try:
+        return df.agg(*[v.alias(k) for k, v in totals.items()]).first().asDict(), {}
+    except Exception:  # noqa: BLE001
+        counts, broken = {}, {}
+        for name, total in totals.items():
+            try:
+                counts[name] = df.agg(total.alias(name)).first()[0]
+            except Exception as e:  # noqa: BLE001
+                broken[name] = str(e)[:ERROR_LENGTH]
+        return counts, broken
+
+
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule: index, expectation, column, success, unexpected, total, error.
 
     ``total`` counts non-null values (all rows for NotNull). A value rule on a
-    column the frame lacks counts as failed. Only counts reach the driver: one
-    row for all row-level rules and one row per uniqueness rule.
+    column the frame lacks counts as failed, and so does a rule that raises: the
+    others are then counted one by one. Only counts reach the driver: one row for
+    all row-level rules and one row per uniqueness rule.
     """
     known = set(df.columns)
     totals: dict[str, Column] = {"rows": F.count(F.lit(1))}
@@ -98,7 +118,7 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         c = F.col(rule.column)
         totals[f"n_{rule.column}"] = F.count(c)
         totals[f"u_{i}"] = F.count_if(c.isNull() if isinstance(rule, NotNull) else rule.violated(c))
-    counts = df.agg(*[v.alias(k) for k, v in totals.items()]).first() if len(totals) > 1 else None
+    counts, broken = _counts(df, totals)
 
     lines = []
     for i, rule in enumerate(rules, 1):
@@ -109,10 +129,14 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             ok, error = False, f"column '{rule.column}' does not exist"
         else:
             if isinstance(rule, Unique):
-                bad, n = _unique_counts(df, rule.column).first()
+                try:
+                    bad, n = _unique_counts(df, rule.column).first()
+                except Exception as e:  # noqa: BLE001
+                    error = str(e)[:ERROR_LENGTH]
             else:
-                bad, n = counts[f"u_{i}"], counts["rows" if isinstance(rule, NotNull) else f"n_{rule.column}"]
-            ok = bad == 0 or (n - bad) / n >= rule.mostly
+                bad, n = counts.get(f"u_{i}", 0), counts.get("rows" if isinstance(rule, NotNull) else f"n_{rule.column}", 0)
+                error = broken.get(f"u_{i}")
+            ok = error is None and (bad == 0 or (n - bad) / n >= rule.mostly)
         lines.append((i, rule.name, rule.column, ok, bad, n, error))
     return df.sparkSession.createDataFrame(lines, RESULT_SCHEMA)
 

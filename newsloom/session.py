@@ -40,7 +40,8 @@ def work_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="newsloom-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -62,14 +63,19 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer splits than the session has cores, spread over all cores.
+    """A scan of fewer splits than the session has cores, spread over the cores.
 
-    For costly per-row work on small files. A large table has more splits than
-    cores and is returned as it is, without a shuffle.
+    Only for a table of up to SPREAD_BYTES: a small file of one row group is one
+    task however many cores there are. Anything larger is returned as it is; its
+    splits are the matter of ``spark.sql.files.maxPartitionBytes``.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if size <= SPREAD_BYTES and df.rdd.getNumPartitions() < cores else df
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from newsloom.constants import AUDIT_COLUMNS, SYSTEM_USER
 from newsloom.operators.frames import align_to_schema
-from newsloom.session import scratch_path
+from newsloom.session import stage
 from newsloom.sources.snapshots import read_snapshot, snapshot_versions, write_snapshot
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -45,9 +45,10 @@ def one_per_key(staged: DataFrame, keys: Sequence[str], on_duplicate: str = "err
             raise ValueError("'last' needs order_by")
         one = grouped.agg(F.max_by(row, F.struct(*order_by)).alias("__r"))
     elif on_duplicate == "error":
+        # the count goes through the aggregation, the rows do not
         repeated = F.raise_error(F.lit(f"repeated key ({', '.join(keys)}) in one load"))
-        one = grouped.agg(F.min(row).alias("__one"), F.count(F.lit(1)).alias("__n")).withColumn(
-            "__r", F.when(F.col("__n") == 1, F.col("__one")).otherwise(repeated))
+        counted = staged.join(grouped.agg(F.count(F.lit(1)).alias("__n")), list(keys))
+        return counted.filter(F.when(F.col("__n") == 1, True).otherwise(repeated.cast("boolean"))).select(*staged.columns)
     else:
         raise ValueError("on_duplicate is 'error' or 'last'")
     return one.select(*keys, "__r.*").select(*staged.columns)
@@ -72,8 +73,9 @@ def classify(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, now: C
 
     A row is updated only if a loaded column differs (nulls are equal). Audit
     columns follow the load: creation is set once, update on each change, and
-    ``sf_id`` never changes. Rows without a complete key match nothing; they are
-    inserted and kept out of the join, where they would share one partition.
+    ``sf_id`` never changes. Rows without a complete key are kept out of the
+    join by key. They are known by their loaded values: one that the target has
+    already is not inserted again, so a repeated load changes nothing.
     """
     staged = stage_rows(target, batch, keys)
     loaded = staged.columns
@@ -108,11 +110,25 @@ def classify(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, now: C
     matched = both.select(*merged, action.alias("action"))
 
     keyless_old = target.filter(~_complete(keys)).withColumn("action", F.lit(UNCHANGED))
-    keyless_new = _as_inserted(staged.filter(~_complete(keys)), target.schema, now, user).withColumn(
+    keyless_new = _as_inserted(_unknown(staged, target, keys), target.schema, now, user).withColumn(
         "action", F.lit(INSERT))
     return matched.unionByName(keyless_old).unionByName(keyless_new)
 
 
+def _values_hash(columns: Sequence[str]) -> Column:
+    flags = [F.col(c).isNull() for c in columns]
+    values = [F.col(c) for c in columns]
+    return F.struct(F.xxhash64(*values, *flags).alias("a"), F.xxhash64(*flags, F.lit(1), *reversed(values)).alias("b"))
+
+
+def _unknown(staged: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staged rows without a complete key whose values the target does not have."""
+    loaded = [c for c in staged.columns if c not in AUDIT_COLUMNS]
+    there = target.filter(~_complete(keys)).select(_values_hash(loaded).alias("__h"))
+    rows = staged.filter(~_complete(keys)).withColumn("__h", _values_hash(loaded))
+    return rows.join(there, "__h", "left_anti").select(*staged.columns)
+
+
 def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, now: Column,
                 user: str = SYSTEM_USER) -> DataFrame:
     """Target plus the batch rows whose key it does not have; conflicts are skipped.
@@ -123,7 +139,7 @@ def insert_only(target: DataFrame, batch: DataFrame, keys: Sequence[str], *, now
     one = one_per_key(staged.filter(_complete(keys)), keys, "last",
                       [c for c in staged.columns if c not in keys] or keys)
     fresh = one.join(target.select(*keys), list(keys), "left_anti").select(*staged.columns)
-    new = fresh.unionByName(staged.filter(~_complete(keys)))
+    new = fresh.unionByName(_unknown(staged, target, keys))
     return target.unionByName(_as_inserted(new, target.schema, now, user))
 
 
@@ -157,51 +173,76 @@ def upsert_snapshot(path: str, batch: DataFrame, keys: Sequence[str], *, now: Co
     """Load a batch into a versioned table and return the load report.
 
     The new version is one atomic write; a failed load leaves the old version
-    as the newest. The action column is written beside the data, so the report
-    reads one column of the finished version and repeats no work.
+    as the newest. Every load rewrites the table, so this is for small ones;
+    ``upsert_buckets`` rewrites only what a batch hits. What was done to each row
+    is held in the shared folder for the report and is no column of the table.
     """
     spark = batch.sparkSession
     started = perf_counter()
     if snapshot_versions(spark, path):
-        target = read_snapshot(spark, path).drop("action")
+        target = read_snapshot(spark, path)
     elif target_schema is not None:
         target = spark.createDataFrame([], target_schema)
     else:
         raise ValueError("the table does not exist; give target_schema to create it")
-    version = write_snapshot(classify(target, batch, keys, now=now, **options), path)
-    seconds = perf_counter() - started
-    written = spark.read.parquet(f"{path}/v={version}")
-    report = load_report(written, seconds).first().asDict()
+    done = stage(classify(target, batch, keys, now=now, **options), "upsert")
+    version = write_snapshot(done.drop("action"), path)
+    report = load_report(done, perf_counter() - started).first().asDict()
     return {"status": "success", "version": version, **report}
 
 
-def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket number of a key; fixed for the life of a bucketed table."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+BUCKETS = 64  # of a new table, unless said otherwise
+
+
+def bucket_of(keys: Sequence[str], buckets: int, beside: Sequence[str] = ()) -> Column:
+    """Bucket number of a key; fixed for the life of a bucketed table. Rows without a
+    complete key are spread by their values (``beside``)."""
+    place = F.xxhash64(*keys)
+    if beside:
+        place = F.when(_complete(keys), place).otherwise(F.xxhash64(*beside))
+    return F.pmod(place, F.lit(buckets)).cast("int")
 
 
-def upsert_buckets(path: str, batch: DataFrame, keys: Sequence[str], *, buckets: int, now: Column,
-                   target_schema: T.StructType, **options) -> None:
-    """Load a batch into a table partitioned by key bucket.
+def _stored_buckets(spark, path: str, buckets: int | None) -> int:
+    """The table's bucket count: read from beside the data, or written there for a new table."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_buckets")
+    if mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        stored = spark.read.schema("buckets int").json(f"{path}/_buckets").first()["buckets"]
+        if buckets is not None and buckets != stored:
+            raise ValueError(f"the table has {stored} buckets, not {buckets}")
+        return stored
+    buckets = buckets or BUCKETS
+    spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.mode("overwrite").json(f"{path}/_buckets")
+    return buckets
+
+
+def upsert_buckets(path: str, batch: DataFrame, keys: Sequence[str], *, now: Column,
+                   target_schema: T.StructType, buckets: int | None = None, **options) -> dict:
+    """Load a batch into a table partitioned by key bucket and return the load report.
+
+    The bucket count is kept beside the data; another one is refused.
 
     Only buckets the batch hits are read and rewritten. The result is written to
     the shared folder first and moved in by dynamic partition overwrite, so a
     repeated run after a failure gives the same table.
     """
-    spark = batch.sparkSession
-    batch = batch.withColumn("__bucket", bucket_of(keys, buckets))
-    hit = [r[0] for r in batch.select("__bucket").distinct().collect()]  # at most ``buckets`` numbers
+    spark, started = batch.sparkSession, perf_counter()
+    empty = spark.createDataFrame([], target_schema)
+    loaded = [c for c in stage_rows(empty, batch, keys).columns if c not in AUDIT_COLUMNS]
+    rows = stage(batch, "load")  # read several times
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+    known = root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root)
+    buckets = _stored_buckets(spark, path, buckets)
+    place = bucket_of(keys, buckets, loaded)
+    hit = [r[0] for r in stage_rows(empty, rows, keys).select(place.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+    target = empty
+    if known:
         stored = T.StructType([*target_schema.fields, T.StructField("__bucket", T.IntegerType())])
         target = spark.read.schema(stored).parquet(path).filter(F.col("__bucket").isin(hit)).drop("__bucket")
-    else:
-        target = spark.createDataFrame([], target_schema)
-    merged = classify(target, batch.drop("__bucket"), keys, now=now, **options).drop("action")
-    held = scratch_path(spark, "upsert")
-    merged.withColumn("__bucket", bucket_of(keys, buckets)).write.parquet(held)
-    (spark.read.parquet(held).hint("rebalance", "__bucket").write.mode("overwrite")
+    done = stage(classify(target, rows, keys, now=now, **options), "upsert")
+    (done.drop("action").withColumn("__bucket", place).hint("rebalance", "__bucket").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("__bucket").parquet(path))
+    return {"status": "success", "buckets": buckets, **load_report(done, perf_counter() - started).first().asDict()}
 
 
 def merge_sql(target_table: str, staged_view: str, columns: Sequence[str], keys: Sequence[str], now_sql: str,

@@ -22,17 +22,30 @@ CORPUS_TREES = ["News Articles", "Summaries"]
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, *, sep: str = ",",
              **options: Any) -> DataFrame:
-    """CSV with a header, quoted line breaks and ``""`` as the quote escape.
+    """CSV with a checked header and ``""`` as the quote escape; columns are bound by name.
 
-    Without ``schema`` every column is read as text under the checked header;
-    no pass over the data is made to guess types.
+    Without ``schema`` every column is text; no pass over the data is made to
+    guess types. With one, its columns are looked up in the header, in any case
+    and order, and others are left out. Every file of a folder must have the
+    same header. Line breaks inside quotes need ``multiLine=True``; without it a
+    large file is read in parallel.
     """
-    options = {"sep": sep, "multiLine": True, "escape": '"', **options}
-    if schema is not None:
-        return spark.read.options(header=True, **options).schema(schema).csv(path)
-    header = spark.read.options(header=False, **options).csv(path).first()  # one line of one file
-    names = check_header([n or "" for n in header] if header else [])
-    return spark.read.options(header=True, **options).csv(path).toDF(*names)
+    options = {"sep": sep, "escape": '"', **options}
+    head = spark.read.options(header=False, **options).csv(path).first()  # one line of one file
+    raw = [n or "" for n in head] if head else []
+    names = check_header(raw)
+    if schema is None:
+        wanted = None
+        fields = [T.StructField(n, T.StringType()) for n in raw]
+    else:
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        kinds = {f.name.lower(): f.dataType for f in wanted.fields}
+        absent = [f.name for f in wanted.fields if f.name.lower() not in {n.lower() for n in names}]
+        if absent:
+            raise ValueError(f"the header of {path} lacks {', '.join(absent)}")
+        fields = [T.StructField(r, kinds.get(n.lower(), T.StringType())) for r, n in zip(raw, names)]
+    rows = spark.read.options(header=True, enforceSchema=False, **options).schema(T.StructType(fields)).csv(path).toDF(*names)
+    return rows if wanted is None else rows.select(*[F.col(f"`{f.name}`").alias(f.name) for f in wanted.fields])
 
 
 def read_semicolon_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -75,34 +88,65 @@ def object_store_options(endpoint: str, access_key: str, secret_key: str, secure
 # --- payloads ---------------------------------------------------------------------
 
 def explode_payload(payloads: DataFrame, array_keys: Sequence[str] = PAYLOAD_KEYS) -> DataFrame:
-    """One flat row per entry of the first array key the payloads have.
+    """One flat row per entry of the first array key that a payload has.
 
-    Without such a key a payload is itself one row. Other payload columns, such
-    as a partition column, are kept unless an entry has a field of that name.
+    The key is chosen payload by payload, so files of different services can lie
+    in one folder; a payload without any key is itself one entry. Entries get the
+    fields of all keys, missing ones as null. Other payload columns, such as a
+    partition column, are kept unless an entry has a field of that name.
     """
-    key = next((k for k in array_keys if k in payloads.columns), None)
-    if key is None:
+    keys = [k for k in array_keys if k in payloads.columns]
+    if not keys:
         return flatten_structs(payloads)
-    kind = payloads.schema[key].dataType
-    if not isinstance(kind, T.ArrayType):
-        raise ValueError(f"payload key '{key}' is not an array")
-    inner = set(kind.elementType.names) if isinstance(kind.elementType, T.StructType) else set()
-    beside = [c for c in payloads.columns if c not in array_keys and c not in inner]
-    return flatten_structs(payloads.select(*beside, F.explode(key).alias("__e")).select(*beside, "__e.*"))
+    fields: dict[str, T.DataType] = {}
+    for k in keys:
+        kind = payloads.schema[k].dataType
+        if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+            raise ValueError(f"payload key '{k}' is not an array of objects")
+        for f in kind.elementType.fields:
+            known = fields.get(f.name)
+            fields[f.name] = f.dataType if known is None or known == f.dataType else T.StringType()
+    bare = [f for f in payloads.schema.fields if f.name in fields and f.name not in keys]
+    for f in bare:
+        if fields[f.name] != f.dataType:
+            fields[f.name] = T.StringType()
+
+    def entry(value: Callable[[str], Column], there: set[str]) -> Column:
+        return F.struct(*[(value(n) if n in there else F.lit(None)).cast(t).alias(n) for n, t in fields.items()])
+
+    entries = None
+    for k in reversed(keys):
+        there = set(payloads.schema[k].dataType.elementType.names)
+        own = F.transform(k, _entries_of(entry, there))
+        if entries is None:
+            alone = F.array(entry(F.col, {f.name for f in bare})) if bare else F.array().cast(T.ArrayType(T.StructType(
+                [T.StructField(n, t) for n, t in fields.items()])))
+            entries = alone
+        entries = F.when(F.col(k).isNotNull(), own).otherwise(entries)
+    beside = [c for c in payloads.columns if c not in array_keys and c not in fields]
+    return flatten_structs(payloads.select(*beside, F.explode(entries).alias("__e")).select(*beside, "__e.*"))
+
+
+def _entries_of(entry: Callable, there: set[str]) -> Callable[[Column], Column]:
+    return lambda e: entry(lambda n: e[n], there)
 
 
 def read_payloads(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                   array_keys: Sequence[str] = PAYLOAD_KEYS, *, keep: Sequence[str] = (),
                   multiline: bool = True) -> DataFrame:
-    """Landed payload files as article rows; ``keep`` names payload columns to keep.
+    """Landed payload files as article rows; with ``keep`` only these payload columns are kept beside the entries.
 
     Partition folders such as ``category=health/`` become columns, so one read
     covers every folder.
     """
     payloads = read_json_document(spark, path, schema, multiline)
-    present = [k for k in array_keys if k in payloads.columns][:1]
-    kept = [c for c in keep if c in payloads.columns]
-    return explode_payload(payloads.select(*kept, *present) if present else payloads, array_keys)
+    rows = explode_payload(payloads, array_keys)
+    present = [k for k in array_keys if k in payloads.columns]
+    if not present:
+        return rows
+    entries = {f.name for k in present for f in payloads.schema[k].dataType.elementType.fields}
+    extra = [c for c in payloads.columns if c not in present and c not in entries and c not in keep]
+    return rows.drop(*extra)
 
 
 # --- text trees -------------------------------------------------------------------

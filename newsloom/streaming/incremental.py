@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.plans.silver import clean
-from newsloom.sinks.upsert import upsert_buckets, upsert_snapshot
+from newsloom.sinks.upsert import upsert_buckets
 from newsloom.sources.readers import PAYLOAD_KEYS, explode_payload
 
 
@@ -34,22 +34,16 @@ def each_batch(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkp
 def stream_to_silver(rows: DataFrame, source: str, path: str, checkpoint: str, *, order_by: str,
                      target_schema: T.StructType, now_ms: int, entities: bool = True,
                      buckets: int | None = None) -> StreamingQuery:
-    """Clean a stream of bronze rows and load it by URL into a stored table.
+    """Clean a stream of bronze rows and load it by URL into a bucketed table.
 
     Inside a batch the first row per URL is kept; earlier batches are met in the
-    keyed load. A batch that is repeated after a failure changes nothing. With
-    ``buckets`` a batch rewrites only the buckets it hits, otherwise a new
-    version of the whole table is written.
+    keyed load, which rewrites only the buckets a batch hits. A batch that is
+    repeated after a failure changes nothing, and neither does an empty one.
     """
     def load(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
         cleaned = clean(batch, source, order_by, entities=entities)
-        now = F.timestamp_millis(F.lit(now_ms))
-        if buckets:
-            upsert_buckets(path, cleaned, ["url"], buckets=buckets, now=now, target_schema=target_schema)
-        else:
-            upsert_snapshot(path, cleaned, ["url"], now=now, target_schema=target_schema)
+        upsert_buckets(path, cleaned, ["url"], buckets=buckets, now=F.timestamp_millis(F.lit(now_ms)),
+                       target_schema=target_schema)
 
     return each_batch(rows, load, checkpoint)
 

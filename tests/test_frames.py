@@ -25,7 +25,7 @@ def test_keep_first_does_not_depend_on_partitions(spark):
     want = rows(D.keep_first(df.coalesce(1), "k", "id"))
     assert rows(D.keep_first(df.repartition(8), "k", "id")) == want
     plan = D.keep_first(df, "k", "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_min_by" in plan
+    assert "Window" not in plan and "partial_min(" in plan and "SortAggregate" not in plan
 
 
 def test_duplicate_ids_compare_as_one_type(spark):

@@ -40,7 +40,7 @@ def test_tfidf_vector_equals_long_form(spark, headlines):
 
 def test_tfidf_with_a_shuffled_lookup(headlines):
     small = {(r["id"], r["word"]): r["weight"] for r in V.tfidf(headlines, "id", "text").collect()}
-    large = {(r["id"], r["word"]): r["weight"] for r in V.tfidf(headlines, "id", "text", max_rows=0).collect()}
+    large = {(r["id"], r["word"]): r["weight"] for r in V.tfidf(headlines, "id", "text", max_bytes=0).collect()}
     assert small.keys() == large.keys() and all(math.isclose(small[k], large[k]) for k in small)
 
 
@@ -91,7 +91,7 @@ def test_plugged_in_encoder(spark):
 def test_split_is_exact_repeatable_and_safe_for_hot_classes(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") < 700, 0).otherwise(1 + F.col("id") % 3).alias("label"))
     plain = {r["id"] for r in M.stratified_split(df, "label", "id").filter("is_test").collect()}
-    cut = M.stratified_split(df.repartition(7), "label", "id", hot_rows=100, slices=5)
+    cut = M.stratified_split(df.repartition(7), "label", "id", ranges=5)
     assert {r["id"] for r in cut.filter("is_test").collect()} == plain
     assert [tuple(r) for r in cut.groupBy("label").agg(F.count_if("is_test")).orderBy("label").collect()] == [
         (0, 280), (1, 40), (2, 40), (3, 40)]

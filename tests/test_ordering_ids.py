@@ -21,8 +21,8 @@ def skewed(spark):
 def test_global_index(skewed):
     rows, df = skewed
     want = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[2], r[0])))}
-    for slices in (1, 13):
-        got = O.running_index(df, ["v", "id"], slices=slices)
+    for ranges in (1, 13):
+        got = O.running_index(df, ["v", "id"], ranges=ranges)
         assert {r["id"]: r["idx"] for r in got.collect()} == want
 
 
@@ -32,15 +32,15 @@ def test_index_within_groups_with_and_without_cutting(skewed):
     for r in sorted(rows, key=lambda r: (r[2], r[0])):
         want[r[0]] = seen.get(r[1], 0)
         seen[r[1]] = want[r[0]] + 1
-    for options in ({}, {"hot_rows": 500, "slices": 9}, {"hot_rows": 1, "slices": 4}):
-        got = O.running_index(df, ["v", "id"], within=["k"], **options)
+    for ranges in (None, 1, 9):
+        got = O.running_index(df, ["v", "id"], within=["k"], ranges=ranges)
         assert {r["id"]: r["idx"] for r in got.collect()} == want
 
 
 def test_null_group_is_a_group(spark):
     df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "id long, k string")
-    for hot in (1000, 3):
-        got = O.running_index(df, ["id"], within=["k"], hot_rows=hot, slices=3)
+    for ranges in (1, 3):
+        got = O.running_index(df, ["id"], within=["k"], ranges=ranges)
         assert {r["id"]: r["idx"] for r in got.collect()} == {i: i // 2 for i in range(20)}
 
 
@@ -50,33 +50,32 @@ def test_running_sum_and_max(skewed):
     for r in sorted(rows):
         total, high = total + r[2], max(high, r[2])
         sums[r[0]], top[r[0]] = total, high
-    assert {r["id"]: r["s"] for r in O.running(df, "id", F.col("v"), "s", slices=11).collect()} == sums
-    assert {r["id"]: r["s"] for r in O.running(df, "id", F.col("v"), "s", how=F.max, slices=11).collect()} == top
-    before = O.running(df, "id", F.col("v"), "s", inclusive=False, slices=11)
+    assert {r["id"]: r["s"] for r in O.running(df, "id", F.col("v"), "s", ranges=11).collect()} == sums
+    assert {r["id"]: r["s"] for r in O.running(df, "id", F.col("v"), "s", how=F.max, ranges=11).collect()} == top
+    before = O.running(df, "id", F.col("v"), "s", inclusive=False, ranges=11)
     assert {r["id"]: r["s"] for r in before.collect()} == {
         r[0]: (None if r[0] == 0 else sums[r[0]] - r[2]) for r in rows}
 
 
-@pytest.mark.parametrize("max_rows", [0, 5, 10_000])
-def test_dense_index_of_numbers_and_texts(spark, skewed, max_rows):
+@pytest.mark.parametrize("max_bytes", [0, 10_000_000])
+def test_dense_index_of_numbers_and_texts(spark, skewed, max_bytes):
     rows, df = skewed
     order = {v: i for i, v in enumerate(sorted({r[2] for r in rows}))}
-    got = O.dense_index(df, "v", max_rows=max_rows, slices=6).collect()
+    got = O.dense_index(df, "v", max_bytes=max_bytes, ranges=6).collect()
     assert {r["id"]: r["rank"] for r in got} == {r[0]: order[r[2]] for r in rows}
     texts = df.select("id", F.concat(F.lit("https://long.prefix/é"), "v").alias("t"))
     order = {t: i for i, t in enumerate(sorted({f"https://long.prefix/é{r[2]}" for r in rows}, key=lambda t: t.encode()))}
-    got = O.dense_index(texts, "t", max_rows=max_rows, slices=6).collect()
+    got = O.dense_index(texts, "t", max_bytes=max_bytes, ranges=6).collect()
     assert {r["id"]: r["rank"] for r in got} == {r[0]: order[f"https://long.prefix/é{r[2]}"] for r in rows}
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_lookup_join_is_a_join(skewed, how, max_rows, monkeypatch):
+@pytest.mark.parametrize("max_bytes", [0, 1_000_000])
+def test_lookup_join_is_a_join(skewed, how, max_bytes):
     rows, df = skewed
-    monkeypatch.setattr(O, "MAX_HOT_GROUPS", 3)
-    lookup = df.filter("k % 2 = 0").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
-    want = df.join(lookup.drop("n"), "k", how).select("id", "k", "v", "total")
-    got = O.lookup_join(df, lookup, "k", weight="n", max_rows=max_rows, how=how).select("id", "k", "v", "total")
+    lookup = df.filter("k % 2 = 0").groupBy("k").agg(F.sum("v").alias("total"))
+    want = df.join(lookup, "k", how).select("id", "k", "v", "total")
+    got = O.lookup_join(df, lookup, "k", max_bytes=max_bytes, how=how).select("id", "k", "v", "total")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
@@ -109,23 +108,45 @@ def test_overflow_is_an_error_or_carried(spark):
     rows = [(i, f"2025-01-01 00:00:00.00{ms}", None) for i, ms in enumerate([1, 1, 1, 1, 1, 2, 5, 5, 5, 9])]
     df = _timed(spark, rows)
     with pytest.raises(ValueError):
-        I.assign_ids(df, tight, ["n"])
+        I.assign_ids(df, tight, ["n"], on_overflow="error")
     base, free, want = 1735689600000, 0, []
     for _, at, _ in rows:
         free = max(free, (base + int(at[-1])) * 2)
         want.append((free // 2, free % 2))
         free += 1
-    for options in ({}, {"slices": 3, "hot_rows": 2}):
+    for options in ({}, {"ranges": 3}):
         done = I.assign_ids(df, tight, ["n"], on_overflow="carry", **options)
         got = I.decode_ids(done, tight).orderBy("n").collect()
         assert [(r["timestamp_ms"], r["sequence"]) for r in got] == want
 
 
+def test_many_hot_groups_and_constant_first_column(spark):
+    """1 001 groups, texts with one shared head and an order column that is the same in all rows."""
+    df = spark.range(4_004).select(
+        "id", (F.col("id") % 1_001).alias("k"), F.lit(1).alias("same"), F.concat(F.lit("x" * 80), F.lpad("id", 6, "0")).alias("t"))
+    got = O.running_index(df, ["same", "t"], within=["k"], ranges=8).collect()
+    assert all(r["idx"] == r["id"] // 1_001 for r in got)
+    ranged = O._ranged(df, ["same", "t"], 8)
+    assert ranged.select("__range").distinct().count() > 4
+    assert all(r["idx"] == r["id"] for r in O.running_index(df, ["same", "t"], ranges=8).collect())
+
+
+def test_new_ids_start_after_given_ones(spark):
+    df = spark.range(5_002).select(
+        F.col("id").alias("n"), F.timestamp_millis(F.lit(1735689600001)).alias("createdate"),
+        F.when(F.col("id") == 0, F.lit((((1735689600001 - LAYOUT.epoch_ms) << 22) | LAYOUT.writer_part | 7))).when(
+            F.col("id") == 1, F.lit((((1735689600002 - LAYOUT.epoch_ms) << 22) | LAYOUT.writer_part | 1))).alias("sf_id"))
+    done = I.assign_ids(df, LAYOUT, ["n"])
+    assert done.select("sf_id").distinct().count() == 5_002 and done.filter("sf_id is null").count() == 0
+    few = I.assign_ids(df.limit(12).filter("n <> 1"), LAYOUT, ["n"])
+    assert min(r["sequence"] for r in I.decode_ids(few.filter("n > 1"), LAYOUT).collect()) == 8
+
+
 def test_bulk_ids_never_repeat(spark):
     df = spark.range(10_000).repartition(5)
     ids = [r["sf_id"] for r in I.bulk_ids(df, 1759730400123, LAYOUT, ["id"]).orderBy("id").collect()]
     assert len(set(ids)) == 10_000 and ids == sorted(ids)
-    cut = I.bulk_ids(df, 1759730400123, LAYOUT, ["id"], slices=7).orderBy("id").collect()
+    cut = I.bulk_ids(df, 1759730400123, LAYOUT, ["id"], ranges=7).orderBy("id").collect()
     assert [r["sf_id"] for r in cut] == ids
 
 

@@ -52,7 +52,7 @@ def test_csv_forms(spark, tmp_path):
     df = spark.createDataFrame([("0123", 'say "hi"; \nthen', ["a", "b"]), ("7", None, None)], "sf_id string, t string, l array<string>")
     path = str(tmp_path / "x")
     W.write_csv(df, path)
-    back = R.read_semicolon_csv(spark, path)
+    back = R.read_semicolon_csv(spark, path, multiLine=True)
     assert back.columns == ["sf_id", "t", "l"]
     assert rows(back) == [("0123", 'say "hi"; \nthen', "['a', 'b']"), ("7", None, None)]
     raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "x").glob("*.csv")))

@@ -97,11 +97,11 @@ def test_categories(column):
     assert column(X.category_name, [0, 7, 8, -1, None], "int") == ["business", "politics", None, None, None]
 
 
-@pytest.mark.parametrize("max_rows", [1000, 0])
-def test_gold_category_counts_raw_values(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [1000, 0])
+def test_gold_category_counts_raw_values(spark, max_bytes):
     rows = [" Politic "] * 5 + ["politics"] * 4 + ["technology,science"] * 5 + ["weather"] * 9 + [None] * 6
     df = spark.createDataFrame([(i, c) for i, c in enumerate(rows)], "id int, category string")
-    got = {r["id"]: r["category"] for r in gold_category(df, max_rows=max_rows).collect()}
+    got = {r["id"]: r["category"] for r in gold_category(df, max_bytes=max_bytes).collect()}
     assert [got[i] for i in range(len(rows))] == (
         ["politics"] * 5 + ["general"] * 4 + ["technology"] * 5 + ["general"] * 15)
 
