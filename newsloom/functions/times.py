@@ -74,7 +74,7 @@ def _rewritten(s: Column) -> Column:
         F.when(s.rlike(_DMONY), dated(_DMONY, 3, 2, 1, F.regexp_replace(s, _DMONY, "")))
         .when(s.rlike(_CTIME), dated(_CTIME, 4, 1, 2, F.concat(F.lit(" "), F.regexp_extract(s, _CTIME, 3))))
         .when(s.rlike(_MONDY), dated(_MONDY, 3, 1, 2, F.regexp_replace(s, _MONDY, "")))
-        .when(s.rlike(_NUMBERS), numbers).when(s.rlike(_COMPACT), compact))
+        .when(s.rlike(_NUMBERS), numbers).when(s.rlike(_COMPACT), compact).otherwise(s))
 
 
 def _canonical(s: Column, zone: str) -> Column:
