@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from newsloom.session import stage
 
 
+LINKS_PER_TASK = 500_000
+
+
 def _state(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s")).first()
     return r["n"], r["s"]
@@ -24,8 +27,10 @@ def star_components(links: DataFrame) -> DataFrame:
     Each step is an aggregation and a join on the node, in which adaptive
     execution splits nodes with very many neighbours; each result is written.
     """
-    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = stage(edges, "stars")
+    tasks = 1 + links.count() // LINKS_PER_TASK
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    # each task hands on a spanning forest of its links, so that fewer rounds are left
+    edges = stage(edges.coalesce(tasks).mapInArrow(_spanning, "u long, v long"), "stars")
     before = None
     while (now := _state(edges)) != before:
         before = now
@@ -73,7 +78,8 @@ def union_find(links: DataFrame) -> DataFrame:
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     found = None
     while True:
-        forest = stage(edges.mapInArrow(_spanning, "u long, v long"), "forest")
+        tasks = 1 + edges.count() // LINKS_PER_TASK
+        forest = stage(edges.coalesce(tasks).mapInArrow(_spanning, "u long, v long"), "forest")
         hooks = stage(forest.groupBy("u").agg(F.min("v").alias("v")), "hooks")
         if hooks.isEmpty():
             break

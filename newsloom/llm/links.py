@@ -1,13 +1,15 @@
 """Similar pairs from banded signatures, without all pairs of a bucket.
 
 Items whose signatures agree on a band share a bucket. In a first pass every
-item of a bucket is checked against the bucket's least item only: the links
-already tie most groups together. In a second pass only buckets that still
-hold several components are looked at, and only pairs across components are
-checked, so no link between different groups is lost and a group of copies
-costs one check per item. A bucket of dissimilar items, as many as share a
-common passage, is first split by bands of a second signature, with the same
-recall, so that its pairs do not grow with the square of its size.
+item of a bucket is checked against one only, the one whose buckets are largest
+in all: in a group of copies that is the text the others were made from, and
+its links already tie the group together. Then a few rounds follow in which
+buckets that still hold several components are checked against another of their
+items. At last all pairs across the components of such buckets are checked, so
+no link between different groups is lost and a group of copies costs a few
+checks per item. A bucket of several dissimilar items, as many as share a common
+passage, is first split by bands of a second signature, so that its pairs do not
+grow with the square of its size.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from newsloom.session import stage
 from .common import sized_join
 from .wordhash import mix
 
-SPLIT_ABOVE = 32  # items of a bucket from which the second signature splits it
-SKETCH_SLACK = 0.2  # a sketch this far below the threshold is no pair (over six standard errors)
+ROUNDS = 2  # in which open buckets are checked against one more of their items
+SPLIT_ABOVE = 4  # items of a bucket from which the second signature splits it
+PAIRS_AT_ONCE = 1_024
+SKETCH_ERRORS = 5.5  # standard errors below the threshold from which a sketch is no pair
 
 
 def minima(numbers: np.ndarray, offsets: np.ndarray, count: int, seed: int) -> np.ndarray:
@@ -39,7 +43,7 @@ def minima(numbers: np.ndarray, offsets: np.ndarray, count: int, seed: int) -> n
     out = np.full((len(offsets) - 1, count), np.iinfo(np.uint32).max, dtype=np.uint32)
     full = np.flatnonzero(np.diff(offsets))
     if len(full):
-        folded = (numbers ^ (numbers >> np.uint64(32))).astype(np.uint32)
+        folded = numbers if numbers.dtype == np.uint32 else (numbers ^ (numbers >> np.uint64(32))).astype(np.uint32)
         starts = offsets[:-1][full]
         hashed = np.empty_like(folded)
         for i in range(count):
@@ -73,60 +77,84 @@ def sketch(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in low], pa.binary())
 
 
-def set_rows(ids: list, numbers: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-    """Rows (id, sketch, items): the items are the sorted distinct numbers of a set."""
-    items = [np.unique(numbers[a:b]).tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+SET_SCHEMA = "id long, size int, sketch binary, items binary"
+
+
+def set_rows(ids: list, sizes: list[int], rows: np.ndarray, items: list[bytes]) -> pa.RecordBatch:
+    """Rows (id, size, sketch, items): the items are what ``numbers_of`` makes a set's sorted distinct numbers from."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), sketch(rows), pa.array(items, pa.binary())], names=["id", "sketch", "items"])
+        [pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), sketch(rows), pa.array(items, pa.binary())],
+        names=["id", "size", "sketch", "items"])
+
+
+def _bytes_matrix(column: pa.Array) -> np.ndarray:
+    """Binary values of one length as rows of bytes."""
+    borders = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[borders[0]:borders[-1]].reshape(len(column), -1)
 
 
-SET_SCHEMA = "id long, sketch binary, items binary"
+def plain_numbers(items: list[bytes]) -> list[np.ndarray]:
+    """Items that are the sorted distinct numbers themselves."""
+    return [np.frombuffer(x, np.uint64) for x in items]
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_of: Callable) -> DataFrame:
     """Pairs (a, b) whose sets meet the share: ``share[1] * |A and B| >= share[0] * |A or B|``.
 
-    Sizes are compared first, then the sketches of the signatures, then the full sets.
+    Sizes are compared first, then the sketches of the signatures, then the full
+    sets. The sets are met by shuffle; an item with very many pairs is a hot key
+    that adaptive execution splits.
     """
-    left = sets.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a"), F.col("items").alias("items_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b"), F.col("items").alias("items_b"))
-    wide = lambda s: F.octet_length(f"items_{s}") + F.octet_length(f"sketch_{s}") + 16
-    sized = sized_join(sized_join(pairs, left, "a", "inner", wide("a")), right, "b", "inner", wide("b")).filter(
-        (F.least(F.octet_length("items_a"), F.octet_length("items_b")) * share[1]
-         >= F.greatest(F.octet_length("items_a"), F.octet_length("items_b")) * share[0]) & (F.octet_length("items_a") > 0))
-    least = share[0] / share[1] - SKETCH_SLACK
+    left, right = (sets.select(*[F.col(c).alias(c if c == "id" else f"{c}_{s}") for c in sets.columns]).withColumnRenamed("id", s)
+                   for s in ("a", "b"))
+    met = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").filter(
+        (F.least("size_a", "size_b") * share[1] >= F.greatest("size_a", "size_b") * share[0]) & (F.col("size_a") > 0))
+
+    p = share[0] / share[1]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fine = []
-            for sa, sb, ia, ib in zip(*(batch.column(c) for c in ("sketch_a", "sketch_b", "items_a", "items_b"))):
-                x, y = np.frombuffer(sa.as_buffer(), np.uint8), np.frombuffer(sb.as_buffer(), np.uint8)
-                if (x == y).mean() < least:
-                    fine.append(False)
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS_AT_ONCE):
+                batch = whole.slice(at, PAIRS_AT_ONCE)
+                x, y = (_bytes_matrix(batch.column(c)) for c in ("sketch_a", "sketch_b"))
+                near = np.flatnonzero((x == y).mean(axis=1) >= p - SKETCH_ERRORS * np.sqrt(p * (1 - p) / x.shape[1]))
+                if not len(near):
                     continue
-                x, y = np.frombuffer(ia.as_buffer(), np.uint64), np.frombuffer(ib.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                fine.append(share[1] * both >= share[0] * (len(x) + len(y) - both))
-            mask = pa.array(fine, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
-
-    return sized.select("a", "b", "sketch_a", "sketch_b", "items_a", "items_b").mapInArrow(check, "a long, b long")
-
-
-def _split(rest: DataFrame, sets: DataFrame, second: tuple[int, int, int]) -> DataFrame:
-    """Members (key, id, comp) of large buckets under the keys of a second signature inside their bucket."""
-    bands, height, seed = second
-    joined = sized_join(rest, sets.select("id", "items"), "id", "inner", F.octet_length("items") + 16)
+                part = batch.take(pa.array(near))
+                ids = np.concatenate([part.column(c).to_numpy() for c in ("a", "b")])
+                _, first, place = np.unique(ids, return_index=True, return_inverse=True)  # an item of many pairs is read once
+                items = pa.concat_arrays([part.column("items_a"), part.column("items_b")]).take(pa.array(first))
+                sets_ = numbers_of([v.as_buffer().to_pybytes() for v in items])
+                fine = []
+                for i, j in zip(place[:len(near)], place[len(near):]):
+                    both = len(np.intersect1d(sets_[i], sets_[j], assume_unique=True))
+                    fine.append(share[1] * both >= share[0] * (len(sets_[i]) + len(sets_[j]) - both))
+                mask = pa.array(fine, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
+
+    return met.select("a", "b", "sketch_a", "sketch_b", "items_a", "items_b").mapInArrow(check, "a long, b long")
+
+
+def _split(rest: DataFrame, sets: DataFrame, second: tuple[int, int, int, int], numbers_of: Callable) -> DataFrame:
+    """Members (key, id, comp) of large buckets under the keys of a second signature inside their bucket.
+
+    Every bucket uses ``picks`` of the signature's bands, others than most
+    buckets do: similar items share several buckets and meet again in one.
+    """
+    bands, height, seed, picks = second
+    joined = rest.join(sets.select("id", "items").hint("merge"), "id")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("items")]
+                sets_ = numbers_of([x.as_buffer().to_pybytes() for x in part.column("items")])
                 offsets = np.cumsum([0, *map(len, sets_)])
                 keys = band_keys(minima(np.concatenate(sets_), offsets, bands * height, seed), height, salt=1)
-                keys = mix(keys ^ part.column("key").to_numpy().view(np.uint64)[:, None])
-                at_ = pa.array(np.repeat(np.arange(part.num_rows), bands))
+                bucket = part.column("key").to_numpy().view(np.uint64)[:, None]
+                chosen = ((mix(bucket) % np.uint64(bands)).astype(np.int64) + np.arange(picks) * (bands // picks)) % bands
+                keys = mix(np.take_along_axis(keys, chosen, axis=1) ^ bucket)
+                at_ = pa.array(np.repeat(np.arange(part.num_rows), picks))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.reshape(-1).view(np.int64)), part.column("id").take(at_), part.column("comp").take(at_)],
                     names=["key", "id", "comp"])
@@ -141,36 +169,65 @@ def _across(members: DataFrame) -> DataFrame:
     return sized_join(members, mixed, "key", "inner", 24)
 
 
+def _centred(members: DataFrame) -> DataFrame:
+    """Members (key, id, centre) of the buckets with several items."""
+    shared = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("n")).filter("x < y")
+    met = stage(sized_join(members, stage(shared.select("key", "n"), "link-buckets"), "key", "inner", 16), "link-members")
+    weight = met.groupBy("id").agg(F.sum("n").alias("weight"))
+    weighed = sized_join(met.select("key", "id"), stage(weight, "link-weights"), "id", "inner", 16)
+    heaviest = weighed.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("top"))
+    centres = heaviest.select("key", (-F.col("top.col2")).alias("centre"))
+    return stage(sized_join(met.select("key", "id"), stage(centres, "link-centres"), "key", "inner", 16), "link-members")
+
+
+def _open_members(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (key, id, comp, n) of the buckets that hold several components."""
+    labelled = sized_join(met, roots, "id", "left", 16).select("key", "id", F.coalesce("root", "id").alias("comp"))
+    return _across(labelled.distinct())
+
+
 def similar_components(members: DataFrame, sets_for: Callable[[DataFrame], DataFrame], share: tuple[int, int],
-                       components: Callable[[DataFrame], DataFrame], second: tuple[int, int, int]) -> tuple[DataFrame, DataFrame]:
+                       components: Callable[[DataFrame], DataFrame], second: tuple[int, int, int, int],
+                       numbers_of: Callable = plain_numbers) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) and the (id, root) of all linked items.
 
     ``members`` has (id, key), one row per band. ``sets_for`` is asked once, for the
     ids (column ``id``) that share a bucket with another, and returns SET_SCHEMA rows.
-    ``second`` gives bands, height and seed of the second signature.
+    ``second`` gives bands, height and seed of the second signature, and the bands a bucket uses of it.
     """
-    shared = members.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last")
-    met = sized_join(members, stage(shared.select("key", "centre"), "link-buckets"), "key", "inner", 16)
-    met = stage(met.select("key", "id", "centre"), "link-members")
+    met = _centred(members)
     sets = stage(sets_for(stage(met.select("id").distinct(), "link-ids")), "link-sets")
-    first = met.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    links = stage(confirm(first, sets, share), "links")
+    first = met.filter("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+    links = stage(confirm(first, sets, share, numbers_of), "links")
     roots = stage(components(links), "link-roots")
 
-    labelled = sized_join(met, roots, "id", "left", 16).select("key", "id", "centre", F.coalesce("root", "id").alias("comp"))
-    open_ = stage(_across(labelled), "link-across")
+    for turn in range(ROUNDS):
+        open_ = stage(_open_members(met, roots), "link-across")
+        if open_.isEmpty():
+            break
+        pivots = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "comp")).alias("p"))
+        pivots = stage(pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.comp").alias("other")), "link-pivots")
+        pairs = sized_join(open_, pivots, "key", "inner", 24).filter("comp <> other").select(
+            F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+        more = stage(confirm(pairs, sets, share, numbers_of), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        roots = stage(components(links), "link-roots")
+    open_ = stage(_open_members(met, roots), "link-across")
     near = open_.filter(F.col("n") <= SPLIT_ABOVE).select("key", "id", "comp")
     large = open_.filter(F.col("n") > SPLIT_ABOVE).select("key", "id", "comp")
     parts = [near]
     if not large.isEmpty():
-        parts.append(_across(stage(_split(large, sets, second).distinct(), "link-split")).select("key", "id", "comp"))
+        split = stage(_split(large, sets, second, numbers_of).distinct(), "link-split")
+        parts.append(_across(split).select("key", "id", "comp"))
     pairs = None
     for part in parts:
         other = part.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
         made = part.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").filter(
             "a < b and comp_a <> comp_b").select("a", "b")
         pairs = made if pairs is None else pairs.union(made)
-    more = stage(confirm(stage(pairs.distinct(), "link-pairs"), sets, share), "links")
+    more = stage(confirm(stage(pairs.distinct(), "link-pairs"), sets, share, numbers_of), "links")
     if more.isEmpty():
         return links, roots
     links = links.union(more)

@@ -33,6 +33,7 @@ SIZE = 5  # words of a shingle
 SHARE = (75, 100)  # least Jaccard similarity
 BANDS, HEIGHT = 40, 5  # a pair at the threshold is missed with probability 2e-5
 SEED, SECOND_SEED = 11, 12
+SECOND_BANDS, SECOND_PICKS = 80, 8
 
 
 def shingle_sets(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +81,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in text_slices(batch, "text"):
             numbers, offsets = shingle_sets(words_of(part.column("text"), lower=True))
-            yield set_rows(part.column("id").to_pylist(), numbers, offsets, minima(numbers, offsets, BANDS * HEIGHT, SEED))
+            items = [numbers[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+            yield set_rows(part.column("id").to_pylist(), np.diff(offsets).tolist(), minima(numbers, offsets, BANDS * HEIGHT, SEED), items)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -96,7 +98,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         # a text of each wanted set: ids name documents, and only wanted ids are read again
         return sized_join(rows, ids, "id", "left_semi", 16).mapInArrow(_sets, SET_SCHEMA).dropDuplicates(["id", "items"])
 
-    links, roots = similar_components(members, sets_for, SHARE, star_components, (BANDS, HEIGHT, SECOND_SEED))
+    links, roots = similar_components(members, sets_for, SHARE, star_components, (SECOND_BANDS, HEIGHT, SECOND_SEED, SECOND_PICKS))
     labelled = sized_join(classes.select("digest", "least"), roots.withColumnRenamed("id", "least"), "least", "left", 16)
     labelled = labelled.select("digest", F.coalesce("root", "least").alias("component_id"))
     found = sized_join(signed.select("id", "n_shingles", "digest"), stage(labelled, "near-labels"), "digest", "left", 48)
