@@ -26,10 +26,11 @@ replaced.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,10 @@ BLANK = "▁"
 _LITERAL = "\ud800"
 SCALE = 1_000_000  # scores are whole numbers of millionths, so that equal sums are equal
 TOGETHER = 32  # stretches up to this length are searched as arrays, longer ones as a stream
-REMEMBERED = 600_000  # stretches a worker remembers
-SLICE = 4 << 20
-OUTPUTS = ["ids", "n_ids"]
+AT_ONCE = 8_192  # stretches searched at a time
+REMEMBERED = 250_000  # stretches a worker remembers
+SLICE = 2 << 20
+OUTPUTS = ["ids", "n_ids", "round_trip"]
 
 _UP, _DOWN = powers(TOGETHER + 1)
 _SPREAD, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(44)
@@ -241,7 +243,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places: defaultdict[str, int] = defaultdict(count().__next__)  # a new stretch gets the next number
         self.flat = np.empty(0, np.int32)
         self.starts = np.empty(0, np.int64)
         self.counts = np.empty(0, np.int64)
@@ -250,12 +252,11 @@ class Encoder:
         found: list[list[int]] = [[]] * len(stretches)
         stretches = [shown(s) for s in stretches]
         short = [i for i, s in enumerate(stretches) if len(s) <= TOGETHER]
-        for at in range(0, len(short), 4_096):
-            some = sorted(short[at:at + 4_096], key=lambda i: len(stretches[i]))
-            for part in range(0, len(some), 1_024):
-                mine = some[part:part + 1_024]
-                for i, ids in zip(mine, _together([stretches[i] for i in mine], self.vocabulary)):
-                    found[i] = ids
+        short.sort(key=lambda i: len(stretches[i]))
+        for at in range(0, len(short), AT_ONCE):
+            mine = short[at:at + AT_ONCE]
+            for i, ids in zip(mine, _together([stretches[i] for i in mine], self.vocabulary)):
+                found[i] = ids
         for i, s in enumerate(stretches):
             if len(s) > TOGETHER:
                 found[i] = [x for part in stream_encode(iter(s), self.vocabulary) for x in part]
@@ -269,15 +270,14 @@ class Encoder:
         if len(self.places) > REMEMBERED:
             self.forget()
         prefix = " " if self.vocabulary.prefix else ""
-        places, known = self.places, len(self.places)
+        places, known, find = self.places, len(self.places), self.vocabulary.stretch.findall
         order, ends = [], []
         for text in texts:
             if text:
-                order += [places.setdefault(s, len(places)) for s in self.vocabulary.stretch.findall(prefix + text)]
+                order += [places[s] for s in find(prefix + text)]
             ends.append(len(order))
         if len(places) > known:
-            new = list(places)[known:]
-            self._learn(new)
+            self._learn(list(islice(places, known, None)))
         at = np.array(order, dtype=np.int64)
         counts = self.counts[at]
         borders = np.r_[0, np.cumsum(counts)]
@@ -295,11 +295,13 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
     return text[1:] if vocabulary.prefix and ids else text
 
 
-def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL) -> DataFrame:
-    """``docs`` with ``ids`` and ``n_ids``."""
+def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` and ``n_ids``; with ``check`` also ``round_trip``, whether the ids decode to the text."""
     vocabulary = load_vocabulary(model)
     kept = docs.drop(*OUTPUTS, "__text")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
+    if check:
+        schema = schema.add("round_trip", T.BooleanType())
     carried, names = kept.columns, schema.names
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,10 +310,14 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL)
             missing = batch.column("__text").is_null()
             batch = batch.append_column("__missing", missing)
             for part in text_slices(batch, "__text", SLICE):
-                ids, borders = encoder.encode(part.column("__text").to_pylist())
+                texts = part.column("__text").to_pylist()
+                ids, borders = encoder.encode(texts)
+                more = []
+                if check:
+                    more = [pa.array([decode_ids(ids[a:b].tolist(), vocabulary) == t for t, a, b in zip(texts, borders, borders[1:])], pa.bool_())]
                 lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids, pa.int32()), mask=part.column("__missing"))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in carried], lists, pa.array(np.diff(borders), pa.int64())], names=names)
+                    [*[part.column(c) for c in carried], lists, pa.array(np.diff(borders), pa.int64()), *more], names=names)
 
     return kept.withColumn("__text", F.col(text_col)).mapInArrow(encode, schema)
 

@@ -62,7 +62,21 @@ def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
-@query("op2_near_dedup")
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op2_near_dedup", rf"""with recursive
+w as (select doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') as ws from documents),
+g as (select distinct doc_id, md5(array_to_string(ws[i:i + 4], ' ')) as s
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) as i from w where len(ws) > 0)),
+n as (select doc_id, count(*) as n from g group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as k from g a join g b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 75 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r(doc_id, reached) as (select doc_id, doc_id from documents union select r.doc_id, e.b from r join e on e.a = r.reached)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d left join n on n.doc_id = d.doc_id
+join (select doc_id, min(reached) as component_id from r group by doc_id) c on c.doc_id = d.doc_id""")
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_dup_table(table(spark, folder, "documents"))
 
@@ -73,7 +87,17 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op9_passage_dedup")
+@query("op9_passage_dedup", r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+v as (select doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) as h
+  from (select doc_id, ws, unnest(range(1, len(ws) - 48)) as i from w where len(ws) >= 50)),
+f as (select h, min(doc_id) as first from v group by h),
+c as (select distinct doc_id, unnest(range(i, i + 50)) as at from v join f on v.h = f.h where first < doc_id),
+x as (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as at from w where len(ws) > 0),
+k as (select x.doc_id, string_agg(word, ' ' order by x.at) as kept, count(*) as n
+  from x left join c on c.doc_id = x.doc_id and c.at = x.at where c.at is null group by x.doc_id)
+select w.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(k.n, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256 from w left join k on k.doc_id = w.doc_id""")
 def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = passages.remove_passages(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -81,9 +105,8 @@ def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = pieces.encode_texts(table(spark, folder, "documents").select("doc_id", "text"))
-    back = pieces.decode_texts(encoded)
-    return back.select("doc_id", "n_ids", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    encoded = pieces.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), check=True)
+    return encoded.select("doc_id", "n_ids", "ids", "round_trip")
 
 
 @query("op10_quality_classifier")
