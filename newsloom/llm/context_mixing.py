@@ -1,8 +1,8 @@
 """Log-probabilities of texts by logistic context mixing of hashed bit predictors.
 
 A text is a sequence of units: a word with the white space behind it, and an end
-mark. A unit's bytes are spelled in the bits of a prefix code made from the
-training counts. Every bit is predicted by several contexts (the bytes before
+mark. A unit's bytes are spelled in the bits of prefix codes, one behind each
+byte, made from the training counts. Every bit is predicted by several contexts (the bytes before
 it, one to four of them, and all of the unit so far with the end of the unit
 before), each by its own table of counts, found by hash. A mixer adds the
 predictions in the logistic domain; which of its weight sets serves is gated by
@@ -44,13 +44,13 @@ from newsloom.session import stage
 
 from .common import sized_join, text_slices
 from .tally import Tally
-from .wordhash import mix, prefix_sums, run_numbers, text_bytes, words_of
+from .wordhash import mix, powers, prefix_sums, run_numbers, text_bytes, words_of
 
 END = 0xFF  # a byte that no text has: before and behind every text
 TAIL = 2  # bytes of the unit before that a context may see
 LONGEST = 64  # bytes after which a unit is cut
 HEAD = 1 + TAIL  # bytes written before a unit: its class, and the end of the unit before
-ORDERS = (1, 2, 3, 4, 0)  # bytes that the contexts see; 0 is the unit so far
+ORDERS = (1, 2, 3, 4, 0)  # bytes that the contexts see, one more each; 0 is the unit so far
 CLASSES = 256
 BITS = 20  # of a table's slots
 BLOCK = 10  # bits of the slots that travel together
@@ -59,6 +59,7 @@ SLICE = 2 << 20
 EVEN = 0.4  # added to both counts of a slot
 LEVELS = 6  # of how often a context was seen
 STEPS, REACH = 33, 8.0  # of the adaptive map, over logits from -REACH to REACH
+GRID, TOP = 128, 20  # final logits are multiples of 1 / GRID, up to TOP
 CHUNK = 2_000  # units between two updates
 FREQUENT_WORDS = 400_000  # words whose counts travel to all tasks, at most
 K = len(ORDERS)
@@ -144,26 +145,27 @@ def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Code:
-    """A prefix code of bytes: per byte its length and where its (node, bit) pairs begin."""
+    """A prefix code of bytes behind every byte: for a pair its length and where its steps begin; of each step the
+    node's part of a slot, and the bit."""
 
     lengths: np.ndarray
     begins: np.ndarray
-    nodes: np.ndarray
+    places: np.ndarray
     bits: np.ndarray
 
 
-def make_code(counts: np.ndarray) -> Code:
-    """Huffman's code for 256 byte counts; inner nodes are numbered."""
-    heap = [(int(c) + 1, b, b) for b, c in enumerate(counts)]
+def _paths(counts: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Huffman's code for 256 counts: (inner node, bit) from the root to each byte."""
+    heap = [(int(c), b) for b, c in enumerate(counts)]
     heapq.heapify(heap)
     children: dict[int, tuple[int, int]] = {}
     name = 256
     while len(heap) > 1:
-        (x, _, a), (y, _, b) = heapq.heappop(heap), heapq.heappop(heap)
+        (x, a), (y, b) = heapq.heappop(heap), heapq.heappop(heap)
         children[name] = (a, b)
-        heapq.heappush(heap, (x + y, name, name))
+        heapq.heappush(heap, (x + y, name))
         name += 1
-    paths: dict[int, list[tuple[int, int]]] = {}
+    paths: list[list[tuple[int, int]]] = [[]] * 256
     stack: list[tuple[int, list[tuple[int, int]]]] = [(name - 1, [])]
     while stack:
         node, path = stack.pop()
@@ -172,9 +174,26 @@ def make_code(counts: np.ndarray) -> Code:
             continue
         for bit, child in enumerate(children[node]):
             stack.append((child, [*path, (node - 256, bit)]))
-    lengths = np.array([len(paths[b]) for b in range(256)])
-    flat = [step for b in range(256) for step in paths[b]]
-    return Code(lengths, np.cumsum(lengths) - lengths, np.array([n for n, _ in flat], dtype=np.uint64), np.array([b for _, b in flat], dtype=np.int8))
+    return paths
+
+
+def make_code(counts: np.ndarray) -> Code:
+    """One code for each row of a 256 x 256 table: counts of bytes behind a byte. Rows without counts share one."""
+    whole = counts.sum(axis=0)
+    plain = _paths(whole * 16 + 1)
+    paths, nodes, bits = [], [], []
+    for before in range(256):
+        own = _paths(counts[before] * 256 + whole / max(whole.sum(), 1) * 16 + 1) if counts[before].any() else plain
+        paths += [len(p) for p in own]
+        nodes += [before * 256 + n for p in own for n, _ in p]
+        bits += [b for p in own for _, b in p]
+    lengths = np.array(paths)
+    places = mix(np.array(nodes, dtype=np.uint64) + np.uint64(1)) >> np.uint64(64 - BITS)
+    return Code(lengths, np.cumsum(lengths) - lengths, places.astype(np.int32), np.array(bits, dtype=np.int8))
+
+
+_LOWERED = np.arange(256, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)  # of A-Z as of a-z
+_LOWERED[65:91] += np.uint64(32)
 
 
 @dataclass
@@ -194,33 +213,46 @@ def bits_of(units: pa.Array, code: Code) -> Bits:
     own = np.diff(borders) - HEAD
     at = np.repeat(borders[:-1] + HEAD - (np.cumsum(own) - own), own) + np.arange(own.sum())
     begin = np.repeat(borders[:-1] + 1, own)
-    symbols = data[at]
+    symbols = data[at - 1].astype(np.int64) * 256 + data[at]
     group = np.repeat(mix(data[borders[:-1]].astype(np.uint64) + np.uint64(1)), own)
-    sums = prefix_sums(mix(data.astype(np.uint64) + np.uint64(0x7654321)))
-    lower = prefix_sums(mix(np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint64) + np.uint64(0x7654321)))
+    lower = prefix_sums(_LOWERED[data])
     lengths = code.lengths[symbols]
     ends = np.cumsum(lengths)
     step = np.repeat(code.begins[symbols] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-    place = mix(code.nodes[step] + np.uint64(1))
-    shift = np.uint64(64 - BITS)
+    place = code.places[step]
+    shift, spread = np.uint64(64 - BITS), np.uint64(0x9E3779B97F4A7C15)
+    seen = np.zeros(len(at), dtype=np.uint64)
     slots = []
     for k, order in enumerate(ORDERS):
-        seen = run_numbers(sums, np.maximum(begin, at - order), at) if order else run_numbers(lower, begin + TAIL, at)
-        context = (seen ^ group) * np.uint64(2 * k + 3)
-        slots.append(((np.repeat(context, lengths) ^ place) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64))
+        if order:  # one byte more, where there is one
+            byte = data[np.maximum(at - order, 0)].astype(np.uint64) + np.uint64(1)
+            if order > TAIL:
+                byte *= at - order >= begin
+            seen |= byte << np.uint64(9 * (order - 1))
+            context = seen
+        else:
+            context = (lower[at] - lower[begin + TAIL]) * powers(len(lower))[1][begin + TAIL]
+        context = ((context ^ group) * np.uint64(2 * k + 3) * spread >> shift).view(np.int64)
+        slots.append(np.repeat(context, lengths) ^ place)
     return Bits(code.bits[step], slots, np.repeat(data[at - 1], lengths), np.r_[0, ends][np.r_[0, np.cumsum(own)]])
 
 
 # --- training -------------------------------------------------------------------------------
 
-def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = np.zeros(256)
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each byte stands behind each other one."""
+    sums = np.zeros(1 << 16)
     for batch in batches:
-        units = batch.column("unit")
-        borders = np.frombuffer(units.buffers()[1], dtype=np.int32)[units.offset:units.offset + len(units) + 1]
-        data = np.frombuffer(units.buffers()[2], dtype=np.uint8)[borders[0]:borders[-1]]
-        sums += np.bincount(data, np.repeat(batch.column("n").to_numpy().astype(float), np.diff(borders)), 256)  # with what is written before units
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(sums.astype(np.int64))], names=["byte", "n"])
+        for k in range(0, batch.num_rows, 5 * CHUNK):
+            part = batch.slice(k, 5 * CHUNK)
+            units = part.column("unit")
+            borders = np.frombuffer(units.buffers()[1], dtype=np.int32)[units.offset:units.offset + len(units) + 1].astype(np.int64)
+            data = np.frombuffer(units.buffers()[2], dtype=np.uint8)[borders[0]:borders[-1]].astype(np.int64)
+            own = np.diff(borders) - HEAD
+            at = np.repeat(borders[:-1] - borders[0] + HEAD - (np.cumsum(own) - own), own) + np.arange(own.sum())
+            sums += np.bincount(data[at - 1] * 256 + data[at], np.repeat(part.column("n").to_numpy().astype(float), own), 1 << 16)
+    some = np.flatnonzero(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some].astype(np.int64))], names=["pair", "n"])
 
 
 def _count_bits(code: Code):
@@ -297,20 +329,25 @@ class Model:
         if not hasattr(self, "logits"):
             zero, one = self.counts[:, 0].astype(np.float32), self.counts[:, 1].astype(np.float32)
             self.logits = np.log((one + np.float32(EVEN)) / (zero + np.float32(EVEN)))
-            self.seen = [_levels(zero[k] + one[k]).astype(np.int8) for k in (K - 2, K - 1)]
+            self.seen = [(_levels(zero[k] + one[k]) * scale).astype(np.int8) for k, scale in ((K - 2, LEVELS), (K - 1, 1))]
+            self.sets = [np.ascontiguousarray(self.weights[:, k]) for k in range(K)]
+            self.bit_costs = np.logaddexp(0.0, np.arange(-GRID * TOP, GRID * TOP + 1) / GRID) / np.log(2.0)
 
     def costs(self, units: pa.Array) -> np.ndarray:
         """Bits that each unit takes."""
         self.prepare()
         bits = bits_of(units, self.code)
-        gate = self.seen[0][bits.slots[K - 2]].astype(np.int64) * LEVELS + self.seen[1][bits.slots[K - 1]]
-        logit = np.zeros(len(gate))
-        for k in range(K):
-            logit += self.weights[gate, k] * self.logits[k][bits.slots[k]]
+        gate = (self.seen[0].take(bits.slots[K - 2]) + self.seen[1].take(bits.slots[K - 1])).astype(np.int64)
+        logit = self.sets[0].take(gate) * self.logits[0].take(bits.slots[0])
+        for k in range(1, K):
+            logit += self.sets[k].take(gate) * self.logits[k].take(bits.slots[k])
         cell, share = _map_place(bits.last, logit)
-        refined = self.refined[cell] * (1 - share) + self.refined[cell + 1] * share
-        final = np.where(bits.values == 1, -1.0, 1.0) * (logit + refined) / 2
-        return np.add.reduceat(np.logaddexp(0.0, final), bits.borders[:-1]) / np.log(2.0)
+        low = self.refined.take(cell)
+        final = (logit + low + (self.refined.take(cell + 1) - low) * share) * 0.5
+        # final logits lie on a grid, on which the costs of both bits are exact
+        at = np.rint(np.clip(final, -TOP, TOP) * GRID).astype(np.int64)
+        at *= 1 - 2 * bits.values.astype(np.int64)
+        return np.add.reduceat(self.bit_costs.take(at + GRID * TOP), bits.borders[:-1])
 
 
 def _learn(code: Code, counts: np.ndarray):
@@ -321,6 +358,7 @@ def _learn(code: Code, counts: np.ndarray):
         weights = np.full((gates, K), 0.3)
         bend, evidence = np.full((gates, K), 1.0), np.zeros(gates)
         map_n = np.zeros((2, 256 * STEPS))
+        logs, levels = np.log(np.arange(1 << 16) + EVEN), _levels(np.arange(1 << 17))
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
@@ -328,17 +366,22 @@ def _learn(code: Code, counts: np.ndarray):
                 n = np.repeat(part.column("n").to_numpy().astype(float), np.diff(bits.borders))
                 one = bits.values == 1
                 inputs, seen = np.empty((K, len(n))), []
+                ones, zeros = one.astype(np.uint16), (~one).astype(np.uint16)
+                for k in range(K):
+                    c0, c1 = counts[k, 0].take(bits.slots[k]), counts[k, 1].take(bits.slots[k])
+                    c0, c1 = c0 - np.minimum(zeros, c0), c1 - np.minimum(ones, c1)  # without this occurrence
+                    inputs[k] = logs.take(c1) - logs.take(c0)
+                    if k >= K - 2:
+                        seen.append(c0.astype(np.int64) + c1)
+                gate = levels.take(seen[0]) * LEVELS + levels.take(seen[1])
+                logit = np.zeros(len(n))
                 for k in range(K):
-                    c0, c1 = counts[k, 0][bits.slots[k]].astype(float), counts[k, 1][bits.slots[k]].astype(float)
-                    c0, c1 = np.maximum(c0 - ~one, 0.0), np.maximum(c1 - one, 0.0)  # without this occurrence
-                    inputs[k] = np.log((c1 + EVEN) / (c0 + EVEN))
-                    seen.append(c0 + c1)
-                gate = _levels(seen[K - 2]) * LEVELS + _levels(seen[K - 1])
-                logit = (weights[gate].T * inputs).sum(axis=0)
+                    logit += weights[:, k].take(gate) * inputs[k]
                 p = _squash(logit)
                 error = n * (one - p)
+                slope = n * p * (1 - p)
                 for k in range(K):
-                    bend[:, k] = 0.95 * bend[:, k] + np.bincount(gate, n * p * (1 - p) * inputs[k] ** 2, gates)
+                    bend[:, k] = 0.95 * bend[:, k] + np.bincount(gate, slope * inputs[k] * inputs[k], gates)
                     weights[:, k] += np.bincount(gate, error * inputs[k], gates) / (bend[:, k] + 1.0) / K * 0.5
                 evidence += np.bincount(gate, n, gates)
                 cell, share = _map_place(bits.last, logit)
@@ -359,10 +402,10 @@ def train(tallies: DataFrame) -> Model:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     summed = tallies.filter("kind = 0").groupBy("num").agg(F.any_value("unit").alias("unit"), F.sum("n").alias("n"))
     units = stage(summed.repartition(tasks, "num").sortWithinPartitions("num"), "mix-units").select("unit", "n")
-    byte = np.zeros(256)
-    for r in units.mapInArrow(_byte_counts, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
-        byte[r["byte"]] = r["n"]
-    code = make_code(byte)
+    pairs = np.zeros(1 << 16)
+    for r in units.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        pairs[r["pair"]] = r["n"]
+    code = make_code(pairs.reshape(256, 256))
     # a task's tables are as large as the model: few tasks count, and their tables are summed block by block
     counters = min(tasks, 2 * spark.sparkContext.defaultParallelism)
     blocks = units.coalesce(counters).mapInArrow(_count_bits(code), "block long, counts binary")
@@ -421,7 +464,7 @@ def _score(model: Model, class_bits: np.ndarray, frequent: np.ndarray, logs: np.
                 owner = np.repeat(np.arange(part.num_rows), np.diff(words.offsets))
                 place = np.minimum(np.searchsorted(frequent, words.numbers), max(len(frequent) - 1, 0))
                 hit = frequent[place] == words.numbers if len(frequent) else np.zeros(len(owner), bool)
-                base = np.bincount(owner[hit], logs[place[hit]], part.num_rows) if len(frequent) else np.zeros(part.num_rows)
+                base = np.bincount(owner[hit], logs[place[hit]], part.num_rows).astype(float) if len(frequent) else np.zeros(part.num_rows)
                 held = np.bincount(owner[hit], minlength=part.num_rows)
                 ids = row + np.arange(part.num_rows)
                 yield pa.RecordBatch.from_arrays(
@@ -459,10 +502,10 @@ def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
         if total > most:
             break
         least = j
-    rows = words.filter(level >= least).toPandas()
-    numbers = rows["num"].to_numpy(np.int64).view(np.uint64)
+    rows = words.filter(level >= least).select("num", "n").toArrow()
+    numbers = rows.column("num").to_numpy().view(np.uint64)
     order = np.argsort(numbers)
-    return numbers[order], rows["n"].to_numpy(np.int64)[order]
+    return numbers[order], rows.column("n").to_numpy()[order]
 
 
 def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", folds: int = 7, fold: int = 2) -> DataFrame:
