@@ -7,9 +7,10 @@ its links already tie the group together. Then a few rounds follow in which
 buckets that still hold several components are checked against another of their
 items. At last all pairs across the components of such buckets are checked, so
 no link between different groups is lost and a group of copies costs a few
-checks per item. A bucket of several dissimilar items, as many as share a common
-passage, is first split by bands of a second signature, so that its pairs do not
-grow with the square of its size.
+checks per item. The items of large buckets, as many as share a common passage,
+meet by the rare numbers of their sets instead (prefix and positional filter):
+that proposes every pair that meets the share, and few others, so that pairs do
+not grow with the square of a bucket's size.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.session import stage
@@ -27,7 +28,7 @@ from .common import sized_join
 from .wordhash import mix
 
 ROUNDS = 2  # in which open buckets are checked against one more of their items
-SPLIT_ABOVE = 4  # items of a bucket from which the second signature splits it
+PAIRS_UP_TO = 4  # items of an open bucket whose pairs are all made; those of larger ones meet by rare numbers of their sets
 PAIRS_AT_ONCE = 1_024
 SKETCH_ERRORS = 5.5  # standard errors below the threshold from which a sketch is no pair
 
@@ -135,31 +136,51 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_o
     return met.select("a", "b", "sketch_a", "sketch_b", "items_a", "items_b").mapInArrow(check, "a long, b long")
 
 
-def _split(rest: DataFrame, sets: DataFrame, second: tuple[int, int, int, int], numbers_of: Callable) -> DataFrame:
-    """Members (key, id, comp) of large buckets under the keys of a second signature inside their bucket.
+def _tokens(members: DataFrame, sets: DataFrame, numbers_of: Callable) -> DataFrame:
+    """Numbers (set, id, comp, size, token) of the members' sets; an id can have several sets."""
+    joined = members.join(sets.select("id", "items", F.xxhash64("id", "items").alias("set")).hint("merge"), "id")
 
-    Every bucket uses ``picks`` of the signature's bands, others than most
-    buckets do: similar items share several buckets and meet again in one.
-    """
-    bands, height, seed, picks = second
-    joined = rest.join(sets.select("id", "items").hint("merge"), "id")
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 sets_ = numbers_of([x.as_buffer().to_pybytes() for x in part.column("items")])
-                offsets = np.cumsum([0, *map(len, sets_)])
-                keys = band_keys(minima(np.concatenate(sets_), offsets, bands * height, seed), height, salt=1)
-                bucket = part.column("key").to_numpy().view(np.uint64)[:, None]
-                chosen = ((mix(bucket) % np.uint64(bands)).astype(np.int64) + np.arange(picks) * (bands // picks)) % bands
-                keys = mix(np.take_along_axis(keys, chosen, axis=1) ^ bucket)
-                at_ = pa.array(np.repeat(np.arange(part.num_rows), picks))
+                sizes = np.array([len(x) for x in sets_], dtype=np.int32)
+                at_ = pa.array(np.repeat(np.arange(part.num_rows), sizes))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1).view(np.int64)), part.column("id").take(at_), part.column("comp").take(at_)],
-                    names=["key", "id", "comp"])
+                    [*[part.column(c).take(at_) for c in ("set", "id", "comp")], pa.array(np.repeat(sizes, sizes)),
+                     pa.array(np.concatenate(sets_).view(np.int64))], names=["set", "id", "comp", "size", "token"])
+
+    return joined.select("set", "id", "comp", "items").mapInArrow(spread, "set long, id long, comp long, size int, token long")
 
-    return joined.mapInArrow(again, "key long, id long, comp long")
+
+def _close_pairs(members: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_of: Callable) -> DataFrame:
+    """Pairs (a, b) of different components, among them all that meet the share, for members (id, comp).
+
+    Numbers that only one component has come first in every set, the others from
+    rare to frequent. Of two sets that meet the share, the first common number has
+    enough numbers at and behind it in both; pairs are made where that holds.
+    """
+    part, whole = share
+    tokens = stage(_tokens(members, sets, numbers_of), "link-tokens")
+    known = tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"))
+    known = stage(known.filter("x < y").select("token", "n"), "link-known")
+    own = Window.partitionBy("set")
+    ranked = sized_join(tokens, known, "token", "inner", 16).select(
+        "id", "comp", "size", "token", F.count(F.lit(1)).over(own).alias("shared"), F.row_number().over(own.orderBy("n", "token")).alias("rank"))
+    # how many of the set's numbers are at this place or behind it
+    ranked = ranked.withColumn("left", F.col("shared") - F.col("rank") + 1)
+    ranked = stage(ranked.filter(F.col("left") * whole >= F.col("size") * part).select("id", "comp", "size", "token", "left"), "link-prefixes")
+    # of two components one is not the number's largest: only its rows are met with all others
+    held = ranked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))
+    held = stage(held.filter("comps > 1").select("token", F.col("top.comp").alias("largest")), "link-held")
+    placed = stage(sized_join(ranked, held, "token", "inner", 16), "link-placed")
+    left, right = (placed.select("token", "largest", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "comp", "size", "left")]) for s in ("a", "b"))
+    both = left.filter("comp_a <> largest").join(right.drop("largest").hint("merge"), "token").filter(
+        (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("largest")) | (F.col("id_a") < F.col("id_b")))
+        & (F.least("left_a", "left_b") * (part + whole) >= (F.col("size_a") + F.col("size_b")) * part))
+    return both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -187,13 +208,12 @@ def _open_members(met: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def similar_components(members: DataFrame, sets_for: Callable[[DataFrame], DataFrame], share: tuple[int, int],
-                       components: Callable[[DataFrame], DataFrame], second: tuple[int, int, int, int],
+                       components: Callable[[DataFrame], DataFrame],
                        numbers_of: Callable = plain_numbers) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) and the (id, root) of all linked items.
 
     ``members`` has (id, key), one row per band. ``sets_for`` is asked once, for the
     ids (column ``id``) that share a bucket with another, and returns SET_SCHEMA rows.
-    ``second`` gives bands, height and seed of the second signature, and the bands a bucket uses of it.
     """
     met = _centred(members)
     sets = stage(sets_for(stage(met.select("id").distinct(), "link-ids")), "link-sets")
@@ -215,18 +235,13 @@ def similar_components(members: DataFrame, sets_for: Callable[[DataFrame], DataF
         links = links.union(more)
         roots = stage(components(links), "link-roots")
     open_ = stage(_open_members(met, roots), "link-across")
-    near = open_.filter(F.col("n") <= SPLIT_ABOVE).select("key", "id", "comp")
-    large = open_.filter(F.col("n") > SPLIT_ABOVE).select("key", "id", "comp")
-    parts = [near]
+    near = open_.filter(F.col("n") <= PAIRS_UP_TO).select("key", "id", "comp")
+    large = stage(open_.filter(F.col("n") > PAIRS_UP_TO).select("id", "comp").distinct(), "link-large")
+    other = near.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
+    pairs = near.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").filter(
+        "a < b and comp_a <> comp_b").select("a", "b")
     if not large.isEmpty():
-        split = stage(_split(large, sets, second, numbers_of).distinct(), "link-split")
-        parts.append(_across(split).select("key", "id", "comp"))
-    pairs = None
-    for part in parts:
-        other = part.select("key", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-        made = part.select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")).join(other, "key").filter(
-            "a < b and comp_a <> comp_b").select("a", "b")
-        pairs = made if pairs is None else pairs.union(made)
+        pairs = pairs.union(_close_pairs(large, sets, share, numbers_of))
     more = stage(confirm(stage(pairs.distinct(), "link-pairs"), sets, share, numbers_of), "links")
     if more.isEmpty():
         return links, roots

@@ -32,8 +32,7 @@ from .wordhash import Words, mix, prefix_sums, run_numbers, words_of
 SIZE = 5  # words of a shingle
 SHARE = (75, 100)  # least Jaccard similarity
 BANDS, HEIGHT = 40, 5  # a pair at the threshold is missed with probability 2e-5
-SEED, SECOND_SEED = 11, 12
-SECOND_BANDS, SECOND_PICKS = 80, 8
+SEED = 11
 
 
 def shingle_sets(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +97,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         # a text of each wanted set: ids name documents, and only wanted ids are read again
         return sized_join(rows, ids, "id", "left_semi", 16).mapInArrow(_sets, SET_SCHEMA).dropDuplicates(["id", "items"])
 
-    links, roots = similar_components(members, sets_for, SHARE, star_components, (SECOND_BANDS, HEIGHT, SECOND_SEED, SECOND_PICKS))
+    links, roots = similar_components(members, sets_for, SHARE, star_components)
     labelled = sized_join(classes.select("digest", "least"), roots.withColumnRenamed("id", "least"), "least", "left", 16)
     labelled = labelled.select("digest", F.coalesce("root", "least").alias("component_id"))
     found = sized_join(signed.select("id", "n_shingles", "digest"), stage(labelled, "near-labels"), "digest", "left", 48)

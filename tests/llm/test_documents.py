@@ -4,13 +4,14 @@ import hashlib
 import zlib
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import rows_of_table
 from pyspark.sql import functions as F
 
 from newsloom.catalog.book import table
-from newsloom.llm import context_mixing, graphs, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, queries, secret_scan
+from newsloom.llm import context_mixing, graphs, kneser_ney, line_dedup, links, mixing, near_dedup, passages, pieces, queries, secret_scan
 
 
 def run(name, spark, folder):
@@ -45,6 +46,30 @@ def test_near_dedup_of_a_hot_group_and_a_common_passage(spark):
     assert got == {i: c for i, (_, c) in brute.near_duplicates(rows).items()}
 
 
+def test_large_buckets_lose_no_pair(spark):
+    """Sixty pairs barely above the threshold, all in one bucket and with a common passage."""
+    import random
+
+    draw = random.Random(7)
+    common = [draw.getrandbits(63) for _ in range(60)]
+    sets = {}
+    for i in range(60):
+        both = [draw.getrandbits(63) for _ in range(27)]
+        for k in (0, 1):
+            sets[2 * i + k] = frozenset(common + both + [draw.getrandbits(63) for _ in range(13)])
+    sets |= {1_000 + i: frozenset(common + [draw.getrandbits(63) for _ in range(40)]) for i in range(40)}
+    sets |= {2_000 + i: frozenset(common + [draw.getrandbits(63) for _ in range(15 + i % 5)]) for i in range(60)}
+    ids = sorted(sets)
+    numbers = [np.sort(np.array([*sets[i]], np.uint64)) for i in ids]
+    rows = links.minima(np.concatenate(numbers), np.cumsum([0, *map(len, numbers)]), 200, 1)
+    made = pa.Table.from_batches([links.set_rows(ids, [len(x) for x in numbers], rows, [x.tobytes() for x in numbers])])
+    members = spark.createDataFrame([(i, 1) for i in ids], "id long, key long")
+    _, roots = links.similar_components(
+        members, lambda wanted: spark.createDataFrame(made).join(wanted, "id", "left_semi"), (75, 100), graphs.star_components)
+    found, got = brute.linked(sets, (75, 100)), {r["id"]: r["root"] for r in roots.collect()}
+    assert {i: got.get(i, i) for i in ids} == {i: found.root(i) for i in ids}
+
+
 def test_near_dedup_odd(odd, none):
     rows = near_dedup.near_dup_table(odd).collect()
     got = {}
