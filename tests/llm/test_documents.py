@@ -279,6 +279,20 @@ def test_pieces_odd(spark, odd, none):
 # --- quality ----------------------------------------------------------------------------
 
 
+def test_quality_keeps_a_rare_language(spark):
+    """One language is 1 % of the rows; its clean documents are no stranger among themselves than others."""
+    import random
+
+    draw = random.Random(9)
+    words = {lang: ["".join(draw.choice(letters) for _ in range(draw.randrange(2, 8))) for _ in range(200)]
+             for lang, letters in (("en", "abcdefghij"), ("xx", "αβγδεζηθικ"))}
+    rows = [(i, " ".join(draw.choice(words["xx" if i % 100 == 0 else "en"]) for _ in range(30)), "xx" if i % 100 == 0 else "en") for i in range(3_000)]
+    judged = kneser_ney.judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+                                      spark.createDataFrame([(i, 1) for i, _, _ in rows], "doc_id long, quality int"))
+    gone = {r["lang"]: r["n"] for r in judged.filter("not kept").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert gone.get("xx", 0) == 0 and 0 < gone.get("en", 0) <= 30
+
+
 def test_kneser_ney_sums_to_one(spark):
     rows = docs(spark, [(1, "abcab"), (2, "abba"), (3, "cab")])
     model = kneser_ney.fit(rows)
