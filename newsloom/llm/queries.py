@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog.book import Book, table
 
-from . import context_mixing, hilbert_search, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, secret_scan, topk
+from . import (
+    context_mixing, hilbert_search, kneser_ney, line_dedup, mixing, near_dedup, passages, pieces, prefix_trie, secret_scan, spelling, topk,
+    toxicity,
+)
 
 BOOK = Book()
 query = BOOK.query
@@ -115,6 +118,63 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "lang", "n_grams", "perplexity", "threshold", "kept")
 
 
+def _crc32(text: str, of: str = "crc_table.t") -> str:
+    """SQL for the unsigned crc32 of a text's UTF-8 bytes, with ``of`` as the table of remainders."""
+    code = f"list_transform(range(cast(len(hex({text})) / 2 as bigint)), lambda i: cast(concat('0x', substr(hex({text}), 2 * i + 1, 2)) as bigint))"
+    return f"xor(list_reduce(list_prepend(4294967295, {code}), lambda a, b: xor(a >> 8, {of}[1 + (xor(a, b) & 255)])), 4294967295)"
+
+
+_CRC_TABLE = """crc_table as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as t)"""
+
+
+@query("op11_prefix_trie", f"""
+with {_CRC_TABLE},
+o as (select conv_id as c, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} order by turn nulls first) as s
+  from conversations where conv_id is not null group by conv_id),
+h as (select c, s, {_crc32("cast(c as varchar)")} % 6 as h from o, crc_table),
+n as (select a.c, case when a.c % 100 = 0 then a.s else coalesce(b.s[1:a.h], []) || a.s[a.h + 1:] end as s
+  from h a left join o b on b.c = a.c - a.c % 100),
+p as (select c, s, unnest(range(0, len(s) + 1)) as d from n),
+m as (select s[1:d] as p, d, min(c) as conv_id, count(*) as n_convs, string_agg(cast(c as varchar), ',' order by c) filter (len(s) = d) as e
+  from p group by 1, 2),
+k as (select p[1:d - 1] as p, count(*) as n from m where d > 0 group by 1),
+w as (select m.*, coalesce(k.n, 0) as n_children, case when d = 0 then 0 else (n_convs - 1) * len(m.p[d].x) end as w
+  from m left join k on k.p = m.p),
+u as (select p[1:i] as p, sum(w) as saved, count(*) filter (n_children = 0) as leaves from (select *, unnest(range(0, d + 1)) as i from w) group by 1)
+select w.conv_id, w.d as depth, up.conv_id as parent_conv_id, w.n_convs, w.n_children, u.leaves as n_leaves,
+  cast(u.saved as bigint) as saved_tokens, sha256(coalesce(w.e, '')) as ends_sha256
+from w join u on u.p = w.p left join m up on up.d = w.d - 1 and up.p = w.p[1:w.d - 1]""")
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.shared_head_trie(table(spark, folder, "conversations"))
+
+
+@query("op12_spelling_variants", f"""
+with recursive {_CRC_TABLE},
+r as (select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '{spelling.RUN}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') as w from documents),
+d as (select doc_id, w, count(*) as n from r where length(w) >= 5 group by 1, 2),
+h as (select w, n, {_crc32("concat(doc_id, ':', w)")} as h from d, crc_table),
+c as (select case when h % 97 = 0 then concat(left(w, h % length(w)), substr(w, h % length(w) + 2)) else w end as w, n from h),
+v as (select w, cast(sum(n) as bigint) as n from c where length(w) >= 5 group by w having sum(n) >= 3),
+x as (select w, n, unnest(range(1, length(w) + 1)) as i from v),
+y as (select distinct w, i, concat(left(w, i - 1), substr(w, i + 1)) as cut from x),
+e as (select a.w as a, b.w as b from y a join y b on a.i = b.i and a.cut = b.cut and length(a.w) = length(b.w) and a.w <> b.w
+  union select y.w, v.w from y join v on v.w = y.cut union select v.w, y.w from y join v on v.w = y.cut),
+f as (select e.a as w, count(*) as n_near, arg_min(b, (-n, b)) as f, max(n) as fn from e join v on v.w = e.b group by e.a),
+g as (select v.w, v.n, coalesce(n_near, 0) as n_near, case when fn >= 2 * v.n then f end as f, case when fn >= 2 * v.n then fn end as fn
+  from v left join f on f.w = v.w),
+t(w, root, f) as (select w, w, f from g union all select t.w, t.f, g.f from t join g on g.w = t.f)
+select g.w as word, g.f as form, t.root, g.n, g.n_near, g.fn as form_n from g join t on t.w = g.w where t.f is null""")
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, folder, "documents")))
+
+
+@query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
