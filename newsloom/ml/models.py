@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.param.shared import (
     HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, Param, Params, TypeConverters,
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.ml import features, select
+from newsloom.ml.boosting import BoostedTrees
 from newsloom.operators.ordering import lookup_join, running_index
 
 
@@ -66,11 +67,10 @@ class LinearSvm(_ByC):
 
 def boosted_trees(featuresCol: str = "features", labelCol: str = "label", n_estimators: int = 300,
                   learning_rate: float = 0.05, max_depth: int = 6, subsample: float = 0.8,
-                  colsample_bytree: float = 0.8, seed: int = 42) -> OneVsRest:
-    """Gradient-boosted trees, one classifier per class."""
-    return OneVsRest(featuresCol=featuresCol, labelCol=labelCol, parallelism=CLASSES_AT_ONCE, classifier=GBTClassifier(
-        featuresCol=featuresCol, labelCol=labelCol, maxIter=n_estimators, stepSize=learning_rate,
-        maxDepth=max_depth, subsamplingRate=subsample, featureSubsetStrategy=str(colsample_bytree), seed=seed))
+                  colsample_bytree: float = 0.8, seed: int = 42, **more) -> BoostedTrees:
+    """Boosted trees over all classes together, by the names their users know."""
+    return BoostedTrees(featuresCol=featuresCol, labelCol=labelCol, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth,
+                        subsamplingRate=subsample, colsample=colsample_bytree, seed=seed, **more)
 
 
 # --- pipelines from configuration ---------------------------------------------------------
