@@ -262,6 +262,28 @@ def select_mutual_info(spark, folder):
     return spark.createDataFrame([(i,) for i in chosen], "feature int")
 
 
+def _psi(n: str) -> str:
+    """SQL for the digamma function."""
+    x = f"(({n}) + 6.0)"
+    return (f"(ln{x} - 1 / (2 * {x}) - 1 / (12 * {x} ** 2) + 1 / (120 * {x} ** 4) - 1 / (252 * {x} ** 6) - "
+            + " - ".join(f"1 / (({n}) + {i}.0)" for i in range(6)) + ")")
+
+
+@BOOK.query("mutual_info_nearest", f"""
+  with x as (select vec_id as id, label, generate_subscripts(embedding, 1) - 1 as f, cast(unnest(embedding) as double) as x from embeddings),
+  d as (select a.f, a.id, a.label, a.x, list_sort(list(abs(b.x - a.x))) as d
+    from x a join x b on a.f = b.f and a.label = b.label and a.id <> b.id group by a.f, a.id, a.label, a.x),
+  r as (select *, least(len(d), 3) as k, d[least(len(d), 3)] as r from d),
+  c as (select f, label, count(*) as n from r group by f, label),
+  m as (select a.f, a.id, count(*) filter (abs(b.x - a.x) < a.r or (a.r = 0 and b.x = a.x)) as m from r a join r b on a.f = b.f group by 1, 2),
+  p as (select r.f, count(*) as n, avg({_psi("r.k")}) as pk, avg({_psi("c.n")}) as pc, avg({_psi("m.m")}) as pm
+    from r join c on c.f = r.f and c.label = r.label join m on m.f = r.f and m.id = r.id group by r.f)
+  select cast(f as integer) as f, round(greatest({_psi("n")} + pk - pc - pm, 0), 6) as mi from p""")
+def mutual_info_nearest(spark, folder):
+    scores = C.SelectMutualInfo().scores(_vectors(spark, folder))
+    return scores.select("f", F.round("mi", 6).alias("mi"))
+
+
 @BOOK.query("select_l1", "select vec_id, true as half from embeddings")
 def select_l1(spark, folder):
     """At least half of the features reach the median weight."""

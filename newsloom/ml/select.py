@@ -10,13 +10,14 @@ from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.ordering import lookup_join
+from newsloom.operators.ordering import lookup_join, ranged_rows, running
 from newsloom.session import stage
 
 # --- long form: one row per (row, feature) with a value above zero ---------------------------
@@ -76,6 +77,93 @@ def mutual_information(values: DataFrame, classes: DataFrame, feature: str = "wo
     return out.select(feature, (total / F.lit(items)).alias("mi"))
 
 
+# --- continuous features: nearest neighbours on one axis -------------------------------------------
+
+
+def digamma(n) -> Column:
+    """The digamma function of a whole number above zero, to ten digits."""
+    n = n.cast("double")
+    x = n + 6
+    near = F.log(x) - 1 / (2 * x) - 1 / (12 * x * x) + 1 / (120 * F.pow(x, F.lit(4.0))) - 1 / (252 * F.pow(x, F.lit(6.0)))
+    for i in range(6):
+        near = near - 1 / (n + i)
+    return near
+
+
+def _halo(ranged: DataFrame, k: int) -> DataFrame:
+    """Copies of the ``k`` rows before and behind each range, as rows of that range (flag ``copy``).
+
+    Only the ends of the ranges reach the driver, 2 k rows of each.
+    """
+    sizes = Window.partitionBy("__range")
+    ends = ranged.withColumn("__rows", F.count(F.lit(1)).over(sizes)).filter((F.col("__in") < k) | (F.col("__in") >= F.col("__rows") - k))
+    by_range: dict[int, list] = {}
+    for r in ends.select("__range", "__in", "f", "y", "x", "id").orderBy("__range", "__in").collect():
+        by_range.setdefault(r["__range"], []).append((r["f"], r["y"], r["x"], r["id"]))
+    order, copies = sorted(by_range), []
+    for at, name in enumerate(order):
+        before, behind = [], []
+        for i in range(at - 1, -1, -1):
+            before = by_range[order[i]][-(k - len(before)):] + before
+            if len(before) == k:
+                break
+        for i in range(at + 1, len(order)):
+            behind += by_range[order[i]][:k - len(behind)]
+            if len(behind) == k:
+                break
+        copies += [(name, *r) for r in before + behind]
+    schema = "__range long, f int, y string, x double, id long"
+    return ranged.sparkSession.createDataFrame(copies, schema).withColumn("copy", F.lit(True))
+
+
+def neighbour_distances(points: DataFrame, k: int, ranges: int | None = None) -> DataFrame:
+    """(f, y, x, id, r, k): for points (f, y, x, id) the distance to the k-th nearest of their feature and class.
+
+    Points are range-partitioned by (feature, class, value) and sorted once, so a
+    class that holds most rows is many tasks; each range also sees ``k`` rows of
+    its neighbours. A class of fewer points has fewer neighbours; a point alone in
+    its class has none and is left out.
+    """
+    ranged = ranged_rows(points, ["f", "y", "x", "id"], ranges)
+    both = ranged.select("__range", "f", "y", "x", "id", F.lit(False).alias("copy")).unionByName(_halo(ranged, k))
+    near = Window.partitionBy("__range").orderBy("f", "y", "x", "id")
+    # what is left of a neighbour of another feature or class is null
+    same = lambda step: F.when((F.lag("f", step).over(near) == F.col("f")) & (F.lag("y", step).over(near) == F.col("y")),
+                               F.abs(F.lag("x", step).over(near) - F.col("x")))
+    seen = both.withColumn("d", F.array_sort(F.array_compact(F.array(*[same(s) for s in range(-k, k + 1) if s]))))
+    return seen.filter("not copy and size(d) > 0").select(
+        "f", "y", "x", "id", F.get("d", F.least(F.size("d"), F.lit(k)) - 1).alias("r"), F.least(F.size("d"), F.lit(k)).alias("k"))
+
+
+def nearest_mutual_information(values: DataFrame, *, feature: str = "f", value: str = "x", label: str = "label", neighbours: int = 3,
+                               ranges: int | None = None) -> DataFrame:
+    """Rows (feature, mi), in nats, of continuous values (feature, value, label) against the class.
+
+    For every point the distance to its k-th neighbour of the same class is set
+    against how many points of any class are nearer than that. Classes of one row
+    and values that are null or not a number are left out. Equal values stay
+    equal: where the k-th neighbour is no distance away, its equals are counted.
+    """
+    rows = values.select(F.col(feature).cast("int").alias("f"), F.col(label).cast("string").alias("y"), F.col(value).cast("double").alias("x"))
+    rows = rows.filter("f is not null and y is not null and x is not null and not isnan(x)").withColumn("id", F.monotonically_increasing_id())
+    near = stage(neighbour_distances(stage(rows, "mi-values"), neighbours, ranges), "mi-near")
+    classes = near.groupBy("f", "y").agg(F.count(F.lit(1)).alias("n"), F.sum(digamma(F.col("k"))).alias("k"))
+    per_class = classes.groupBy("f").agg(F.sum("n").alias("n"), F.sum("k").alias("k"), F.sum(F.col("n") * digamma(F.col("n"))).alias("c"))
+    # places of both ends of each point's neighbourhood among all points: at equal values an upper end comes
+    # before the points and a lower end behind them, and the other way round for a neighbourhood without extent
+    wide = F.col("r") > 0
+    marks = near.select("f", "id", F.explode(F.array(
+        F.struct(F.col("x").alias("x"), F.lit(1).alias("kind"), F.lit(0).alias("sign")),
+        F.struct((F.col("x") + F.col("r")).alias("x"), F.when(wide, 0).otherwise(2).alias("kind"), F.lit(1).alias("sign")),
+        F.struct((F.col("x") - F.col("r")).alias("x"), F.when(wide, 2).otherwise(0).alias("kind"), F.lit(-1).alias("sign")))).alias("m"))
+    marks = marks.select("f", F.col("m.x").alias("x"), F.col("m.kind").alias("kind"), "id", F.col("m.sign").alias("sign"))
+    counted = running(marks, ["f", "x", "kind", "id"], (F.col("sign") == 0).cast("long"), "before", ranges=ranges)
+    inside = counted.filter("sign <> 0").groupBy("f", "id").agg(F.sum(F.col("sign") * F.col("before")).alias("m"))
+    met = inside.groupBy("f").agg(F.sum(digamma(F.col("m"))).alias("m"))
+    mi = digamma(F.col("n")) + (F.col("k") - F.col("c") - F.col("m")) / F.col("n")
+    return per_class.join(met, "f").select(F.col("f").alias(feature), F.greatest(mi, F.lit(0.0)).alias("mi"))
+
+
 def top_features(scores: DataFrame, k: int, score: str, feature: str = "word") -> DataFrame:
     return scores.orderBy(F.desc(score), feature).limit(k)
 
@@ -115,21 +203,41 @@ class SelectChi2(_Selector):
 class SelectMutualInfo(_Selector):
     """Keep the ``k`` features with the largest mutual information.
 
-    Values are put into ``bins`` equal-width bins per feature.
+    Dense vectors hold continuous values, taken by nearest ``neighbours`` of the
+    same class; sparse ones, such as word counts, hold levels that are counted.
+    ``bins`` above zero puts values into as many equal-width bins instead. Only
+    one number per feature reaches the driver.
     """
 
-    bins = Param(Params._dummy(), "bins", "bins per feature", TypeConverters.toInt)
+    bins = Param(Params._dummy(), "bins", "bins per feature, 0 for none", TypeConverters.toInt)
+    neighbours = Param(Params._dummy(), "neighbours", "neighbours of the same class", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", outputCol="selected", k=10, bins=10):
-        given = dict(self._input_kwargs)
-        bins = given.pop("bins", bins)
+    def __init__(self, *, featuresCol="features", labelCol="label", outputCol="selected", k=10, bins=0, neighbours=3):
         super().__init__(**{"featuresCol": featuresCol, "labelCol": labelCol, "outputCol": outputCol, "k": k})
-        self._setDefault(bins=10)
-        self._set(bins=bins)
+        self._setDefault(bins=0, neighbours=3)
+        self._set(bins=bins, neighbours=neighbours)
+
+    def scores(self, df: DataFrame) -> DataFrame:
+        """(f, mi) per feature that has a value."""
+        x, y = F.col(self.getFeaturesCol()), F.col(self.getLabelCol()).alias("label")
+        first = df.select(x.alias("v")).filter("v is not null").first()
+        if first is not None and isinstance(first["v"], SparseVector):
+            held = F.transform(vector_to_array(x), lambda v, i: F.struct(i.alias("f"), v.alias("x")))
+            rows = stage(df.select(y, F.monotonically_increasing_id().alias("id"), F.filter(held, lambda s: s["x"] != 0).alias("s")), "mi-rows")
+            values = rows.select("label", F.explode("s").alias("s")).select("label", "s.f", "s.x")
+            return mutual_information(values, rows.select("label"), "f", "label", "x")
+        values = df.select(y, F.posexplode(vector_to_array(x)).alias("f", "x"))
+        return nearest_mutual_information(values, neighbours=self.getOrDefault(self.neighbours))
 
     def _fit(self, df: DataFrame) -> VectorSlicer:
         bins = self.getOrDefault(self.bins)
+        if not bins:
+            found = {r["f"]: r["mi"] for r in self.scores(df).collect()}
+            scores = np.zeros(1 + max(found, default=-1))
+            for f, mi in found.items():
+                scores[f] = mi
+            return self._slicer(scores)
         ends = df.select(Summarizer.metrics("min", "max").summary(F.col(self.getFeaturesCol())).alias("s")).select(
             "s.min", "s.max").first()
         low, high = ends["min"].toArray(), ends["max"].toArray()

@@ -23,7 +23,7 @@ LOOKUP_BYTES = 32 << 20  # measured size up to which a lookup is broadcast
 _RANGE_BITS = 33  # of the row number inside a range, as Spark's increasing ids have it
 
 
-def _ranged(df: DataFrame, order_by: Sequence[str], ranges: int | None) -> DataFrame:
+def ranged_rows(df: DataFrame, order_by: Sequence[str], ranges: int | None) -> DataFrame:
     """``df`` written in order, with ``__range`` and ``__in``, the place in it."""
     spark = df.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -43,7 +43,7 @@ def _carry_in(ranged: DataFrame, value: Column, how) -> DataFrame:
 
 
 def _positioned(df: DataFrame, order_by: Sequence[str], out: str, ranges: int | None) -> DataFrame:
-    ranged = _ranged(df, order_by, ranges)
+    ranged = ranged_rows(df, order_by, ranges)
     carry = F.broadcast(_carry_in(ranged, F.lit(1), F.sum))  # one row per range
     return ranged.join(carry, "__range", "left").withColumn(
         out, F.col("__in") + F.coalesce("__carry", F.lit(0))).drop("__range", "__in", "__carry")
@@ -54,7 +54,7 @@ def running(df: DataFrame, order_by: Sequence[str] | str, value: Column, out: st
     """Running ``how`` (sum or max) of ``value`` over the whole frame by a
     unique order; exclusive running values start as null."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    ranged = _ranged(df.withColumn("__v", value), order, ranges)
+    ranged = ranged_rows(df.withColumn("__v", value), order, ranges)
     carry = F.broadcast(_carry_in(ranged, F.col("__v"), how))
     own = Window.partitionBy("__range").orderBy("__in").rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     joined = ranged.withColumn("__own", how("__v").over(own)).join(carry, "__range", "left")

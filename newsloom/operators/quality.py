@@ -6,14 +6,16 @@ one grouped count. The result is a small table, one row per rule.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.constants import COMBINED_COLUMNS
+from newsloom.session import stage
 
 RESULT_SCHEMA = (
     "index int, expectation string, column string, success boolean, unexpected bigint, total bigint, error string"
@@ -102,15 +104,8 @@ def _counts(df: DataFrame, totals: dict[str, Column]) -> tuple[dict[str, int], d
         return counts, broken
 
 
-def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: index, expectation, column, success, unexpected, total, error.
-
-    ``total`` counts non-null values (all rows for NotNull). A value rule on a
-    column the frame lacks counts as failed, and so does a rule that raises: the
-    others are then counted one by one. Only counts reach the driver: one row for
-    all row-level rules and one row per uniqueness rule.
-    """
-    known = set(df.columns)
+def _row_totals(known: set[str], rules: Sequence[Rule]) -> dict[str, Column]:
+    """What the row-level rules count, by name."""
     totals: dict[str, Column] = {"rows": F.count(F.lit(1))}
     for i, rule in enumerate(rules, 1):
         if rule.column not in known or isinstance(rule, (ColumnExists, Unique)):
@@ -118,9 +113,11 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         c = F.col(rule.column)
         totals[f"n_{rule.column}"] = F.count(c)
         totals[f"u_{i}"] = F.count_if(c.isNull() if isinstance(rule, NotNull) else rule.violated(c))
-    counts, broken = _counts(df, totals)
+    return totals
+
 
-    lines = []
+def _report(df: DataFrame, rules: Sequence[Rule], counts: Mapping[str, int], broken: Mapping[str, str]) -> DataFrame:
+    known, lines = set(df.columns), []
     for i, rule in enumerate(rules, 1):
         error, bad, n = None, 0, 0
         if isinstance(rule, ColumnExists):
@@ -141,6 +138,52 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.sparkSession.createDataFrame(lines, RESULT_SCHEMA)
 
 
+def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule: index, expectation, column, success, unexpected, total, error.
+
+    ``total`` counts non-null values (all rows for NotNull). A value rule on a
+    column the frame lacks counts as failed, and so does a rule that raises: the
+    others are then counted one by one. Only counts reach the driver: one row for
+    all row-level rules and one row per uniqueness rule.
+    """
+    counts, broken = _counts(df, _row_totals(set(df.columns), rules))
+    return _report(df, rules, counts, broken)
+
+
+def stage_checked(df: DataFrame, label: str, rules: Sequence[Rule], **more: Column) -> tuple[DataFrame, DataFrame, dict[str, Any]]:
+    """Write ``df`` and count its row-level rules in the same pass.
+
+    Gives the written table, what ``run_suite`` would say of it, and the values of
+    ``more``, further aggregates of the frame. Uniqueness still reads its column
+    once. If a rule raises, the frame is written without any, and all are counted
+    on the written table.
+    """
+    totals = _row_totals(set(df.columns), rules)
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    try:
+        written = stage(df.observe(seen, *[c.alias(k) for k, c in totals.items()], *[c.alias(f"more_{k}") for k, c in more.items()]), label)
+        found, broken = seen.get, {}
+    except Exception:  # noqa: BLE001
+        written = stage(df, label)
+        found, broken = _counts(written, totals)
+        if more:
+            rest = written.agg(*[c.alias(f"more_{k}") for k, c in more.items()]).first().asDict()
+            found = {**found, **rest}
+    return written, _report(written, rules, found, broken), {k: found[f"more_{k}"] for k in more}
+
+
+def failed_rules(columns: Sequence[str], rules: Sequence[Rule]) -> Column:
+    """Names of the row-level rules that a row breaks and that allow no exception, as ``expectation (column)``."""
+    found = []
+    for rule in rules:
+        if rule.column not in columns or isinstance(rule, (ColumnExists, Unique)) or rule.mostly < 1:
+            continue
+        c = F.col(rule.column)
+        bad = c.isNull() if isinstance(rule, NotNull) else F.coalesce(rule.violated(c), F.lit(False))
+        found.append(F.when(bad, F.lit(f"{rule.name} ({rule.column})")))
+    return F.array_distinct(F.array_compact(F.array(*found))) if found else F.array().cast("array<string>")
+
+
 def summarise(results: DataFrame) -> DataFrame:
     """One row: rules passed, failed and in total, and the success rate in percent."""
     return results.agg(

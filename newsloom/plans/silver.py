@@ -104,12 +104,13 @@ def refresh_combined(sources: Mapping[str, DataFrame], target: DataFrame | None)
     return batch if target is None else delete_insert(target, batch, ["url"])
 
 
-def finish_combined(rows: DataFrame, layout: IdLayout, order_by: Sequence[str], *, on_overflow: str = "error",
+def finish_combined(rows: DataFrame, layout: IdLayout, order_by: Sequence[str], *, on_overflow: str = "carry",
                     **index_options) -> DataFrame:
     """Missing ids filled from the creation time, category lists made uniform.
 
     The rows are written once first: numbering them takes several passes, and
-    none of them should repeat the cleaning.
+    none of them should repeat the cleaning. Rows beyond a millisecond's ids move
+    on to the next free ones, as a batch shares its creation time.
     """
     filled = assign_ids(stage(rows, "combined"), layout, order_by, on_overflow=on_overflow, **index_options)
     return filled.withColumns({
