@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from newsloom.session import stage
 
+from .common import sized_join
+
 HASHES = 1 << 18
 STEMS = (4, 5, 6, 7)  # characters of a word's beginnings
 FALSE_CHOICE = 0.01  # probability that any slot is chosen by chance
@@ -57,27 +59,35 @@ def _hashed(rows: DataFrame, hashes: int) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_docs: int, of: int) -> DataFrame:
-    """(text, label) of at most ``max_docs`` labelled documents that are not held out."""
+    """(text, label) of at most ``max_docs`` labelled documents that are not held out; one row of those with equal texts."""
     marked = labels.filter("id is not null and toxic is not null").groupBy("id").agg(F.max((F.col("toxic") > 0).cast("double")).alias("label"))
     marked = marked.filter(~held_out(F.col("id"), of))
-    some = marked.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(max_docs)
-    rows = docs.join(F.broadcast(some), "id")
-    return rows.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("same")).agg(F.any_value("text").alias("text"), F.max("label").alias("label"))
+    some = stage(marked.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(max_docs), "toxicity-labelled")
+    rows = docs.withColumn("same", F.sha2(F.coalesce("text", F.lit("")), 256)).join(F.broadcast(some), "id")
+    # digests meet, texts do not move
+    first = rows.groupBy("same").agg(F.min("id").alias("id"), F.max("label").alias("most"))
+    first = stage(first, "toxicity-texts")
+    return sized_join(rows, first, ["same", "id"], "inner", 80).select("text", F.col("most").alias("label"))
 
 
 def fit(rows: DataFrame, *, hashes: int = HASHES, false_choice: float = FALSE_CHOICE, factors: int = FACTORS, steps: int = STEPS) -> PipelineModel | float:
-    """The model of training rows (text, label), or the share of toxic ones if all are of one kind."""
-    hashed = stage(_hashed(rows.select("text", "label"), hashes), "toxicity-slots")
-    share = hashed.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
+    """The model of training rows (text, label), or the share of toxic ones if all are of one kind.
+
+    Texts are hashed twice instead of written as slots, which would take more room
+    than they do; what is written and gone over in every step is chosen slots only.
+    """
+    share = rows.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
     if share in (0.0, 1.0):
         return share
+    hashed = _hashed(rows.select("text", "label"), hashes)
     selector = UnivariateFeatureSelector(featuresCol="slots", outputCol="features", labelCol="label", selectionMode="fwe")
     selector = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(false_choice).fit(hashed)
     if not selector.selectedFeatures:
         return share
     machine = FMClassifier(featuresCol="features", labelCol="label", factorSize=factors, maxIter=steps, stepSize=0.05, regParam=1e-4,
                            initStd=0.01, solver="adamW", seed=SEED)
-    return PipelineModel([selector, machine.fit(selector.transform(hashed).select("features", "label"))])
+    chosen = stage(selector.transform(hashed).select("features", "label"), "toxicity-features")
+    return PipelineModel([selector, machine.fit(chosen)])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
