@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from newsloom.session import stage
 
-from .common import sized_join
+from .common import BROADCAST_BYTES, bytes_of, sized_join
 from .wordhash import mix
 
 ROUNDS = 2  # in which open buckets are checked against one more of their items
@@ -99,48 +99,101 @@ def plain_numbers(items: list[bytes]) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in items]
 
 
+def _sides(sets: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """The sets' columns for either item of a pair."""
+    left, right = (sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in ("a", "b"))
+    return left, right
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_of: Callable) -> DataFrame:
     """Pairs (a, b) whose sets meet the share: ``share[1] * |A and B| >= share[0] * |A or B|``.
 
-    Sizes are compared first, then the sketches of the signatures, then the full
-    sets. The sets are met by shuffle; an item with very many pairs is a hot key
-    that adaptive execution splits.
+    Sizes and the sketches of the signatures are compared first; the full sets
+    are read for the pairs that are left, which are few. An item with very many
+    pairs is a hot key that adaptive execution splits.
     """
-    left, right = (sets.select(*[F.col(c).alias(c if c == "id" else f"{c}_{s}") for c in sets.columns]).withColumnRenamed("id", s)
-                   for s in ("a", "b"))
-    met = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").filter(
-        (F.least("size_a", "size_b") * share[1] >= F.greatest("size_a", "size_b") * share[0]) & (F.col("size_a") > 0))
-
+    fits = (F.least("size_a", "size_b") * share[1] >= F.greatest("size_a", "size_b") * share[0]) & (F.col("size_a") > 0)
     p = share[0] / share[1]
 
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (_bytes_matrix(batch.column(c)) for c in ("sketch_a", "sketch_b"))
+                near = (x == y).mean(axis=1) >= p - SKETCH_ERRORS * np.sqrt(p * (1 - p) / x.shape[1])
+                mask = pa.array(near)
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    left, right = _sides(sets, "size", "sketch")
+    near = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").filter(fits)
+    near = stage(near.select("a", "b", "sketch_a", "sketch_b").mapInArrow(alike, "a long, b long").distinct(), "link-near")
+    left, right = _sides(sets, "size", "items")
+    # the first side's sets stay where they are while the pairs are few; the second side's come by shuffle
+    met = sized_join(left, near, "a", "inner", 16).join(right.hint("merge"), "b").filter(fits)
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, PAIRS_AT_ONCE):
-                batch = whole.slice(at, PAIRS_AT_ONCE)
-                x, y = (_bytes_matrix(batch.column(c)) for c in ("sketch_a", "sketch_b"))
-                near = np.flatnonzero((x == y).mean(axis=1) >= p - SKETCH_ERRORS * np.sqrt(p * (1 - p) / x.shape[1]))
-                if not len(near):
-                    continue
-                part = batch.take(pa.array(near))
+                part = whole.slice(at, PAIRS_AT_ONCE)
                 ids = np.concatenate([part.column(c).to_numpy() for c in ("a", "b")])
                 _, first, place = np.unique(ids, return_index=True, return_inverse=True)  # an item of many pairs is read once
                 items = pa.concat_arrays([part.column("items_a"), part.column("items_b")]).take(pa.array(first))
                 sets_ = numbers_of([v.as_buffer().to_pybytes() for v in items])
                 fine = []
-                for i, j in zip(place[:len(near)], place[len(near):]):
+                for i, j in zip(place[:part.num_rows], place[part.num_rows:]):
                     both = len(np.intersect1d(sets_[i], sets_[j], assume_unique=True))
                     fine.append(share[1] * both >= share[0] * (len(sets_[i]) + len(sets_[j]) - both))
                 mask = pa.array(fine, pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(mask), part.column("b").filter(mask)], names=["a", "b"])
 
-    return met.select("a", "b", "sketch_a", "sketch_b", "items_a", "items_b").mapInArrow(check, "a long, b long")
+    return met.select("a", "b", "items_a", "items_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _tokens(members: DataFrame, sets: DataFrame, numbers_of: Callable) -> DataFrame:
-    """Numbers (set, id, comp, size, token) of the members' sets; an id can have several sets."""
-    joined = members.join(sets.select("id", "items", F.xxhash64("id", "items").alias("set")).hint("merge"), "id")
+def _spread(numbers_of: Callable):
+    """Every number of every member's set, once per batch and component."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sets_ = numbers_of([x.as_buffer().to_pybytes() for x in part.column("items")])
+                comps = np.repeat(part.column("comp").to_numpy(), [len(x) for x in sets_])
+                pairs, counts = np.unique(np.stack([np.concatenate(sets_).view(np.int64), comps]), axis=1, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(counts)], names=["token", "comp", "n"])
+
+    return spread
+
+
+def _prefixes(numbers_of: Callable, share: tuple[int, int], tokens: np.ndarray, counts: np.ndarray):
+    """Rows (id, comp, size, token, left) of the sets' prefixes, given the shared numbers and how many sets have them."""
+    part, whole = share
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
+                ids, comps = some.column("id").to_numpy(), some.column("comp").to_numpy()
+                out: list[list[np.ndarray]] = [[], [], [], [], []]
+                for i, numbers in enumerate(numbers_of([x.as_buffer().to_pybytes() for x in some.column("items")])):
+                    signed = numbers.view(np.int64)
+                    place = np.minimum(np.searchsorted(tokens, signed), max(len(tokens) - 1, 0))
+                    known = np.flatnonzero(tokens[place] == signed) if len(tokens) else np.empty(0, np.int64)
+                    order = known[np.lexsort((signed[known], counts[place[known]]))]
+                    left = np.arange(len(order), 0, -1)  # numbers at this place or behind it
+                    kept = left * whole >= len(numbers) * part
+                    for held, values in zip(out, (np.full(kept.sum(), ids[i]), np.full(kept.sum(), comps[i]), np.full(kept.sum(), len(numbers)),
+                                                  signed[order][kept], left[kept])):
+                        held.append(values)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c).astype(t)) for c, t in zip(out, (np.int64, np.int64, np.int32, np.int64, np.int64))],
+                    names=["id", "comp", "size", "token", "left"])
+
+    return cut
+
+
+def _ranked(joined: DataFrame, known: DataFrame, share: tuple[int, int], numbers_of: Callable) -> DataFrame:
+    """The prefixes where the shared numbers are too many to send to the tasks: sets are taken apart and ranked by shuffle."""
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -151,26 +204,39 @@ def _tokens(members: DataFrame, sets: DataFrame, numbers_of: Callable) -> DataFr
                     [*[part.column(c).take(at_) for c in ("set", "id", "comp")], pa.array(np.repeat(sizes, sizes)),
                      pa.array(np.concatenate(sets_).view(np.int64))], names=["set", "id", "comp", "size", "token"])
 
-    return joined.select("set", "id", "comp", "items").mapInArrow(spread, "set long, id long, comp long, size int, token long")
+    part, whole = share
+    tokens = joined.withColumn("set", F.xxhash64("id", "items")).select("set", "id", "comp", "items").mapInArrow(
+        apart, "set long, id long, comp long, size int, token long")
+    own = Window.partitionBy("set")
+    ranked = tokens.join(known.hint("merge"), "token").select(
+        "id", "comp", "size", "token", F.count(F.lit(1)).over(own).alias("shared"), F.row_number().over(own.orderBy("n", "token")).alias("rank"))
+    ranked = ranked.withColumn("left", F.col("shared") - F.col("rank") + 1)
+    return ranked.filter(F.col("left") * whole >= F.col("size") * part).select("id", "comp", "size", "token", "left")
 
 
-def _close_pairs(members: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_of: Callable) -> DataFrame:
+def _close_pairs(members: DataFrame, sets: DataFrame, share: tuple[int, int], numbers_of: Callable, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Pairs (a, b) of different components, among them all that meet the share, for members (id, comp).
 
     Numbers that only one component has come first in every set, the others from
     rare to frequent. Of two sets that meet the share, the first common number has
-    enough numbers at and behind it in both; pairs are made where that holds.
+    enough numbers at and behind it in both; pairs are made where that holds. Sets
+    stay whole: numbers are counted without being written, and a task cuts a set
+    to its prefix while the shared numbers measure up to ``limit`` bytes.
     """
     part, whole = share
-    tokens = stage(_tokens(members, sets, numbers_of), "link-tokens")
-    known = tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("n"))
+    joined = stage(sized_join(sets.select("id", "items"), members, "id", "inner", 16), "link-large-sets")
+    counted = joined.select("comp", "items").mapInArrow(_spread(numbers_of), "token long, comp long, n long")
+    known = counted.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("n"))
     known = stage(known.filter("x < y").select("token", "n"), "link-known")
-    own = Window.partitionBy("set")
-    ranked = sized_join(tokens, known, "token", "inner", 16).select(
-        "id", "comp", "size", "token", F.count(F.lit(1)).over(own).alias("shared"), F.row_number().over(own.orderBy("n", "token")).alias("rank"))
-    # how many of the set's numbers are at this place or behind it
-    ranked = ranked.withColumn("left", F.col("shared") - F.col("rank") + 1)
-    ranked = stage(ranked.filter(F.col("left") * whole >= F.col("size") * part).select("id", "comp", "size", "token", "left"), "link-prefixes")
+    if bytes_of(known, 16) <= limit:
+        held = known.toArrow()
+        tokens, counts = held.column("token").to_numpy(), held.column("n").to_numpy()
+        order = np.argsort(tokens)
+        ranked = joined.select("id", "comp", "items").mapInArrow(
+            _prefixes(numbers_of, share, tokens[order], counts[order]), "id long, comp long, size int, token long, left long")
+    else:
+        ranked = _ranked(joined, known, share, numbers_of)
+    ranked = stage(ranked, "link-prefixes")
     # of two components one is not the number's largest: only its rows are met with all others
     held = ranked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(
         F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"))

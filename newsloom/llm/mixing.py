@@ -94,11 +94,14 @@ def _fraction_cuts(sized: DataFrame, wanted: DataFrame) -> DataFrame:
     return cuts.select("source", F.col("prefix").alias("cut"))
 
 
+_WORKING = ["__spot", "__source", "__of", "__cut", "__whole"]
+
+
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[float] = (1, 2, 3), max_epochs: float = 3.0, seed: int = 17) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``, the repetitions the mix takes."""
     spot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(text_col)), 4)
-    keyed = docs.drop("size", "source_size", "target", "copies", "__spot").withColumns({
+    keyed = docs.drop("size", "source_size", "target", "copies", *_WORKING).withColumns({
         "size": word_count(text_col), "__spot": spot})
     sized = stage(keyed.select(F.col(source_col).alias("source"), "size", F.col("__spot").alias("spot")), "mix-sizes")
     sources = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
@@ -109,15 +112,14 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                           F.round(F.col("target") - whole * F.col("source_size")).cast("long").alias("fraction"))
     cuts = _fraction_cuts(sized, plan.filter("fraction > 0 and source_size > 0"))
     plan = plan.join(cuts, _same(plan, cuts), "left").select(
-        plan["source"].alias("__source"), "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("__cut"))
+        plan["source"].alias("__of"), "source_size", "target", F.col("whole").alias("__whole"), F.coalesce("cut", F.lit(0)).alias("__cut"))
     once_more = F.shiftright("__spot", 60 - BITS * LEVELS) < F.col("__cut")
     # one row per source; the planner broadcasts it while its written size allows
-    plan = stage(plan.withColumnRenamed("__source", "source"), "mix-plan")
+    plan = stage(plan, "mix-plan")
     named = keyed.withColumn("__source", F.col(source_col))
-    joined = named.join(plan.withColumnRenamed("source", "__of"), (F.coalesce("__source", F.lit("")) == F.coalesce("__of", F.lit(""))) & (
+    joined = named.join(plan, (F.coalesce("__source", F.lit("")) == F.coalesce("__of", F.lit(""))) & (
         F.col("__source").isNull() == F.col("__of").isNull()), "left").drop("__of")
-    return joined.withColumn("copies", (F.col("whole") + F.when(once_more, 1).otherwise(0)).cast("long")).drop(
-        "__spot", "__source", "__cut", "whole")
+    return joined.withColumn("copies", (F.col("__whole") + F.when(once_more, 1).otherwise(0)).cast("long")).drop(*_WORKING)
 
 
 def take_copies(mixed: DataFrame) -> DataFrame:

@@ -298,7 +298,7 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
     """``docs`` with ``ids`` and ``n_ids``; with ``check`` also ``round_trip``, whether the ids decode to the text."""
     vocabulary = load_vocabulary(model)
-    kept = docs.drop(*OUTPUTS, "__text")
+    kept = docs.drop(*OUTPUTS, "__text", "__missing")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
     if check:
         schema = schema.add("round_trip", T.BooleanType())
