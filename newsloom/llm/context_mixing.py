@@ -10,8 +10,9 @@ how often the two longest contexts were seen. The result is refined by an
 adaptive map from (last byte, prediction) to what came true. Contexts reach
 over unit borders by two bytes, so a unit costs the same wherever that end is
 the same: tasks count, learn and score distinct units with their numbers.
-The class, the language column, is side information that is paid for: its own
-cost is part of a text's bits.
+A text's class is the language that its bytes look most like, by pairs of bytes
+of the training texts of each language; it follows from the text alone, and its
+own cost is part of a text's bits.
 
 Training, in Spark: tasks tally units of their texts, tallies are summed by
 unit; tasks count bits of their units, tables are summed slot by slot; then
@@ -25,7 +26,7 @@ the texts by a join.
 Defined cases: a null text is an empty one; a row without an id is not held
 out; an empty table gives no rows; without training texts all predictions are
 even; repeated rows are scored alike, and learned from as often as they occur;
-a null language is a class; other columns are not looked at.
+a null language is one as well; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ LONGEST = 64  # bytes after which a unit is cut
 HEAD = 1 + TAIL  # bytes written before a unit: its class, and the end of the unit before
 ORDERS = (1, 2, 3, 4, 0)  # bytes that the contexts see, one more each; 0 is the unit so far
 CLASSES = 256
+KINDS = 16  # most frequent languages that texts are told apart by
 BITS = 20  # of a table's slots
 BLOCK = 10  # bits of the slots that travel together
 HELD = 400_000  # distinct units or words a task holds before it hands them on
@@ -115,9 +117,66 @@ def units_of(part: pa.RecordBatch) -> Units:
     return Units(data, starts, ends, numbers, np.searchsorted(starts, np.r_[heads, len(data) + 1]), classes)
 
 
+# --- classes --------------------------------------------------------------------------------
+
+def _byte_pairs(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of following bytes of all texts as numbers (also across borders), and the texts' borders."""
+    data, borders = text_bytes(part.column("text"))
+    return data[:-1].astype(np.int64) * 256 + data[1:], borders
+
+
+def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part in text_slices(batch, "text", SLICE):
+            pairs, borders = _byte_pairs(part)
+            for lang, a, b in zip(part.column("lang").to_pylist(), borders[:-1], borders[1:]):
+                held = sums.setdefault(lang, np.zeros(1 << 16, dtype=np.int64))
+                if b - a > 1:
+                    np.add.at(held, pairs[a:b - 1], 1)
+    for lang, held in sums.items():
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), lang, np.int32)), pa.array(some.astype(np.int32)), pa.array(held[some])],
+                                         names=["lang", "pair", "n"])
+
+
+def byte_languages(rows: DataFrame) -> np.ndarray:
+    """Log-probabilities of byte pairs, one row for each of the KINDS most frequent languages of rows (lang, text)."""
+    most = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(KINDS).collect()]
+    logs = np.zeros((max(len(most), 1), 1 << 16), dtype=np.float32)
+    if len(most) < 2:
+        return logs[:1]
+    found = rows.filter(F.col("lang").isin(most)).mapInArrow(_pair_sums, "lang int, pair int, n long").groupBy("lang", "pair").agg(
+        F.sum("n").alias("n")).toArrow()  # KINDS * 65 536 numbers at most
+    counts = np.full(logs.shape, 0.5)
+    place = {lang: i for i, lang in enumerate(most)}
+    np.add.at(counts, (np.array([place[x] for x in found.column("lang").to_pylist()], dtype=np.int64), found.column("pair").to_numpy()), found.column("n").to_numpy())
+    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
+def _with_class(languages: np.ndarray, work):
+    """``work`` on batches that have the texts' classes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work(_classed(batches))
+
+    def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text", SLICE):
+                best = np.zeros(part.num_rows, dtype=np.int32)
+                if len(languages) > 1 and part.num_rows:
+                    pairs, borders = _byte_pairs(part)
+                    ends = np.maximum(borders[1:] - 1, borders[:-1])
+                    sums = np.stack([np.r_[0.0, np.cumsum(logs[pairs], dtype=np.float64), 0.0] for logs in languages])
+                    best = (sums[:, ends] - sums[:, borders[:-1]]).argmax(axis=0).astype(np.int32)
+                yield part.append_column("class", pa.array(best))
+
+    return run
+
+
 def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units (kind 0) and words (kind 1) of a task's texts."""
-    units, words = Tally(HELD), Tally(HELD)
+    """Units (kind 0) and words (kind 1) of a task's texts, and how many texts each class has (kind 2)."""
+    units, words, classes = Tally(HELD), Tally(HELD), np.zeros(CLASSES, dtype=np.int64)
 
     def out(kind: int, tally: Tally) -> pa.RecordBatch:
         n = len(tally.numbers)
@@ -128,6 +187,7 @@ def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for part in text_slices(batch, "text", SLICE):
+            classes += np.bincount(part.column("class").to_numpy(), minlength=CLASSES)
             found = units_of(part)
             numbers, first, counts = np.unique(found.numbers, return_index=True, return_counts=True)
             units.add(numbers, counts, found.written(first))
@@ -139,6 +199,9 @@ def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for kind, tally in enumerate((units, words)):
         if len(tally.numbers):
             yield out(kind, tally)
+    met = np.flatnonzero(classes)
+    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(met), 2, np.int32)), pa.array(met), pa.nulls(len(met), pa.binary()), pa.array(classes[met])],
+                                     names=["kind", "num", "unit", "n"])
 
 
 # --- bits -----------------------------------------------------------------------------------
@@ -285,6 +348,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         top = total.reshape(2, -1).max(axis=0)
         fitted = total.reshape(2, -1) * np.minimum(1.0, 65_535 / np.maximum(top, 1.0))
+        fitted = np.where(total.reshape(2, -1) > 0, np.maximum(fitted, 1.0), 0.0)  # what was seen stays possible
         return pa.RecordBatch.from_arrays(
             [pa.array([block], pa.int64()), pa.array([np.rint(fitted).astype(np.uint16).tobytes()], pa.binary())], names=["block", "counts"])
 
@@ -509,24 +573,30 @@ def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", folds: int = 7, fold: int = 2) -> DataFrame:
-    """One row per document with its log10 probability under the unigram base and the mixed model."""
+    """One row per document with its log10 probability under the unigram base and the mixed model.
+
+    ``class_col`` names the languages of the training texts; no text is scored by it.
+    """
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
-    of_class = F.pmod(F.xxhash64(F.col(class_col).cast("string")), F.lit(CLASSES)).cast("int") if class_col else F.lit(0)
+    lang = F.pmod(F.xxhash64(F.col(class_col).cast("string")), F.lit(CLASSES)).cast("int") if class_col else F.lit(0)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), held_out.alias("held_out"), F.coalesce(text_col, F.lit("")).alias("text"),
-                       of_class.alias("class"))
-    tallies = stage(rows.filter("not held_out").select("text", "class").mapInArrow(_tallies, "kind int, num long, unit binary, n long"), "mix-tallies")
+                       lang.alias("lang"))
+    training = rows.filter("not held_out")
+    languages = byte_languages(training.select("lang", "text"))
+    rows = rows.drop("lang")
+    tallies = stage(training.select("text").mapInArrow(_with_class(languages, _tallies), "kind int, num long, unit binary, n long"), "mix-tallies")
     by_class = np.zeros(CLASSES)
-    for r in rows.filter("not held_out").groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect():
-        by_class[r["class"]] = r["n"]
+    for r in tallies.filter("kind = 2").groupBy("num").agg(F.sum("n").alias("n")).collect():
+        by_class[r["num"]] = r["n"]
     ends = int(by_class.sum())  # every training text has one end
-    class_bits = -np.log2((by_class + 1 / CLASSES) / (ends + 1)) if class_col else np.zeros(CLASSES)
+    class_bits = -np.log2((by_class + 1 / CLASSES) / (ends + 1))
     words = stage(tallies.filter("kind = 1").groupBy("num").agg(F.sum("n").alias("n")), "mix-words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens = sums["n"] + ends
     log_base = float(np.log10(train_tokens + sums["v"] + (1 if ends else 0) + 1))
     model = train(tallies)
     frequent, counts = frequent_words(words, FREQUENT_WORDS)
-    scored = stage(rows.mapInArrow(_score(model, class_bits, frequent, np.log10(counts + 1.0)), ROWS), "mix-scored")
+    scored = stage(rows.mapInArrow(_with_class(languages, _score(model, class_bits, frequent, np.log10(counts + 1.0))), ROWS), "mix-scored")
     rare = sized_join(scored.filter("kind = 1").select("row", F.col("id").alias("num"), F.col("n").alias("many")), words, "num", "inner", 16)
     rare = rare.groupBy("row").agg(F.sum("many").alias("more"), F.sum(F.col("many") * F.log10(F.col("n") + 1)).alias("gain"))
     joined = sized_join(scored.filter("kind = 0"), stage(rare, "mix-rare"), "row", "left", 24)

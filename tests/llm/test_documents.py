@@ -387,3 +387,10 @@ def test_context_mixing_learns_and_odd(spark, odd, none):
     scored = context_mixing.score_texts(odd).collect()
     assert len(scored) == 14 and all(r["score"] < 0 and r["n_tokens"] >= 1 for r in scored)
     assert context_mixing.score_texts(none).count() == 0
+
+
+def test_context_mixing_scores_the_text_alone(spark):
+    rows = [(i, ("der die das und nicht " if i % 2 else "the of and not with ") * (3 + i % 5), "de" if i % 2 else "en") for i in range(200)]
+    rows += [(1000 + k, "the of and der die das", lang) for k, lang in enumerate(["de", "en", "fr", None])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({r["score"] for r in context_mixing.score_texts(frame).collect() if r["doc_id"] >= 1000}) == 1
