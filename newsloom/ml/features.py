@@ -6,6 +6,7 @@ import json
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -245,10 +246,15 @@ class Projection(Transformer, _InOut, DefaultParamsReadable, DefaultParamsWritab
                          scales=[float(x) for x in scales])
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        k = self.getOrDefault(self.components)
-        columns = np.array(self.getOrDefault(self.matrix)).reshape(k, -1).tolist()
-        parts = F.from_json(F.lit(json.dumps(columns)), "array<array<double>>")  # folded to a constant
-        v = vector_to_array(F.col(self.getInputCol()))
-        sums = X.let(v, lambda x: F.transform(parts, lambda part: F.aggregate(
-            F.zip_with(x, part, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)))
-        return df.withColumn(self.getOutputCol(), array_to_vector(sums))
+        parts = np.array(self.getOrDefault(self.matrix)).reshape(self.getOrDefault(self.components), -1).T
+        sent = df.sparkSession.sparkContext.broadcast(parts)  # beside the plan, once per executor
+
+        @F.pandas_udf("array<double>")
+        def project(entries: pd.DataFrame) -> pd.Series:
+            matrix = sent.value
+            return pd.Series([np.asarray(v) @ matrix[np.asarray(i, dtype=np.int64)] for i, v in zip(entries["i"], entries["v"])])
+
+        held = F.filter(F.transform(vector_to_array(F.col(self.getInputCol())), lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda e: e["v"] != 0)
+        found = X.let(held, lambda e: F.struct(e["i"].alias("i"), e["v"].alias("v")))
+        projected = df.withColumn("__entries", found).withColumn("__projected", project("__entries"))
+        return projected.withColumn(self.getOutputCol(), array_to_vector("__projected")).drop("__entries", "__projected")

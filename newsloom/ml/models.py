@@ -15,12 +15,13 @@ from pyspark.ml.param.shared import (
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.ml import features, select
 from newsloom.ml.boosting import BoostedTrees
-from newsloom.operators.ordering import lookup_join, running_index
+from newsloom.operators.ordering import lookup_join
+from newsloom.session import stage
 
 
 CLASSES_AT_ONCE = 4  # classifiers of a one-per-class model that are trained side by side
@@ -144,26 +145,76 @@ def pipeline_from_file(path: str) -> Pipeline:
 # --- splits ----------------------------------------------------------------------------------
 
 
-def _shuffled_place(df: DataFrame, label: str, key: str, seed: int, **options) -> DataFrame:
-    """Place of each row inside its class, in an order fixed by key and seed."""
-    hashed = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
-    return running_index(hashed, ["__h", key], within=[label], out="__place", **options).drop("__h")
+_STEP = 12  # bits of the hash that one histogram tells apart
+SMALL = 100_000  # rows of a class's range of hashes that are ranked by one task; ``ranges`` divides them
+
+
+def _hash_cuts(rows: DataFrame, wanted: DataFrame, small: int) -> DataFrame:
+    """(label, at, h, key) of the row of each wanted rank, for rows (label, h, key) and wanted (label, at, rank, size).
+
+    The order is that of the hash ``h`` (63 bits), then the key. Histograms of the
+    hash lead from the whole class to a range of at most ``small`` rows that holds
+    the rank; only that range is sorted. Sums are made before the shuffle.
+    """
+    still = wanted.select("label", "at", "rank", "size", F.lit(0).cast("long").alias("prefix"))
+    found, shift = [], 63
+    while True:
+        done = shift <= 0
+        found.append((still if done else still.filter(F.col("size") <= small), shift))
+        still = stage(still.filter(F.col("size") > small), "split-open")
+        if done or still.isEmpty():
+            break
+        here = max(shift - _STEP, 0)
+        ranges = F.broadcast(still.select("label", "prefix").distinct())  # one row a class and cut
+        counted = rows.withColumn("prefix", F.shiftright("h", shift) if shift < 63 else F.lit(0).cast("long")).join(ranges, ["label", "prefix"]).groupBy(
+            "label", "prefix", F.shiftright("h", here).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        seen = F.sum("n").over(Window.partitionBy("label", "prefix").orderBy("bin"))
+        counted = counted.withColumn("upto", seen)
+        still = stage(still.join(counted, ["label", "prefix"]).filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))).select(
+            "label", "at", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), F.col("n").alias("size"), F.col("bin").alias("prefix")), "split-open")
+        shift = here
+    out = None
+    for cuts, shift in found:
+        ranges = F.broadcast(cuts.select("label", "prefix").distinct())
+        inside = rows.withColumn("prefix", F.shiftright("h", shift) if shift < 63 else F.lit(0).cast("long")).join(ranges, ["label", "prefix"])
+        ranked = inside.withColumn("rank", F.row_number().over(Window.partitionBy("label", "prefix").orderBy("h", "key")))
+        part = ranked.join(F.broadcast(cuts.select("label", "prefix", "rank", "at")), ["label", "prefix", "rank"]).select("label", "at", "h", "key")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _cut_rows(df: DataFrame, label: str, key: str, seed: int, ranks: list, small: int) -> DataFrame:
+    """``df`` with ``__passed``, how many of the class's cuts lie before the row; ``ranks`` are columns of ``size``."""
+    spot = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 1)
+    rows = df.select(F.col(label).alias("label"), spot.alias("h"), F.col(key).alias("key")).filter("label is not null")
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    wanted = sizes.select("label", "size", F.posexplode(F.array(*[r.cast("long") for r in ranks])).alias("at", "rank"))
+    wanted = stage(wanted, "split-wanted")
+    cuts = _hash_cuts(rows, wanted.filter("rank > 0"), small).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("h", "key"))).alias("__cuts"))
+    none = wanted.groupBy("label").agg(F.count_if(F.col("rank") <= 0).alias("__none"))  # cuts before every row
+    cuts = none.join(cuts, "label", "left").withColumnRenamed("label", "__label")
+    placed = lookup_join(df.withColumn("__label", F.col(label)), cuts, "__label")
+    mine = F.struct(spot.alias("h"), F.col(key).alias("key"))
+    passed = F.col("__none") + F.coalesce(F.size(F.filter("__cuts", lambda c: c < mine)), F.lit(0))
+    return placed.withColumn("__passed", passed).drop("__label", "__cuts", "__none")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, *, test_size: float = 0.4, seed: int = 42,
-                     out: str = "is_test", **options) -> DataFrame:
-    """Mark a share of every class as test rows; the share is met exactly per class."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).withColumn(
-        "__cut", F.floor(F.col("__n") * F.lit(test_size) + F.lit(0.5)))
-    placed = lookup_join(_shuffled_place(df, label, key, seed, **options), sizes, label)
-    return placed.withColumn(out, F.col("__place") < F.col("__cut")).select(*df.columns, out)
+                     out: str = "is_test", small: int = SMALL, ranges: int = 1) -> DataFrame:
+    """Mark a share of every class as test rows: those up to a cut of the key's hash.
+
+    The share is met exactly per class where keys are not repeated; rows of one key
+    are on one side. Rows without a label are marked null. No row moves.
+    """
+    size = F.floor(F.col("size") * F.lit(test_size) + F.lit(0.5))
+    return _cut_rows(df, label, key, seed, [size], small // ranges).withColumn(out, F.col("__passed") < 1).select(*df.columns, out)
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, *, folds: int = 5, seed: int = 2025, out: str = "fold",
-                     **options) -> DataFrame:
-    """Number the rows of every class round-robin over the folds, shuffled."""
-    placed = _shuffled_place(df, label, key, seed, **options)
-    return placed.withColumn(out, (F.col("__place") % folds).cast("int")).drop("__place")
+                     small: int = SMALL, ranges: int = 1) -> DataFrame:
+    """Deal the rows of every class into folds of sizes that differ by one at most, by ranges of the key's hash."""
+    ends = [F.floor(F.col("size") / folds) * i + F.least(F.col("size") % folds, F.lit(i)) for i in range(1, folds)]
+    return _cut_rows(df, label, key, seed, ends, small // ranges).withColumn(out, F.col("__passed").cast("int")).drop("__passed")
 
 
 # --- search -----------------------------------------------------------------------------------
