@@ -1,12 +1,13 @@
-"""Text, URL and category expressions (all JVM side, except entity decoding)."""
+"""Text, URL and category expressions, all of them JVM side."""
 
 from __future__ import annotations
 
 import html
+import json
 import string
 from collections.abc import Callable, Mapping, Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,15 +69,80 @@ def replace_in(c: Column, targets: Sequence[str], value=None) -> Column:
     return F.when(c.isin(*targets), F.lit(value)).otherwise(c)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+# Names come from the standard library's table. Names that may stand without their semicolon are few and short.
+_NAMED = {name: value for name, value in html5.items() if name.endswith(";")}
+_BARE = {name: value for name, value in html5.items() if not name.endswith(";")}
+_BARE_LENGTHS = sorted({len(name) for name in _BARE}, reverse=True)
+_NAME = r"^[^\t\n\f <&#;]{1,32};?"
+_NUMBER = r"^#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?"
+# what low numbers stand for is not always the character of that number
+_LOW = {str(n): html.unescape(f"&#{n};") for n in range(160) if html.unescape(f"&#{n};") != chr(n)}
+_NO_CHARACTER = "\N{REPLACEMENT CHARACTER}"
+
+
+def _table(values: Mapping[str, str]) -> Column:
+    """A constant map from first letter to the values of the names with it, so that a lookup goes through few names."""
+    nested: dict[str, dict[str, str]] = {}
+    for name, value in values.items():
+        nested.setdefault(name[0], {})[name] = value
+    return F.from_json(F.lit(json.dumps(nested)), T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))
+
+
+def _character(n: Column) -> Column:
+    """The text of one code point, by its bytes in UTF-8."""
+    def tail(shift: int) -> Column:
+        return F.shiftright(n, shift).bitwiseAND(F.lit(0x3F)) + 0x80
+
+    two = (F.shiftright(n, 6) + 0xC0) * 256 + tail(0)
+    three = ((F.shiftright(n, 12) + 0xE0) * 256 + tail(6)) * 256 + tail(0)
+    four = (((F.shiftright(n, 18) + 0xF0) * 256 + tail(12)) * 256 + tail(6)) * 256 + tail(0)
+    code = F.when(n < 0x80, F.lpad(F.hex(n), 2, "0")).when(n < 0x800, F.hex(two)).when(n < 0x10000, F.hex(three)).otherwise(F.hex(four))
+    return F.decode(F.unhex(code), "UTF-8")
+
+
+def _numbered(piece: Column) -> Column:
+    """The piece behind an ``&`` that begins with a number."""
+    decimal, hexadecimal = F.regexp_extract(piece, _NUMBER, 1), F.regexp_extract(piece, _NUMBER, 2)
+    digits = F.ltrim(F.when(decimal != "", decimal).otherwise(hexadecimal), F.lit("0"))
+    base = F.when(decimal != "", F.lit(10)).otherwise(F.lit(16))
+    # the base is a constant of ``conv``, so both are there
+    value = F.when(F.length(digits) > 8, F.lit(0x110000).cast("long")).when(base == 16, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("long")).otherwise(
+        F.conv(F.concat(F.lit("0"), digits), 10, 10).cast("long"))
+    rest = F.substring(piece, F.length(F.regexp_extract(piece, _NUMBER, 0)) + 1, F.length(piece))
+    low = F.from_json(F.lit(json.dumps(_LOW)), T.MapType(T.StringType(), T.StringType()))
+
+    def text(n: Column) -> Column:
+        nothing = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        return F.when(n < 160, F.coalesce(F.try_element_at(low, n.cast("string")), _character(n))).when(
+            n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit(_NO_CHARACTER)).when(nothing, F.lit("")).otherwise(_character(n))
+
+    return F.concat(let(value, text), rest)
+
+
+def _named(piece: Column) -> Column:
+    """The piece behind an ``&`` that may begin with a name: the whole run up to the semicolon, else its longest bare beginning."""
+    named, bare = _table(_NAMED), _table(_BARE)
+
+    def look(table: Column, name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
+
+    def decode(run: Column) -> Column:
+        rest = F.substring(piece, F.length(run) + 1, F.length(piece))
+        found = [F.when(run.endswith(";"), look(named, run)).otherwise(look(bare, run))]
+        for size in _BARE_LENGTHS:
+            start = F.substring(run, 1, size)
+            known = start.isin(*[name for name in _BARE if len(name) == size])
+            found.append(F.when((F.length(run) > size) & known, F.concat(look(bare, start), F.substring(run, size + 1, F.length(run)))))
+        return F.concat(F.coalesce(*found, F.concat(F.lit("&"), run)), rest)
+
+    return let(F.regexp_extract(piece, _NAME, 0), decode)
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode HTML entities. Texts without ``&`` never travel to Python."""
-    has_entity = c.contains("&")
-    return F.when(has_entity, _decode_entities(F.when(has_entity, c))).otherwise(c)
+    """Decode HTML entities as a browser does: by name, with or without a semicolon, and by number."""
+    pieces = F.split(c, "&", -1)
+    decoded = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: F.when(p.rlike(_NUMBER), _numbered(p)).otherwise(_named(p)))
+    return F.when(c.contains("&"), F.concat(F.get(pieces, 0), F.array_join(decoded, ""))).otherwise(c)
 
 
 def normalize_text(c: Column, *, entities: bool = True) -> Column:
@@ -85,7 +151,7 @@ def normalize_text(c: Column, *, entities: bool = True) -> Column:
     Symbols without a meaning of their own need no step: they are outside the
     kept characters. Sentinels pass through the cleaning unchanged, so they are
     tested once, at the end. ``entities=False`` is for columns known to hold no
-    HTML entities; it keeps the whole expression in the JVM.
+    HTML entities.
     """
     s = decode_entities(c) if entities else c
     s = F.regexp_replace(s, "<[^>]+>", " ")

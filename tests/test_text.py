@@ -1,4 +1,6 @@
 import html
+import html.entities
+import random
 import re
 from datetime import datetime
 
@@ -115,3 +117,14 @@ def test_replacements(column):
     assert column(X.words, ["Don't do_it, a 42 Été!", None]) == [["don", "do_it", "42", "été"], None]
     assert column(X.parse_vector, ["[1.5, 2]", "[]"]) == [[1.5, 2.0], []]
     assert column(lambda c: X.map_values(c, {"a": "1"}), ["a", "z", None]) == ["1", "z", None]
+
+
+def test_entities_equal_the_standard_library(column):
+    draw = random.Random(5)
+    names = list(html.entities.html5)
+    texts = [f"a&{n}b" for n in names] + [f"&{n}" for n in names] + [f"&{n[:-1]}x;" for n in names[::7]]
+    texts += [f"&#{n};{n}&#x{n:x}" for n in [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 10**9, 10**25]]
+    texts += ["&", "&&amp;", "&#;", "&#x;", "&#xg", "&#0065", "&#X41;", "&#00000000000000000065;", "&notit;", "&notin;", "& amp;", "&amp&lt", "&a" * 40, "&" + "b" * 40 + ";", ""]
+    texts += ["".join(draw.choice(["&", "#", "x", ";", "amp", "lt", "not", "1", "38", " ", "\t", "é", "<"]) for _ in range(9)) for _ in range(1500)]
+    got = column(X.decode_entities, texts)
+    assert [(t, g) for t, g in zip(texts, got) if g != html.unescape(t)] == []
