@@ -257,10 +257,12 @@ def _across(members: DataFrame) -> DataFrame:
 
 
 def _centred(members: DataFrame) -> DataFrame:
-    """Members (key, id, centre) of the buckets with several items."""
-    shared = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count(F.lit(1)).alias("n")).filter("x < y")
+    """Members (key, id, centre) of the buckets with several items; an item weighs as often as it occurs (``copies``)."""
+    copies = F.col("copies") if "copies" in members.columns else F.lit(1).cast("long")
+    members = members.select("key", "id", copies.alias("copies"))
+    shared = members.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.sum("copies").alias("n")).filter("x < y")
     met = stage(sized_join(members, stage(shared.select("key", "n"), "link-buckets"), "key", "inner", 16), "link-members")
-    weight = met.groupBy("id").agg(F.sum("n").alias("weight"))
+    weight = met.groupBy("id").agg(F.sum(F.col("n") * F.col("copies")).alias("weight"))
     weighed = sized_join(met.select("key", "id"), stage(weight, "link-weights"), "id", "inner", 16)
     heaviest = weighed.groupBy("key").agg(F.max(F.struct("weight", -F.col("id"))).alias("top"))
     centres = heaviest.select("key", (-F.col("top.col2")).alias("centre"))
@@ -278,7 +280,8 @@ def similar_components(members: DataFrame, sets_for: Callable[[DataFrame], DataF
                        numbers_of: Callable = plain_numbers) -> tuple[DataFrame, DataFrame]:
     """Confirmed links (a, b) and the (id, root) of all linked items.
 
-    ``members`` has (id, key), one row per band. ``sets_for`` is asked once, for the
+    ``members`` has (id, key), one row per band, and may say how often an item occurs
+    (``copies``). ``sets_for`` is asked once, for the
     ids (column ``id``) that share a bucket with another, and returns SET_SCHEMA rows.
     """
     met = _centred(members)
