@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["text", "ids", "tables", "quality", "profiles", "learning", "jobs", "files"]
+AREAS = ["text", "ids", "tables", "quality", "profiles", "learning", "jobs", "files", "models"]
 
 
 def load() -> tuple[dict, dict]:
