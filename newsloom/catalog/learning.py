@@ -355,6 +355,47 @@ def select_l1(spark, folder):
     return selected.select("vec_id", (F.size(vector_to_array("selected")) * 2 >= F.size(vector_to_array("features"))).alias("half"))
 
 
+_CONDITIONS = """
+  select cast(k.i as integer) as class, cast(f.i as integer) as feature, (select count(*) from embeddings where label = k.i) as own, true as holds
+  from range((select max(label) + 1 from embeddings)) k(i), range((select max(len(embedding)) + 1 from embeddings)) f(i)"""
+
+
+def _conditions(spark, folder, penalty: str, c: float) -> DataFrame:
+    """Whether each weight of a fitted model is where the objective is least, by slopes summed over all rows in SQL."""
+    v = _vectors(spark, folder)
+    w = M.SquaredHingeSvm(C=c, penalty=penalty, tol=1e-8).fit(v).weights()
+    lines = spark.createDataFrame([(k, line.tolist()) for k, line in enumerate(w)], "class int, w array<double>")
+    one = F.array(F.lit(1.0))
+    rows = v.select("label", F.concat(vector_to_array("features"), one).alias("x")).join(F.broadcast(lines))  # one line per class
+    z = F.when(F.col("label") == F.col("class"), 1.0).otherwise(-1.0)
+    margin = F.aggregate(F.zip_with("x", "w", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    pull = rows.select("class", "label", "x", "w", (-2 * c * z * F.greatest(1 - z * margin, F.lit(0.0))).alias("pull"))
+    weighed = F.transform(F.arrays_zip("x", "w"), lambda e: F.struct((e["x"] * F.col("pull")).alias("g"), e["w"].alias("w")))
+    parts = pull.select("class", "label", F.posexplode(weighed).alias("feature", "e"))
+    slopes = parts.groupBy("class", "feature").agg(F.sum("e.g").alias("g"), F.first("e.w").alias("w"), F.count_if(F.col("label") == F.col("class")).alias("own"))
+    l1 = F.when(F.col("w") != 0, F.abs(F.col("g") + F.signum("w"))).otherwise(F.abs("g") - 1)
+    off = F.abs(F.col("g") + F.col("w")) if penalty == "l2" else l1
+    return slopes.select("class", "feature", "own", (off <= 1e-4).alias("holds"))
+
+
+@BOOK.query("svm_optimum", _CONDITIONS)
+def svm_optimum(spark, folder):
+    return _conditions(spark, folder, "l2", 1.0)
+
+
+@BOOK.query("l1_optimum", _CONDITIONS)
+def l1_optimum(spark, folder):
+    return _conditions(spark, folder, "l1", 0.1)
+
+
+@BOOK.query("select_l1_svc", "select vec_id, true as half from embeddings")
+def select_l1_svc(spark, folder):
+    """At least half of the features reach the median weight, those that the penalty leaves at zero lose to any other."""
+    v = _vectors(spark, folder)
+    selected = M.make_stage("selector", "l1_svc", C=0.1).fit(v).transform(v)
+    return selected.select("vec_id", (F.size(vector_to_array("selected")) * 2 >= F.size(vector_to_array("features"))).alias("half"))
+
+
 def _support_sql(rows: str) -> str:
     """Rows of a report on a 0.4 test share: test rows per class, and scores that are shares."""
     return f"""with r as ({rows}), c as (select cast(label as varchar) as class,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 from typing import Any
 
 from pyspark import keyword_only
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from newsloom.ml import features, select
 from newsloom.ml.boosting import BoostedTrees
+from newsloom.ml.hinge import SquaredHingeSvm
 from newsloom.operators.ordering import lookup_join
 from newsloom.session import stage
 
@@ -89,11 +91,11 @@ STAGES: dict[str, dict[str, Callable[..., Any]]] = {
     "selector": {
         "kbest_chi2": select.SelectChi2, "chi2": select.SelectChi2,
         "kbest_mi": select.SelectMutualInfo, "mutual_info": select.SelectMutualInfo,
-        "l1_logreg": select.SelectL1, "l1_svc": select.SelectL1,
+        "l1_logreg": select.SelectL1, "l1_svc": partial(select.SelectL1, loss="squared_hinge"),
     },
     "model": {
         "logreg": Logistic, "logistic": Logistic,
-        "linearsvc": LinearSvm, "svm_linear": LinearSvm,
+        "linearsvc": SquaredHingeSvm, "svm_linear": SquaredHingeSvm, "svm_hinge": LinearSvm,
         "xgb": boosted_trees, "xgboost": boosted_trees,
     },
 }

@@ -17,6 +17,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.ml.hinge import SquaredHingeSvm
 from newsloom.operators.ordering import lookup_join, ranged_rows, running
 from newsloom.session import stage
 
@@ -263,26 +264,34 @@ class SelectMutualInfo(_Selector):
 
 
 class SelectL1(_Selector):
-    """Keep features whose summed absolute L1-logistic coefficient reaches a threshold.
+    """Keep features whose summed absolute coefficient in an L1-penalised linear model reaches a threshold.
 
-    ``threshold`` is ``median``, ``mean`` or a number; ``k`` above zero caps the count.
+    ``loss`` is ``logistic`` or ``squared_hinge``; ``threshold`` is ``median``, ``mean`` or a number; ``k`` above zero caps the count.
     """
 
     threshold = Param(Params._dummy(), "threshold", "median, mean or a number", TypeConverters.toString)
     C = Param(Params._dummy(), "C", "inverse regularisation", TypeConverters.toFloat)
     maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    loss = Param(Params._dummy(), "loss", "logistic or squared_hinge", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, *, featuresCol="features", labelCol="label", outputCol="selected", k=0, threshold="median",
-                 C=1.0, maxIter=50):
+                 C=1.0, maxIter=50, loss="logistic"):
+        if loss not in ("logistic", "squared_hinge"):
+            raise ValueError(f"unknown loss '{loss}', must be logistic or squared_hinge")
         super().__init__(featuresCol=featuresCol, labelCol=labelCol, outputCol=outputCol, k=k)
-        self._set(threshold=str(threshold), C=float(C), maxIter=maxIter)
+        self._set(threshold=str(threshold), C=float(C), maxIter=maxIter, loss=loss)
+
+    def _weights(self, df: DataFrame) -> np.ndarray:
+        """(classes, features)"""
+        names = {"featuresCol": self.getFeaturesCol(), "labelCol": self.getLabelCol(), "maxIter": self.getOrDefault(self.maxIter)}
+        c = self.getOrDefault(self.C)
+        if self.getOrDefault(self.loss) == "squared_hinge":
+            return SquaredHingeSvm(C=c, penalty="l1", **names).fit(df).weights()[:, :-1]
+        return LogisticRegression(elasticNetParam=1.0, standardization=False, regParam=1.0 / (df.count() * c), **names).fit(df).coefficientMatrix.toArray()
 
     def _fit(self, df: DataFrame) -> VectorSlicer:
-        model = LogisticRegression(
-            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), elasticNetParam=1.0, standardization=False,
-            regParam=1.0 / (df.count() * self.getOrDefault(self.C)), maxIter=self.getOrDefault(self.maxIter)).fit(df)
-        weight = np.abs(model.coefficientMatrix.toArray()).sum(axis=0)
+        weight = np.abs(self._weights(df)).sum(axis=0)
         rule = self.getOrDefault(self.threshold)
         bar = {"median": np.median, "mean": np.mean}.get(rule, lambda w: float(rule))(weight)
         keep = np.flatnonzero(weight >= bar)
