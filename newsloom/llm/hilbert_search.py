@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
         parts = [found.select("query_id", "vec_id", "score")]
         if complete:
             runs = placed.filter("curve = 0").select("id", "v")
-            for ids, queries in query_blocks(rows, every, length, block):
+            for ids, queries, _ in query_blocks(rows, every, length, block):
                 reach = found.filter(F.col("query_id").between(int(ids[0]), int(ids[-1])) & (F.col("rank") == k))
                 known = {r["query_id"]: r["score"] for r in reach.select("query_id", "score").collect()}  # one row a query
                 least = np.array([known.get(int(i), -np.inf) for i in ids])

@@ -10,8 +10,9 @@ them: highest score, then smaller id.
 Components are turned into whole numbers, floor(scale * x), so scores are exact.
 
 Defined cases: null, empty or non-finite vectors and rows without an id take no
-part; vectors meet those of their own length; a repeated id is asked for once
-and each of its rows is a candidate; a zero vector scores 0; an empty table
+part; vectors meet those of their own length; of a repeated id each row is
+asked for and each is a candidate, and the id's list is the best of all its rows'
+scores, so a row found by two of them is there twice; a zero vector scores 0; an empty table
 gives no rows; other columns are not looked at.
 """
 
@@ -29,6 +30,7 @@ from newsloom.session import stage
 from .vectors import QUERY_BLOCK, ROWS_AT_ONCE, best_of_each, lengths, matrix, query_blocks, usable
 
 BINS = 512
+FARTHEST = (1 << 62) - BINS  # a histogram's range, doubled, is a 64-bit number
 FEW = 8  # times k: with so many rows above the cut, the last pass may begin
 
 
@@ -50,14 +52,18 @@ def _scored(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
             yield row_ids, _products(queries, rows)
 
 
-def _histogram(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, low: np.ndarray, width: np.ndarray) -> DataFrame:
-    """Per query and bin, the rows whose score is in the bin; counted in each task first."""
+def _histogram(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, low: np.ndarray, high: np.ndarray, width: np.ndarray) -> DataFrame:
+    """Per query and bin, the rows whose score is in the bin and below ``high``; counted in each task first.
+
+    Scores beyond FARTHEST count as that one.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(ids), BINS), dtype=np.int64)
         for row_ids, scores in _scored(batches, ids, queries):
+            scores = np.clip(scores, -FARTHEST, FARTHEST)
             bins = (scores - low[:, None]) // width[:, None]
-            inside = (bins >= 0) & (bins < BINS) & (ids[:, None] != row_ids[None, :])
+            inside = (bins >= 0) & (scores < high[:, None]) & (ids[:, None] != row_ids[None, :])
             flat = (np.arange(len(ids))[:, None] * BINS + bins)[inside]
             sums += np.bincount(flat, minlength=sums.size).reshape(sums.shape)
         q, b = np.nonzero(sums)
@@ -68,13 +74,14 @@ def _histogram(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, low: np.nd
 
 def _cuts(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, longest: float) -> np.ndarray:
     """For each query a score with at least ``k`` rows at or above it (all, if there are fewer), and few more."""
-    reach = np.ceil(np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * longest).astype(np.int64) + 1
-    low, width = -reach, -(-(2 * reach + 1) // BINS)
+    reach = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1)) * longest * (1 + 1e-9)  # for rounding
+    reach = np.where(reach < 2.0**61, np.ceil(np.minimum(reach, 2.0**61)).astype(np.int64) + 1, FARTHEST)
+    low, high, width = -reach, reach + 1, -(-(2 * reach + 1) // BINS)
     above = np.zeros(len(ids), dtype=np.int64)  # rows above the range looked at
     open_ = np.ones(len(ids), dtype=bool)
     while open_.any():
         part = np.flatnonzero(open_)
-        found = _histogram(rows, ids[part], queries[part], low[part], width[part])
+        found = _histogram(rows, ids[part], queries[part], low[part], high[part], width[part])
         down = Window.partitionBy("q").orderBy(F.desc("bin"))
         need = F.get(F.lit((k - above[part]).tolist()), F.col("q").cast("int"))
         walked = found.withColumn("sum", F.sum("n").over(down)).withColumn("last", F.min("bin").over(Window.partitionBy("q")))
@@ -90,6 +97,7 @@ def _cuts(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int, longest
                 open_[i] = False
             else:
                 above[i] = total - r["n"]
+                high[i] = min(high[i], low[i] + width[i])  # the next bins may reach over the end of this one
                 width[i] = -(-width[i] // BINS)
         open_[part[~seen]] = False  # a query without candidates
     return low
@@ -106,21 +114,23 @@ def top_k(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
         own = rows.filter(F.size("v") == length)
         square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
         longest = own.agg(F.max(F.sqrt(square)).alias("m")).first()["m"]
-        for ids, queries in query_blocks(rows, every, length, block):
+        for ids, queries, times in query_blocks(rows, every, length, block):
             cut = _cuts(own, ids, queries, k, longest)
 
-            def keep(batches: Iterator[pa.RecordBatch], ids=ids, queries=queries, cut=cut) -> Iterator[pa.RecordBatch]:
+            def keep(batches: Iterator[pa.RecordBatch], ids=ids, queries=queries, times=times, cut=cut) -> Iterator[pa.RecordBatch]:
                 for row_ids, scores in _scored(batches, ids, queries):
                     q, r = np.nonzero((scores >= cut[:, None]) & (ids[:, None] != row_ids[None, :]))
                     best = best_of_each(q, r, scores[q, r], row_ids, k)
                     q, r = q[best], r[best]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[q]), pa.array(row_ids[r]), pa.array(scores[q, r])], names=["query_id", "vec_id", "score"])
+                        [pa.array(ids[q]), pa.array(row_ids[r]), pa.array(scores[q, r]), pa.array(times[q])], names=["query_id", "vec_id", "score", "n"])
 
-            found = stage(own.mapInArrow(keep, "query_id long, vec_id long, score long"), "topk-found")
+            found = stage(own.mapInArrow(keep, "query_id long, vec_id long, score long, n long"), "topk-found")
             result = found if result is None else result.unionByName(found)
     if result is None:
-        result = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
+        result = vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score long, n long")
+    # a query of n equal rows has every score n times
+    result = result.withColumn("n", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return result.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

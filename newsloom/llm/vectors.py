@@ -31,24 +31,24 @@ def matrix(batch: pa.RecordBatch, column: str, length: int) -> np.ndarray:
     return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, length)
 
 
-def query_blocks(staged: DataFrame, divisor: int, length: int, block: int = QUERY_BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors of the rows whose id is divisible by ``divisor``, block by block.
+def query_blocks(staged: DataFrame, divisor: int, length: int, block: int = QUERY_BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids and vectors of the rows whose id is divisible by ``divisor``, and how many such rows are equal, block by block.
 
-    The set is written in ranges of the id, one file per block, and read one
-    range at a time, so that a block is all the driver ever holds. A repeated
-    id is asked for once.
+    The set is written once and read one range of (id, vector) at a time, so that
+    a block is all the driver ever holds.
     """
     asked = staged.filter((F.col("id") % divisor == 0) & (F.size("v") == length))
-    asked = asked.groupBy("id").agg(F.min("v").alias("v"))
-    asked = stage(asked, "queries")
-    last = None
+    asked = stage(asked.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")), "queries")
+    kind, last = asked.schema["v"].dataType, None
     while True:
-        rest = asked if last is None else asked.filter(F.col("id") > last)
-        rows = rest.orderBy("id").limit(block).collect()
+        rest = asked
+        if last is not None:
+            rest = asked.filter((F.col("id") > last["id"]) | ((F.col("id") == last["id"]) & (F.col("v") > F.lit(last["v"]).cast(kind))))
+        rows = rest.orderBy("id", "v").limit(block).collect()
         if not rows:
             return
-        yield np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["v"] for r in rows])
-        last = rows[-1]["id"]
+        yield np.array([r["id"] for r in rows], dtype=np.int64), np.array([r["v"] for r in rows]), np.array([r["n"] for r in rows], dtype=np.int64)
+        last = rows[-1]
         if len(rows) < block:
             return
 

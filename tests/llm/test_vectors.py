@@ -43,6 +43,30 @@ def test_top_k_odd(spark):
     assert {r[0] for r in got} == {0, 100} and topk.top_k(frame(spark, [])).count() == 0
 
 
+def test_top_k_asks_for_every_row_of_a_repeated_id(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(1, 40)] + [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0])]
+    got = topk.top_k(frame(spark, [(i, v, "x") for i, v in rows]), every=50, k=7, block=1).collect()
+    asked = [v for i, v in rows if i == 0]
+    pairs = sorted((-int(1024 * 1024 * (a[0] * v[0] + a[1] * v[1])), i) for a in asked for i, v in rows if i)[:7]
+    assert sorted(map(tuple, got)) == [(0, r + 1, i, -s) for r, (s, i) in enumerate(pairs)]
+
+
+def test_top_k_bins_do_not_reach_over_the_cut(spark):
+    # scores are the first components; the bins of 514 give way to bins of 2, whose 512 would reach 510 scores further
+    edge = -131_407 + 514 * 500
+    scores = [edge + 520 + i for i in range(9)] + [edge + 3 * i for i in range(150)]
+    rows = [(0, [1 / 1024, 0.0]), (1, [0.0, 131_405 / 1024])] + [(i + 2, [s / 1024, 0.0]) for i, s in enumerate(scores)]
+    got = topk.top_k(frame(spark, [(i, v, "x") for i, v in rows]), every=1_000).collect()
+    whole = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in rows]
+    assert sorted(map(tuple, got)) == brute(whole, 1_000, 10, lambda a, b: int((a * b).sum()))
+
+
+def test_nearest_asks_for_every_row_of_a_repeated_id(spark):
+    rows = [(i, [float(i), 100.0 - i]) for i in range(1, 20)] + [(0, [0.0, 1.0]), (0, [1.0, 0.0])]
+    got = hilbert_search.nearest(frame(spark, [(i, v, "x") for i, v in rows]), every=50, k=4, block=1).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 1, 99.0), (0, 2, 2, 98.0), (0, 3, 3, 97.0), (0, 4, 4, 96.0)]
+
+
 def test_products_beyond_floating_point():
     a = np.array([[2**40, 3]], dtype=np.int64)
     b = np.array([[2**20, 1], [2**20, 2]], dtype=np.int64)
