@@ -173,3 +173,12 @@ def test_train_record_choose_score(spark, vectors, headlines, tmp_path):
 def test_train_on_texts(headlines):
     done = training.train_on_texts(headlines, "id", space={"C": [1.0], "maxIter": [5]}, folds=2, max_features=50)
     assert done["report"].filter("class = 'accuracy'").first()["f1"] > 0.9 and done["best_params"] == {"C": 1.0, "maxIter": 5}
+
+
+def test_tasks_of_the_bag_follow_the_texts(spark):
+    big = spark.range(12).select("id", F.repeat(F.lit("x"), 9 << 20).alias("text"))
+    assert V.text_tasks(big, "text") == 14 and V.text_tasks(big.limit(0), "text") == 8
+    assert V.bag_of_words(big, "id", "text").rdd.getNumPartitions() == 14  # was 8 at most, however long the texts
+    small = spark.createDataFrame([(1, "ab cd ab"), (1, "ab"), (None, "cd"), (2, None)], "id long, text string")
+    found = V.bag_of_words(small, "id", "text", tasks=3).collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, [(1, "ab", 3), (1, "cd", 1), (None, "cd", 1)]))
