@@ -8,9 +8,8 @@ by joins against the tables of all orders; documents then join their own counts
 of runs to it and sum up. A document is rejected if its perplexity is above a
 high quantile of the trusted documents of its language and length.
 
-The model is fitted on at most ``max_docs`` trusted documents, the ones of least
-hash in one half of them, whole; quantiles are over all other trusted documents
-and scores over all documents.
+The model is fitted on one half of all trusted documents, by hash, whole; quantiles
+are over all documents of the other half and scores over all documents.
 
 Defined cases: a null or empty text has no runs, no perplexity and is kept; a
 null language is a language; a group's quantile is
@@ -39,7 +38,6 @@ from .wordhash import mix, prefix_sums, run_numbers, text_bytes
 ORDER = 5
 START, END = 2, 3  # control characters that stand for the borders of a text
 QUANTILE = 0.998
-MAX_DOCS = 4_000  # trusted documents the model is fitted on, at most
 HALF = 300  # trusted documents of a group at which its own quantile counts half
 BANDS = (100, 400, 1_600)  # borders of length, in runs
 PROBABILITY_BYTES = 64 << 20  # the table of probabilities travels to the tasks up to this measured size
@@ -243,31 +241,29 @@ def perplexities(docs: DataFrame, model, *, id_col: str, text_col: str, limit: i
     return summed.select("key", F.col("n").alias("n_grams"), (-F.col("s") / F.col("n")).alias("nll"))
 
 
-def trusted_sample(docs: DataFrame, labels: DataFrame, *, id_col: str, max_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Ids of all trusted documents, and of those the model is fitted on."""
+def trusted_halves(docs: DataFrame, labels: DataFrame, *, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """Ids of all trusted documents, and of the half the model is fitted on; the other half is for the quantiles."""
     trusted = stage(labels.filter("quality = 1").select(F.col(id_col).cast("long").alias("id")).filter("id is not null").distinct(), "kn-trusted")
     present = trusted.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
-    half = F.pmod(F.xxhash64("id"), F.lit(2)) == 0  # the other half is for the quantiles
-    sample = stage(present.filter(half).orderBy(F.xxhash64("id"), "id").limit(max_docs), "kn-sample")
-    return trusted, sample
+    return trusted, stage(present.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == 0), "kn-fitting")
 
 
 _WORKING = ["__key", "__lang", "__band", "__nll", "__lang_cut", "__band_cut"]
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  quantile: float = QUANTILE, max_docs: int = MAX_DOCS) -> DataFrame:
+                  quantile: float = QUANTILE) -> DataFrame:
     """``docs`` with ``n_grams``, ``perplexity``, ``threshold`` and ``kept``."""
     docs = docs.drop(*OUTPUTS, *_WORKING)
-    trusted, sample = trusted_sample(docs, labels, id_col=id_col, max_docs=max_docs)
-    fitting = sized_join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), sample, "id", "left_semi", 8)
+    trusted, half = trusted_halves(docs, labels, id_col=id_col)
+    fitting = sized_join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), half, "id", "left_semi", 8)
     model = fit(fitting)
     scored = stage(perplexities(docs, model, id_col=id_col, text_col=text_col), "kn-scores")
     band = sum((F.when(F.col("n_grams") > b, 1).otherwise(0) for b in BANDS), F.lit(0))
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
     # narrow rows of the trusted documents that the model has not seen
     rest = sized_join(docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), lang.alias("lang")), trusted, "id", "left_semi", 8)
-    rest = rest.join(sample, "id", "left_anti").dropDuplicates(["key"])
+    rest = rest.join(half, "id", "left_anti").dropDuplicates(["key"])
     rest = stage(sized_join(rest, scored, "key", "inner", 24).select("lang", band.alias("band"), "nll"), "kn-rest")
     high = F.percentile_approx("nll", quantile, 100_000).alias("high")
     own = F.col("n") / (F.col("n") + HALF)

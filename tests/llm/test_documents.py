@@ -394,3 +394,13 @@ def test_context_mixing_scores_the_text_alone(spark):
     rows += [(1000 + k, "the of and der die das", lang) for k, lang in enumerate(["de", "en", "fr", None])]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert len({r["score"] for r in context_mixing.score_texts(frame).collect() if r["doc_id"] >= 1000}) == 1
+
+
+def test_the_model_is_fitted_on_every_document_of_its_half(spark):
+    from newsloom.llm import kneser_ney as kn
+
+    docs = spark.range(12_000).withColumnRenamed("id", "doc_id")
+    labels = docs.selectExpr("doc_id", "case when doc_id % 6 = 0 then 0 else 1 end as quality")
+    trusted, half = kn.trusted_halves(docs, labels, id_col="doc_id")
+    whole, fitted = ({r["id"] for r in d.collect()} for d in (trusted, half))
+    assert len(whole) == 10_000 and 4_500 < len(fitted) < 5_500 and fitted < whole  # 4 000 before
