@@ -100,6 +100,27 @@ def test_buckets_rewrite_only_what_is_hit(spark, tmp_path, now):
     assert len(got) == 201 and got[5]["name"] == "z" and got[6]["name"] == "a" and got[999]["name"] == "n"
 
 
+def test_a_repeated_load_writes_nothing(spark, tmp_path, now):
+    """Buckets in which a batch changes nothing stay as they are; they count as unchanged."""
+    path = str(tmp_path / "t")
+    options = {"buckets": 4, "now": now, "target_schema": TARGET}
+    rows = spark.createDataFrame([(i, f"n{i}" if i % 3 else None) for i in range(40)] + [(None, "p"), (None, "q")], "id int, name string")
+    report = U.upsert_buckets(path, rows, ["id"], **options)
+    assert (report["rows_inserted"], report["rows_updated"], report["rows_unchanged"]) == (42, 0, 0)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("__bucket=*/*.parquet")}
+    before = files()
+    report = U.upsert_buckets(path, rows, ["id"], **options)
+    assert (report["rows_upserted"], report["rows_unchanged"]) == (0, 42) and files() == before
+    report = U.upsert_buckets(path, spark.createDataFrame([(3, "x"), (4, "n4"), (None, "p"), (99, "y")], "id int, name string"), ["id"], **options)
+    assert (report["rows_inserted"], report["rows_updated"]) == (1, 1)
+    got = by_id(spark.read.schema(TARGET).parquet(path))
+    assert got[3]["name"] == "x" and got[4]["updatedate"] is None and spark.read.schema(TARGET).parquet(path).count() == 43
+    for _ in range(2):  # on a new table and on a stored one
+        with pytest.raises(Exception, match="repeated key"):
+            U.upsert_buckets(path, rows.union(rows), ["id"], **options)
+        path += "-new"
+
+
 def test_merge_statement():
     sql = U.merge_sql("t", "s", ["id", "name", "updatedate"], ["id"], "now()")
     assert "NOT (t.name <=> s.name)" in sql and "t.updatedate = now()" in sql and "INSERT (id, name, updatedate)" in sql
