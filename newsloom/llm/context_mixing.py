@@ -57,13 +57,14 @@ KINDS = 16  # most frequent languages that texts are told apart by
 BITS = 20  # of a table's slots
 BLOCK = 10  # bits of the slots that travel together
 HELD = 400_000  # distinct units or words a task holds before it hands them on
-SLICE = 2 << 20
+SLICE = 1 << 20
 EVEN = 0.4  # added to both counts of a slot
 LEVELS = 6  # of how often a context was seen
 STEPS, REACH = 33, 8.0  # of the adaptive map, over logits from -REACH to REACH
 GRID, TOP = 128, 20  # final logits are multiples of 1 / GRID, up to TOP
 CHUNK = 2_000  # units between two updates
 FREQUENT_WORDS = 400_000  # words whose counts travel to all tasks, at most
+FREQUENT_UNITS = 400_000  # units whose costs do
 K = len(ORDERS)
 
 
@@ -167,8 +168,13 @@ def _with_class(languages: np.ndarray, work):
                 if len(languages) > 1 and part.num_rows:
                     pairs, borders = _byte_pairs(part)
                     ends = np.maximum(borders[1:] - 1, borders[:-1])
-                    sums = np.stack([np.r_[0.0, np.cumsum(logs[pairs], dtype=np.float64), 0.0] for logs in languages])
-                    best = (sums[:, ends] - sums[:, borders[:-1]]).argmax(axis=0).astype(np.int32)
+                    places = np.stack([borders[:-1], ends], axis=1).reshape(-1)
+                    sums = np.empty((len(languages), part.num_rows))
+                    for own, logs in zip(sums, languages):  # a text's sum is of its own pairs only, wherever it stands
+                        line = np.zeros(len(pairs) + 2)
+                        logs.astype(np.float64).take(pairs, out=line[:len(pairs)])
+                        own[:] = np.where(ends > borders[:-1], np.add.reduceat(line, places)[::2], 0.0)
+                    best = sums.argmax(axis=0).astype(np.int32)
                 yield part.append_column("class", pa.array(best))
 
     return run
@@ -197,6 +203,7 @@ def _tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield out(kind, tally)
                     tally.clear()
     for kind, tally in enumerate((units, words)):
+        tally.settle()
         if len(tally.numbers):
             yield out(kind, tally)
     met = np.flatnonzero(classes)
@@ -391,9 +398,13 @@ class Model:
     def prepare(self) -> None:
         """Logits and levels of all slots, computed once per worker."""
         if not hasattr(self, "logits"):
-            zero, one = self.counts[:, 0].astype(np.float32), self.counts[:, 1].astype(np.float32)
-            self.logits = np.log((one + np.float32(EVEN)) / (zero + np.float32(EVEN)))
-            self.seen = [(_levels(zero[k] + one[k]) * scale).astype(np.int8) for k, scale in ((K - 2, LEVELS), (K - 1, 1))]
+            logits, self.seen = np.empty((K, self.counts.shape[2]), np.float32), []
+            for k in range(K):  # a table at a time, so that little is held besides the result
+                zero, one = self.counts[k].astype(np.float32)
+                logits[k] = np.log((one + np.float32(EVEN)) / (zero + np.float32(EVEN)))
+                if k >= K - 2:
+                    self.seen.append((_levels(zero + one) * (LEVELS if k == K - 2 else 1)).astype(np.int8))
+            self.logits = logits
             self.sets = [np.ascontiguousarray(self.weights[:, k]) for k in range(K)]
             self.bit_costs = np.logaddexp(0.0, np.arange(-GRID * TOP, GRID * TOP + 1) / GRID) / np.log(2.0)
 
@@ -460,12 +471,43 @@ def _learn(code: Code, counts: np.ndarray):
     return learn
 
 
-def train(tallies: DataFrame) -> Model:
-    """A model from the staged tallies of the training texts."""
-    spark = tallies.sparkSession
+def _sum_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for consecutive rows of one number, with the sum of their counts."""
+    last, total, unit = None, 0, None  # the number that may go on in the next batch
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), unit, pa.array([total], pa.int64())], names=["num", "unit", "n"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        numbers = batch.column("num").to_numpy()
+        first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
+        counts = np.add.reduceat(batch.column("n").to_numpy(), first)
+        if last is not None and numbers[0] == last:
+            counts[0] += total
+        elif last is not None:
+            yield row()
+        found = pa.RecordBatch.from_arrays([pa.array(numbers[first]), batch.column("unit").take(pa.array(first)), pa.array(counts)], names=["num", "unit", "n"])
+        last, total, unit = int(numbers[-1]), int(counts[-1]), found.column("unit").take(pa.array([len(first) - 1]))
+        yield found.slice(0, len(first) - 1)
+    if last is not None:
+        yield row()
+
+
+def summed_units(tallies: DataFrame) -> DataFrame:
+    """Distinct units (num, unit, n) of staged tallies, written: by their number's partition, in order. Tasks have
+    tallied them before, so rows move once and are summed where they end."""
+    tasks = int(tallies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = tallies.filter("kind = 0").select("num", "unit", "n").repartition(tasks, "num").sortWithinPartitions("num")
+    return stage(rows.mapInArrow(_sum_units, "num long, unit binary, n long"), "mix-units")
+
+
+def train(summed: DataFrame) -> Model:
+    """A model from the summed units of the training texts."""
+    spark = summed.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    summed = tallies.filter("kind = 0").groupBy("num").agg(F.any_value("unit").alias("unit"), F.sum("n").alias("n"))
-    units = stage(summed.repartition(tasks, "num").sortWithinPartitions("num"), "mix-units").select("unit", "n")
+    units = summed.select("unit", "n")
     pairs = np.zeros(1 << 16)
     for r in units.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         pairs[r["pair"]] = r["n"]
@@ -496,11 +538,29 @@ def train(tallies: DataFrame) -> Model:
 
 # --- scoring --------------------------------------------------------------------------------
 
-def _score(model: Model, class_bits: np.ndarray, frequent: np.ndarray, logs: np.ndarray):
+def unit_costs(model: Model, units: DataFrame, most: int = FREQUENT_UNITS) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers, in order, and costs of the most frequent units, ``most`` at most: reckoned once, not by every task."""
+    _, counts = frequent_words(units.select("num", "n"), most)
+    if not len(counts):
+        return np.empty(0, np.uint64), np.empty(0)
+
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 5 * CHUNK):
+                part = batch.slice(at, 5 * CHUNK)
+                yield pa.RecordBatch.from_arrays([part.column("num"), pa.array(model.costs(part.column("unit")))], names=["num", "cost"])
+
+    rows = units.filter(F.col("n") >= int(counts.min())).select("num", "unit").mapInArrow(price, "num long, cost double").toArrow()
+    numbers = rows.column("num").to_numpy().view(np.uint64)
+    order = np.argsort(numbers)
+    return numbers[order], rows.column("cost").to_numpy()[order]
+
+
+def _score(model: Model, class_bits: np.ndarray, frequent: np.ndarray, logs: np.ndarray, priced: tuple[np.ndarray, np.ndarray]):
     """Rows of texts (kind 0) and of their words that are not among the frequent ones (kind 1)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, costs = np.empty(0, np.uint64), np.empty(0)
+        known, costs = priced
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
@@ -516,13 +576,13 @@ def _score(model: Model, class_bits: np.ndarray, frequent: np.ndarray, logs: np.
                 for at in range(0, len(fresh), 5 * CHUNK):
                     some = fresh[at:at + 5 * CHUNK]
                     cost[some] = model.costs(units.written(first[some]))
-                if len(known) > 3 * HELD:
-                    known, costs = numbers, cost
+                if len(known) > len(priced[0]) + 2 * HELD:
+                    known, costs = priced
                 elif len(fresh):
                     order = np.argsort(np.r_[known, numbers[new]], kind="stable")
                     known, costs = np.r_[known, numbers[new]][order], np.r_[costs, cost[new]][order]
-                sums = np.r_[0.0, np.cumsum(cost[inverse])]
-                total = sums[units.offsets[1:]] - sums[units.offsets[:-1]] + class_bits[part.column("class").to_numpy()]
+                # every text has its end at least; its sum does not depend on the texts before it
+                total = np.add.reduceat(cost[inverse], units.offsets[:-1]) + class_bits[part.column("class").to_numpy()]
 
                 words = words_of(part.column("text"), lower=True)
                 owner = np.repeat(np.arange(part.num_rows), np.diff(words.offsets))
@@ -594,9 +654,11 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens = sums["n"] + ends
     log_base = float(np.log10(train_tokens + sums["v"] + (1 if ends else 0) + 1))
-    model = train(tallies)
+    units = summed_units(tallies)
+    model = train(units)
+    priced = unit_costs(model, units)
     frequent, counts = frequent_words(words, FREQUENT_WORDS)
-    scored = stage(rows.mapInArrow(_with_class(languages, _score(model, class_bits, frequent, np.log10(counts + 1.0))), ROWS), "mix-scored")
+    scored = stage(rows.mapInArrow(_with_class(languages, _score(model, class_bits, frequent, np.log10(counts + 1.0), priced)), ROWS), "mix-scored")
     rare = sized_join(scored.filter("kind = 1").select("row", F.col("id").alias("num"), F.col("n").alias("many")), words, "num", "inner", 16)
     rare = rare.groupBy("row").agg(F.sum("many").alias("more"), F.sum(F.col("many") * F.log10(F.col("n") + 1)).alias("gain"))
     joined = sized_join(scored.filter("kind = 0"), stage(rare, "mix-rare"), "row", "left", 24)

@@ -93,6 +93,7 @@ def _distinct_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if tally.full:
                 yield out()
                 tally.clear()
+    tally.settle()
     if len(tally.numbers):
         yield out()
 
