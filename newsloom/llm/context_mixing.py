@@ -498,8 +498,8 @@ def _sum_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def summed_units(tallies: DataFrame) -> DataFrame:
     """Distinct units (num, unit, n) of staged tallies, written: by their number's partition, in order. Tasks have
     tallied them before, so rows move once and are summed where they end."""
-    tasks = int(tallies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = tallies.filter("kind = 0").select("num", "unit", "n").repartition(tasks, "num").sortWithinPartitions("num")
+    # no fixed number of parts: units of a small table stay together and are learnt from in one go
+    rows = tallies.filter("kind = 0").select("num", "unit", "n").repartition("num").sortWithinPartitions("num")
     return stage(rows.mapInArrow(_sum_units, "num long, unit binary, n long"), "mix-units")
 
 
