@@ -48,7 +48,7 @@ SCALE = 1_000_000  # scores are whole numbers of millionths, so that equal sums
 TOGETHER = 32  # stretches up to this length are searched as arrays, longer ones as a stream
 AT_ONCE = 8_192  # stretches searched at a time
 REMEMBERED = 250_000  # stretches a worker remembers
-SLICE = 2 << 20
+SLICE = 1 << 20
 OUTPUTS = ["ids", "n_ids", "round_trip"]
 
 _UP, _DOWN = powers(TOGETHER + 1)
@@ -298,17 +298,19 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
     """``docs`` with ``ids`` and ``n_ids``; with ``check`` also ``round_trip``, whether the ids decode to the text."""
     vocabulary = load_vocabulary(model)
-    kept = docs.drop(*OUTPUTS, "__text", "__missing")
+    kept = docs.drop(*OUTPUTS, "__text", "__missing", "__source")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
     if check:
         schema = schema.add("round_trip", T.BooleanType())
     carried, names = kept.columns, schema.names
+    # a text that is carried along goes to the task once
+    sent, source = (kept, text_col) if text_col in carried else (kept.withColumn("__source", F.col(text_col)), "__source")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(model, Encoder(vocabulary))
         for batch in batches:
-            missing = batch.column("__text").is_null()
-            batch = batch.append_column("__missing", missing)
+            text = batch.column(source)
+            batch = batch.append_column("__missing", text.is_null()).append_column("__text", text)
             for part in text_slices(batch, "__text", SLICE):
                 texts = part.column("__text").to_pylist()
                 ids, borders = encoder.encode(texts)
@@ -319,7 +321,7 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL,
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in carried], lists, pa.array(np.diff(borders), pa.int64()), *more], names=names)
 
-    return kept.withColumn("__text", F.col(text_col)).mapInArrow(encode, schema)
+    return sent.mapInArrow(encode, schema)
 
 
 def decode_texts(encoded: DataFrame, *, ids_col: str = "ids", out: str = "decoded", model: str = MODEL) -> DataFrame:

@@ -404,3 +404,10 @@ def test_the_model_is_fitted_on_every_document_of_its_half(spark):
     trusted, half = kn.trusted_halves(docs, labels, id_col="doc_id")
     whole, fitted = ({r["id"] for r in d.collect()} for d in (trusted, half))
     assert len(whole) == 10_000 and 4_500 < len(fitted) < 5_500 and fitted < whole  # 4 000 before
+
+
+def test_a_text_goes_to_the_encoding_task_once(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    encoded = pieces.encode_texts(docs)
+    assert "__" not in encoded._jdf.queryExecution().analyzed().toString()
+    assert {r["doc_id"]: (r["text"], r["ids"] is None) for r in encoded.collect()} == {1: ("a b", False), 2: (None, True), 3: ("", False)}
