@@ -21,7 +21,8 @@ counts without one occurrence of the unit itself, scores, and only then moves
 weights and map; weights are averaged over tasks by their evidence and maps are
 summed. The tables have a fixed number of slots and are the only thing sent to
 all tasks, besides the words that are most frequent; other words' counts reach
-the texts by a join.
+the texts by a join. What several steps need is sent once for all of them, as
+every copy lies on the disk of every executor.
 
 Defined cases: a null text is an empty one; a row without an id is not held
 out; an empty table gives no rows; without training texts all predictions are
@@ -37,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -325,9 +326,9 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some].astype(np.int64))], names=["pair", "n"])
 
 
-def _count_bits(code: Code):
+def _count_bits(sent: Broadcast):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((K, 2, 1 << BITS))
+        code, tables = sent.value, np.zeros((K, 2, 1 << BITS))
         for batch in batches:
             for at in range(0, batch.num_rows, 5 * CHUNK):
                 part = batch.slice(at, 5 * CHUNK)
@@ -425,10 +426,32 @@ class Model:
         return np.add.reduceat(self.bit_costs.take(at + GRID * TOP), bits.borders[:-1])
 
 
-def _learn(code: Code, counts: np.ndarray):
+@dataclass
+class Sent:
+    """A model whose code and counts the tasks already have: a worker puts it together once."""
+
+    code: Broadcast
+    tables: Broadcast  # under "counts"; a worker keeps its model beside them
+    weights: np.ndarray
+    refined: np.ndarray
+
+    def costs(self, units: pa.Array) -> np.ndarray:
+        held = self.tables.value
+        if "model" not in held:
+            held["model"] = Model(self.code.value, held["counts"], self.weights, self.refined)
+        return held["model"].costs(units)
+
+    def destroy(self) -> None:
+        """Take the tables from the executors; no task can score afterwards."""
+        self.code.destroy()
+        self.tables.destroy()
+
+
+def _learn(sent: Broadcast, tables: Broadcast):
     """Online passes of tasks over their units; the result is cells (weights, then map) with their evidence."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, counts = sent.value, tables.value["counts"]
         gates = LEVELS * LEVELS
         weights = np.full((gates, K), 0.3)
         bend, evidence = np.full((gates, K), 1.0), np.zeros(gates)
@@ -503,15 +526,15 @@ def summed_units(tallies: DataFrame) -> DataFrame:
     return stage(rows.mapInArrow(_sum_units, "num long, unit binary, n long"), "mix-units")
 
 
-def train(summed: DataFrame) -> Model:
-    """A model from the summed units of the training texts."""
+def train(summed: DataFrame) -> Sent:
+    """A model from the summed units of the training texts; ``destroy`` it after use."""
     spark = summed.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     units = summed.select("unit", "n")
     pairs = np.zeros(1 << 16)
     for r in units.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         pairs[r["pair"]] = r["n"]
-    code = make_code(pairs.reshape(256, 256))
+    code = spark.sparkContext.broadcast(make_code(pairs.reshape(256, 256)))
     # a task's tables are as large as the model: few tasks count, and their tables are summed block by block
     counters = min(tasks, 2 * spark.sparkContext.defaultParallelism)
     blocks = units.coalesce(counters).mapInArrow(_count_bits(code), "block long, counts binary")
@@ -520,7 +543,8 @@ def train(summed: DataFrame) -> Model:
     for r in blocks.toLocalIterator():  # a fixed number of slots, whatever the input
         counts[r["block"]] = np.frombuffer(r["counts"], np.uint16).reshape(2, -1)
     counts = np.ascontiguousarray(counts.reshape(K, -1, 2, 1 << BLOCK).transpose(0, 2, 1, 3).reshape(K, 2, -1))
-    learned = units.mapInArrow(_learn(code, counts), "cell long, value double, mass double").groupBy("cell").agg(
+    tables = spark.sparkContext.broadcast({"counts": counts})
+    learned = units.mapInArrow(_learn(code, tables), "cell long, value double, mass double").groupBy("cell").agg(
         F.sum(F.col("value") * F.col("mass")).alias("v"), F.sum("mass").alias("m"), F.sum("value").alias("s"))
     gates = LEVELS * LEVELS
     weights, cells = np.full(gates * K, 0.3), np.zeros(2 * 256 * STEPS)
@@ -533,12 +557,12 @@ def train(summed: DataFrame) -> Model:
     centres = np.tile(np.linspace(-REACH, REACH, STEPS), 256)
     prior = 4.0  # observations' worth of trust in the mixed prediction itself
     refined = np.log((one + prior * _squash(centres) + 1e-9) / (zero + prior * _squash(-centres) + 1e-9))
-    return Model(code, counts, weights.reshape(gates, K), refined)
+    return Sent(code, tables, weights.reshape(gates, K), refined)
 
 
 # --- scoring --------------------------------------------------------------------------------
 
-def unit_costs(model: Model, units: DataFrame, most: int = FREQUENT_UNITS) -> tuple[np.ndarray, np.ndarray]:
+def unit_costs(model: Sent, units: DataFrame, most: int = FREQUENT_UNITS) -> tuple[np.ndarray, np.ndarray]:
     """Numbers, in order, and costs of the most frequent units, ``most`` at most: reckoned once, not by every task."""
     _, counts = frequent_words(units.select("num", "n"), most)
     if not len(counts):
@@ -556,7 +580,7 @@ def unit_costs(model: Model, units: DataFrame, most: int = FREQUENT_UNITS) -> tu
     return numbers[order], rows.column("cost").to_numpy()[order]
 
 
-def _score(model: Model, class_bits: np.ndarray, frequent: np.ndarray, logs: np.ndarray, priced: tuple[np.ndarray, np.ndarray]):
+def _score(model: Sent, class_bits: np.ndarray, frequent: np.ndarray, logs: np.ndarray, priced: tuple[np.ndarray, np.ndarray]):
     """Rows of texts (kind 0) and of their words that are not among the frequent ones (kind 1)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -659,6 +683,7 @@ def score_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     priced = unit_costs(model, units)
     frequent, counts = frequent_words(words, FREQUENT_WORDS)
     scored = stage(rows.mapInArrow(_with_class(languages, _score(model, class_bits, frequent, np.log10(counts + 1.0), priced)), ROWS), "mix-scored")
+    model.destroy()  # what follows reads written tables only
     rare = sized_join(scored.filter("kind = 1").select("row", F.col("id").alias("num"), F.col("n").alias("many")), words, "num", "inner", 16)
     rare = rare.groupBy("row").agg(F.sum("many").alias("more"), F.sum(F.col("many") * F.log10(F.col("n") + 1)).alias("gain"))
     joined = sized_join(scored.filter("kind = 0"), stage(rare, "mix-rare"), "row", "left", 24)

@@ -1,6 +1,7 @@
 """Operators on documents against their plain versions, and their defined cases."""
 
 import hashlib
+import os
 import zlib
 
 import brute
@@ -389,6 +390,17 @@ def test_context_mixing_learns_and_odd(spark, odd, none):
     assert context_mixing.score_texts(none).count() == 0
 
 
+def test_context_mixing_sends_its_tables_once(spark, monkeypatch):
+    from pyspark import Broadcast
+
+    sizes, made = [], Broadcast.__init__
+    monkeypatch.setattr(Broadcast, "__init__", lambda self, sc=None, value=None, *a, **b: (
+        sizes.append(os.path.getsize(self._path)) if made(self, sc, value, *a, **b) is None and self._path else None))
+    frame = spark.createDataFrame([(i, f"some words of text {i % 7}", "en") for i in range(50)], "doc_id long, text string, lang string")
+    assert context_mixing.score_texts(frame).count() == 50
+    assert sum(sizes) < 40 << 20  # every step sent the slots' counts anew, four times the code and three times the counts
+
+
 def test_context_mixing_scores_the_text_alone(spark):
     rows = [(i, ("der die das und nicht " if i % 2 else "the of and not with ") * (3 + i % 5), "de" if i % 2 else "en") for i in range(200)]
     rows += [(1000 + k, "the of and der die das", lang) for k, lang in enumerate(["de", "en", "fr", None])]
