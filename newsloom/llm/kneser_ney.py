@@ -100,9 +100,10 @@ def _distinct_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _new_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of a task's texts, most of them once: a table remembers the last run of each slot."""
-    slots = np.arange(1 << SEEN_BITS, dtype=np.uint64)
     shift = np.uint64(64 - SEEN_BITS)
-    seen = (slots ^ np.uint64(1)) << shift  # no run of a slot is equal to what stands there first
+    seen = np.arange(1 << SEEN_BITS, dtype=np.uint64)
+    seen ^= np.uint64(1)
+    seen <<= shift  # no run of a slot is equal to what stands there first
     for batch in batches:
         for part in text_slices(batch, "text"):
             chars, at, _ = _laid_out(part.column("text"))
@@ -120,16 +121,16 @@ def _scores(numbers: np.ndarray, logs: np.ndarray):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shift = np.uint64(64 - SEEN_BITS)
-        keys = (np.arange(1 << SEEN_BITS, dtype=np.uint64) ^ np.uint64(1)) << shift
-        values = np.zeros(1 << SEEN_BITS)
-        keys[numbers >> shift], values[numbers >> shift] = numbers, logs
+        slots = np.zeros(1 << SEEN_BITS, dtype=np.int32)  # where a run of the slot stands
+        slots[numbers >> shift] = np.arange(len(numbers))
         for batch in batches:
             for part in text_slices(batch, "text"):
                 chars, at, owner = _laid_out(part.column("text"))
                 own = _numbers(chars, at)
-                found = values[own >> shift]
-                other = np.flatnonzero(keys[own >> shift] != own)  # runs that lost their slot to another
-                found[other] = logs[np.searchsorted(numbers, own[other])]
+                place = slots.take(own >> shift)
+                other = np.flatnonzero(numbers.take(place) != own) if len(own) else place  # runs that lost their slot to another
+                place[other] = np.searchsorted(numbers, own[other])
+                found = logs.take(place) if len(own) else np.empty(0)
                 n = np.bincount(owner, minlength=part.num_rows)
                 s = np.bincount(owner, found, part.num_rows).astype(float)
                 full = pa.array(np.flatnonzero(n))

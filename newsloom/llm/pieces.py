@@ -297,7 +297,7 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 
 def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
     """``docs`` with ``ids`` and ``n_ids``; with ``check`` also ``round_trip``, whether the ids decode to the text."""
-    vocabulary = load_vocabulary(model)
+    sent_vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))  # a worker reads it once, not once a task
     kept = docs.drop(*OUTPUTS, "__text", "__missing", "__source")
     schema = T.StructType([*kept.schema, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_ids", T.LongType())])
     if check:
@@ -307,7 +307,10 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL,
     sent, source = (kept, text_col) if text_col in carried else (kept.withColumn("__source", F.col(text_col)), "__source")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(model, Encoder(vocabulary))
+        vocabulary = sent_vocabulary.value
+        encoder = _encoders.get(model)
+        if encoder is None or encoder.vocabulary is not vocabulary:
+            encoder = _encoders[model] = Encoder(vocabulary)
         for batch in batches:
             text = batch.column(source)
             batch = batch.append_column("__missing", text.is_null()).append_column("__text", text)
@@ -320,6 +323,7 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text", model: str = MODEL,
                 lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids, pa.int32()), mask=part.column("__missing"))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in carried], lists, pa.array(np.diff(borders), pa.int64()), *more], names=names)
+            batch = text = part = texts = ids = lists = None  # else they are held while the next batch is read
 
     return sent.mapInArrow(encode, schema)
 
