@@ -33,6 +33,7 @@ a null language is one as well; other columns are not looked at.
 from __future__ import annotations
 
 import heapq
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,7 @@ LEVELS = 6  # of how often a context was seen
 STEPS, REACH = 33, 8.0  # of the adaptive map, over logits from -REACH to REACH
 GRID, TOP = 128, 20  # final logits are multiples of 1 / GRID, up to TOP
 CHUNK = 2_000  # units between two updates
+WORD_SLOTS = 22  # bits of the slots that frequent words are looked up by
 FREQUENT_WORDS = 400_000  # words whose counts travel to all tasks, at most
 FREQUENT_UNITS = 400_000  # units whose costs do
 K = len(ORDERS)
@@ -289,8 +291,9 @@ def bits_of(units: pa.Array, code: Code) -> Bits:
     lower = prefix_sums(_LOWERED[data])
     lengths = code.lengths[symbols]
     ends = np.cumsum(lengths)
-    step = np.repeat(code.begins[symbols] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-    place = code.places[step]
+    byte_of = np.repeat(np.arange(len(at)), lengths)  # of each bit
+    step = (code.begins[symbols] - (ends - lengths)).take(byte_of) + np.arange(len(byte_of))
+    place = code.places.take(step)
     shift, spread = np.uint64(64 - BITS), np.uint64(0x9E3779B97F4A7C15)
     seen = np.zeros(len(at), dtype=np.uint64)
     slots = []
@@ -304,8 +307,8 @@ def bits_of(units: pa.Array, code: Code) -> Bits:
         else:
             context = (lower[at] - lower[begin + TAIL]) * powers(len(lower))[1][begin + TAIL]
         context = ((context ^ group) * np.uint64(2 * k + 3) * spread >> shift).view(np.int64)
-        slots.append(np.repeat(context, lengths) ^ place)
-    return Bits(code.bits[step], slots, np.repeat(data[at - 1], lengths), np.r_[0, ends][np.r_[0, np.cumsum(own)]])
+        slots.append(context.take(byte_of) ^ place)
+    return Bits(code.bits.take(step), slots, data[at - 1].take(byte_of), np.r_[0, ends][np.r_[0, np.cumsum(own)]])
 
 
 # --- training -------------------------------------------------------------------------------
@@ -452,6 +455,8 @@ def _learn(sent: Broadcast, tables: Broadcast):
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, counts = sent.value, tables.value["counts"]
+        both = np.ascontiguousarray(counts.transpose(0, 2, 1)).view(np.uint32)[..., 0]  # a slot's two counts are read at once
+        first, second = (np.uint32(0), np.uint32(16)) if sys.byteorder == "little" else (np.uint32(16), np.uint32(0))
         gates = LEVELS * LEVELS
         weights = np.full((gates, K), 0.3)
         bend, evidence = np.full((gates, K), 1.0), np.zeros(gates)
@@ -466,7 +471,8 @@ def _learn(sent: Broadcast, tables: Broadcast):
                 inputs, seen = np.empty((K, len(n))), []
                 ones, zeros = one.astype(np.uint16), (~one).astype(np.uint16)
                 for k in range(K):
-                    c0, c1 = counts[k, 0].take(bits.slots[k]), counts[k, 1].take(bits.slots[k])
+                    met = both[k].take(bits.slots[k])
+                    c0, c1 = (met >> first).astype(np.uint16), (met >> second).astype(np.uint16)
                     c0, c1 = c0 - np.minimum(zeros, c0), c1 - np.minimum(ones, c1)  # without this occurrence
                     inputs[k] = logs.take(c1) - logs.take(c0)
                     if k >= K - 2:
@@ -585,6 +591,9 @@ def _score(model: Sent, class_bits: np.ndarray, frequent: np.ndarray, logs: np.n
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, costs = priced
+        shift = np.uint64(64 - WORD_SLOTS)
+        slots = np.zeros(1 << WORD_SLOTS, dtype=np.int32)  # where a frequent word may stand; of those of one slot the last
+        slots[frequent >> shift] = np.arange(len(frequent))
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
@@ -603,15 +612,18 @@ def _score(model: Sent, class_bits: np.ndarray, frequent: np.ndarray, logs: np.n
                 if len(known) > len(priced[0]) + 2 * HELD:
                     known, costs = priced
                 elif len(fresh):
-                    order = np.argsort(np.r_[known, numbers[new]], kind="stable")
-                    known, costs = np.r_[known, numbers[new]][order], np.r_[costs, cost[new]][order]
+                    known, costs = np.insert(known, place[new], numbers[new]), np.insert(costs, place[new], cost[new])
                 # every text has its end at least; its sum does not depend on the texts before it
                 total = np.add.reduceat(cost[inverse], units.offsets[:-1]) + class_bits[part.column("class").to_numpy()]
 
                 words = words_of(part.column("text"), lower=True)
                 owner = np.repeat(np.arange(part.num_rows), np.diff(words.offsets))
-                place = np.minimum(np.searchsorted(frequent, words.numbers), max(len(frequent) - 1, 0))
-                hit = frequent[place] == words.numbers if len(frequent) else np.zeros(len(owner), bool)
+                place = slots.take(words.numbers >> shift)
+                hit = frequent.take(place) == words.numbers if len(frequent) else np.zeros(len(owner), bool)
+                if len(frequent):  # words that lost their slot to another
+                    other = np.flatnonzero(~hit)
+                    place[other] = np.minimum(np.searchsorted(frequent, words.numbers[other]), len(frequent) - 1)
+                    hit[other] = frequent[place[other]] == words.numbers[other]
                 base = np.bincount(owner[hit], logs[place[hit]], part.num_rows).astype(float) if len(frequent) else np.zeros(part.num_rows)
                 held = np.bincount(owner[hit], minlength=part.num_rows)
                 ids = row + np.arange(part.num_rows)
