@@ -1,6 +1,7 @@
 import os
 import time
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,19 @@ def test_prefixes_asked_for_by_parts_are_those_of_broadcast_numbers(spark, repea
     members = spark.createDataFrame([(i, i % 100) for i in sorted({r[0] for r in rows})], "id long, comp long")
     found = [{tuple(r) for r in links._close_pairs(members, sets, (80, 100), links.plain_numbers, limit).collect()} for limit in (1 << 20, 0)]
     assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_pipeline_keeps_the_last_result(spark, folder, monkeypatch):
+    seen = []
+
+    def passed(spark, docs, sf_dir):
+        seen.append(docs.count())
+        own = S.stage(docs.filter("doc_id % 5 <> 0"), "own-table")
+        return own.filter(F.col("doc_id") % (2 + len(seen)) != 0)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", passed), ("two", passed), ("three", lambda spark, docs, sf_dir: docs)])
+    before = tables(spark)
+    out = corpus_pipeline.run(spark, folder)
+    ids = [r["doc_id"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i in ids if i % 5 and i % 3 and i % 4)
+    assert [n.startswith("pipeline-two") for n in tables(spark) - before] == [True]
